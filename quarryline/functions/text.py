@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with a costly value computed once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def tokens(c: Column | str) -> Column:
     """Lower-case runs of letters and digits, in text order."""
     return F.regexp_extract_all(F.lower(col(c)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
@@ -104,7 +111,7 @@ def lead_sentences(c: Column | str, n: int = 3, max_chars: int | None = None) ->
     # read once, not once per start position; such a tail is no sentence.
     runs = F.regexp_extract_all(text, F.lit("[^.!?]++[.!?]?"), F.lit(0))
     lead = F.slice(F.filter(runs, lambda r: F.right(r, F.lit(1)).isin(".", "!", "?")), 1, n)
-    return F.when(F.size(lead) > 0, F.array_join(lead, " "))
+    return let(F.array_join(lead, " "), lambda joined: F.when(joined != "", joined))
 
 
 def summary_or_fallback(summary: Column | str, fallback: str = SUMMARY_FALLBACK) -> Column:
@@ -113,9 +120,13 @@ def summary_or_fallback(summary: Column | str, fallback: str = SUMMARY_FALLBACK)
 
 def overlap(left: Column | str, right: Column | str) -> Column:
     """Shared distinct tokens over all distinct tokens of two token arrays."""
-    union = F.size(F.array_union(col(left), col(right)))
-    shared = F.size(F.array_intersect(col(left), col(right)))
-    return F.when(union > 0, shared / union).otherwise(F.lit(0.0))
+
+    def share(pair: Column) -> Column:
+        union = F.size(F.array_union(pair["left"], pair["right"]))
+        shared = F.size(F.array_intersect(pair["left"], pair["right"]))
+        return F.when(union > 0, shared / union).otherwise(F.lit(0.0))
+
+    return let(F.struct(col(left).alias("left"), col(right).alias("right")), share)
 
 
 def expand_query(c: Column | str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import CHUNK_OVERLAP, CHUNK_SIZE, LANGUAGE_SEPARATORS, SEPARATORS
-from ..functions.text import chunk_id, col, content_hash
+from ..functions.text import chunk_id, col, content_hash, let
 
 CHARACTERS = "characters"
 WORDS = "words"
@@ -27,14 +27,18 @@ def fixed_windows(text: Column | str, size: int = CHUNK_SIZE, overlap: int = CHU
     step = size - overlap
     if not 0 <= overlap <= step:
         raise ValueError("overlap must not exceed half of the size")
-    steps = F.regexp_extract_all(col(text), F.lit("(?s).{1,%d}" % step), F.lit(0))
-    needed = F.size(steps) - F.when(
-        (F.size(steps) > 1) & (F.length(F.element_at(steps, -1)) <= overlap), 1
-    ).otherwise(0)
-    return F.transform(
-        F.slice(steps, 1, needed),
-        lambda s, i: F.concat(s, F.substring(F.coalesce(F.get(steps, i + 1), F.lit("")), 1, overlap)),
-    )
+
+    def join_steps(steps: Column) -> Column:
+        # A last step that fits into the overlap is no window of its own.
+        needed = F.size(steps) - F.when(
+            (F.size(steps) > 1) & (F.length(F.element_at(steps, -1)) <= overlap), 1
+        ).otherwise(0)
+        return F.transform(
+            F.slice(steps, 1, needed),
+            lambda s, i: F.concat(s, F.substring(F.coalesce(F.get(steps, i + 1), F.lit("")), 1, overlap)),
+        )
+
+    return let(F.regexp_extract_all(col(text), F.lit("(?s).{1,%d}" % step), F.lit(0)), join_steps)
 
 
 # --- recursive splitting ---------------------------------------------------
@@ -48,6 +52,8 @@ def chunk_spans(
     with the pieces that make up the last `overlap`.  A piece that is itself too
     long is cut with the separators that are left.
     """
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be smaller than size")
     word_starts = [m.start() for m in re.finditer(r"\S+", text)] if unit == WORDS else None
 
     def measure(position: int) -> int:

@@ -28,14 +28,9 @@ def first_of_equal(chunks: DataFrame) -> DataFrame:
     Equal chunks are reduced before the shuffle, so a text that fills a large part
     of the table arrives as one row per task.
     """
-    others = [c for c in chunks.columns if c not in ("code_hash", "original_index", "chunk_no")]
-    first = F.min_by(F.struct(*others), F.struct("original_index", "chunk_no")).alias("rest")
-    return (
-        chunks.groupBy("code_hash")
-        .agg(F.min(F.struct("original_index", "chunk_no")).alias("place"), first)
-        .select("code_hash", "place.*", "rest.*")
-        .select(chunks.columns)
-    )
+    row = F.struct(*[c for c in chunks.columns if c != "code_hash"])
+    first = F.min_by(row, F.struct("original_index", "chunk_no")).alias("first")
+    return chunks.groupBy("code_hash").agg(first).select("code_hash", "first.*").select(chunks.columns)
 
 
 def skip_known_chunks(chunks: DataFrame, store: DataFrame) -> DataFrame:

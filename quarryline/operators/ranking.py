@@ -33,12 +33,15 @@ def top_k(
     )
 
 
-def numbered(df: DataFrame, major: str, minor: list[str], name: str, width: int = 100_000) -> DataFrame:
+def numbered(df: DataFrame, major: str, minor: list[str], name: str, ranges: int = 500_000) -> DataFrame:
     """Number rows 0, 1, 2, ... in the order of (major, *minor), without one global sort.
 
-    Rows are cut into ranges of `width` values of the integer column `major`.
-    Only one count per range meets in a single task.
+    Rows are cut into at most `ranges` ranges of the integer column `major`.  Only
+    one count per range meets in a single task.
     """
+    ends = df.agg(F.min(major).alias("low"), F.max(major).alias("high")).first()
+    span = (ends["high"] or 0) - (ends["low"] or 0) + 1
+    width = max(500, -(-span // ranges))
     ranged = df.withColumn("_range", F.floor(F.col(major) / F.lit(width)))
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

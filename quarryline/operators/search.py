@@ -76,7 +76,11 @@ class VectorScorer:
         return m / np.where(norms > 0, norms, 1.0)[:, None]
 
     def feed(self, rows: pa.RecordBatch, ids: np.ndarray, best: Leaders) -> None:
-        vectors = _matrix(rows.column(self.column))
+        lists = rows.column(self.column)
+        if lists.null_count:
+            present = lists.is_valid()
+            lists, ids = lists.filter(present), ids[np.asarray(present)]
+        vectors = _matrix(lists)
         if self.metric == "cosine":
             vectors = self._unit(vectors)
         step = max(1, SCORE_CELLS // max(1, len(self.matrix)))
@@ -251,8 +255,8 @@ def nearest(
 ) -> DataFrame:
     """The k nearest corpus rows per query (and group): (q_id, row_id, distance, rank)."""
     columns = [row_id, vector] + ([group] if group else [])
-    rows = corpus.select(*columns).where(F.size(vector) > 0)
-    asked = queries.select("q_id", query_vector).where(F.size(query_vector) > 0)
+    rows = corpus.select(*columns)
+    asked = queries.select("q_id", query_vector)
 
     def make(table: pa.Table) -> VectorScorer:
         return VectorScorer.from_table(table, query_vector, vector, metric)
@@ -283,8 +287,6 @@ def lexical(
         .agg(F.count(F.lit(1)).alias("tf"))
     )
     vocabulary = postings.select("term").union(queries.sparkSession.range(1).select(F.lit(""))).distinct()
-    if at_most(postings, ship_rows):
-        vocabulary = F.broadcast(vocabulary)
     words = corpus.select(row_id, tokens(text).alias("words"))
 
     # The empty term, which no text contains, carries the length of the row.
@@ -292,13 +294,13 @@ def lexical(
         F.transform(F.array_distinct("words"), lambda w: F.struct(w.alias("term"), F.lit(1).alias("n"))),
         F.array(F.struct(F.lit("").alias("term"), F.size("words").alias("n"))),
     )
-    stats = written(
-        words.select(F.inline(entry))
-        .join(vocabulary, "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total")),
-        "word-stats",
-    )
+    entries = words.select(F.inline(entry))
+    if at_most(postings, ship_rows):
+        entries = entries.join(F.broadcast(vocabulary), "term", "left_semi")
+    counts = entries.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total"))
+    # A word may fill a large part of the corpus, so a vocabulary too large to
+    # broadcast meets the counts, not the words.
+    stats = written(counts.join(vocabulary, "term", "left_semi"), "word-stats")
     size = stats.where("term = ''").select("df", "total").first()
     n_rows, mean_length = (size["df"], size["total"] / size["df"]) if size else (0, 1.0)
     idf = F.log(1 + (F.lit(float(n_rows)) - F.col("df") + 0.5) / (F.col("df") + 0.5))

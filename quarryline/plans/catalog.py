@@ -465,9 +465,10 @@ def collection_add(spark, d):
     path = fresh_path(spark, "collections")
     rows = chunking.chunk_rows(_samples(spark, d), chunking.fixed_windows("text"))
     rows = add_passage_vector(
-        add_summary(rows, "chunk"), prefix=text_fn.metadata_prefix("lang", "repo_name", "star")
+        add_summary(numbered(rows, "original_index", ["chunk_no"], "position"), "chunk"),
+        prefix=text_fn.metadata_prefix("lang", "repo_name", "star"),
     )
-    entries = numbered(rows, "original_index", ["chunk_no"], "position").select(
+    entries = rows.select(
         F.lit("code_search").alias("collection"),
         F.concat(F.lit("chunk_"), F.col("position").cast("string")).alias("id"),
         text_fn.document_text("summary", "chunk").alias("document"),
@@ -526,14 +527,14 @@ QUERIES["rerank"] = QUERIES.pop("rerank_hits")
 @query
 def two_round(spark, d):
     s = _samples(spark, d)
-    found = retrieval.two_round(_asked(spark, d), retrieval.text_corpus(s), s)
+    found = retrieval.two_round(_asked(spark, d), written(retrieval.text_corpus(s), "vectors"), s)
     return found.select("q_id", "original_index", "round", *rounded("score"), "rank")
 
 
 @query
 def two_round_dedup(spark, d):
     s = _samples(spark, d)
-    found = retrieval.two_round(_asked(spark, d), retrieval.text_corpus(s), s, dedup=True)
+    found = retrieval.two_round(_asked(spark, d), written(retrieval.text_corpus(s), "vectors"), s, dedup=True)
     return found.select("q_id", "original_index", "round", *rounded("score"), "rank")
 
 

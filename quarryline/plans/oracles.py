@@ -201,7 +201,7 @@ def two_round(dedup: bool) -> str:
   FROM H JOIN V USING (original_index), range(1, 65) r(i) GROUP BY ALL) GROUP BY q_id),
 B AS (SELECT q_id, min(distance) AS best FROM H GROUP BY q_id),
 Q2 AS (SELECT q_id, list_transform(range(1, 65), lambda i: query_vec[i] + 0.5 * mean_vec[i]) AS query_vec
-  FROM Q JOIN C USING (q_id) JOIN B USING (q_id) WHERE best > 0.5)""",
+  FROM Q JOIN C USING (q_id) JOIN B USING (q_id) WHERE best > 0.7)""",
         top("H2", "Q2", "V", 3),
         "X1 AS (SELECT q_id, original_index, 1::BIGINT AS round, rank AS prior FROM H)",
         "X2 AS (SELECT q_id, original_index, 2::BIGINT AS round, rank AS prior FROM H2)",

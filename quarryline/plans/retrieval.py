@@ -47,24 +47,23 @@ def two_round(
     samples: DataFrame,
     k: int = 3,
     keep: int = 3,
-    gate: str = "best_distance > 0.5",
+    gate: str = "best_distance > 0.7",
     feedback: float = 0.5,
     dedup: bool = False,
     score=word_overlap,
-    embed=embed_text,
 ) -> DataFrame:
     """Search, re-rank, search again where needed, re-rank the union.
 
     The second query is the first one moved towards the mean of its results
     (Rocchio feedback).  `gate`, an SQL condition on
     `best_distance`, decides per query.  A row found in
-    both rounds keeps two places unless `dedup`.
+    both rounds keeps two places unless `dedup`.  `corpus` is read twice, so it should
+    be a stored table of vectors.
     """
     queries = written(queries, "queries")
     first = written(nearest(queries, corpus, k), "round-1")
 
-    found = attach(first, samples.select("original_index", "text")).withColumn("vec", embed(F.col("text")))
-    centre = found.groupBy("q_id").agg(
+    centre = attach(first, corpus).groupBy("q_id").agg(
         F.min("distance").alias("best_distance"),
         vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("mean_vec"),
     )

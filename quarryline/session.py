@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,9 +39,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="quarryline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="quarryline-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
