@@ -217,12 +217,12 @@ def _scan(queries: DataFrame, corpus: DataFrame, make_scorer, k: int, row_id: st
 
     blocks = math.ceil(queries.count() / ship_rows)
     cells = max(1, math.ceil(corpus.count() / CELL_ROWS))
-    left = queries.withColumn("_block", F.pmod(F.xxhash64("q_id"), F.lit(blocks))).withColumn(
-        "_cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).cast("bigint")
-    )
-    right = corpus.withColumn("_cell", F.pmod(F.xxhash64(row_id), F.lit(cells))).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint")
-    )
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+    left = queries.withColumn("_block", F.pmod(F.xxhash64("q_id"), F.lit(blocks))).withColumn("_cell", every(cells))
+    right = corpus.withColumn("_cell", F.pmod(F.xxhash64(row_id), F.lit(cells))).withColumn("_block", every(blocks))
 
     def pair(q: pa.Table, c: pa.Table) -> pa.Table:
         found = []
