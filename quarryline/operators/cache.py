@@ -28,3 +28,8 @@ def answer_cache(queries: DataFrame, log: DataFrame) -> DataFrame:
 def misses(queries: DataFrame, log: DataFrame) -> DataFrame:
     """Queries whose text is not in the log; only these need retrieval."""
     return queries.join(log.select(F.col("query").alias("query_text")).distinct(), "query_text", "left_anti")
+
+
+def once_per_text(queries: DataFrame) -> DataFrame:
+    """One query per text (the smallest q_id): a text asked many times is searched once."""
+    return queries.groupBy("query_text").agg(F.min("q_id").alias("q_id"))

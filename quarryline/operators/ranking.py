@@ -33,13 +33,16 @@ def top_k(
     )
 
 
-def numbered(df: DataFrame, major: str, minor: list[str], name: str, ranges: int = 500_000) -> DataFrame:
+def numbered(
+    df: DataFrame, major: str, minor: list[str], name: str, ranges: int = 500_000, source: DataFrame | None = None
+) -> DataFrame:
     """Number rows 0, 1, 2, ... in the order of (major, *minor), without one global sort.
 
     Rows are cut into at most `ranges` ranges of the integer column `major`.  Only
-    one count per range meets in a single task.
+    one count per range meets in a single task.  `source` may be a plain table with
+    the same values of `major`, which is cheaper to read for its bounds.
     """
-    ends = df.agg(F.min(major).alias("low"), F.max(major).alias("high")).first()
+    ends = (df if source is None else source).agg(F.min(major).alias("low"), F.max(major).alias("high")).first()
     span = (ends["high"] or 0) - (ends["low"] or 0) + 1
     width = max(500, -(-span // ranges))
     ranged = df.withColumn("_range", F.floor(F.col(major) / F.lit(width)))

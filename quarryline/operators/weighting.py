@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import code as code_fn
-from ..session import written
+from ..session import BROADCAST_ROWS, at_most, written
 from .ranking import top_k
 from .search import nearest
 
@@ -29,10 +29,11 @@ def weighted_score(distance: Column, stars: Column, mode: str = "literal") -> Co
 def attach(hits: DataFrame, rows: DataFrame, row_id: str = "original_index") -> DataFrame:
     """Hits with the columns of the rows they point to.
 
-    Hits come from a written table, so Spark knows their size: a small batch is
-    broadcast to the scan of `rows`, a large one is joined by shuffle.
+    `hits` should be a written table of ids and scores, so that counting it is
+    cheap.  A batch within the bound is broadcast and `rows` is only scanned; a
+    larger one is joined by shuffle.
     """
-    return hits.join(rows, row_id)
+    return (F.broadcast(hits) if at_most(hits, BROADCAST_ROWS) else hits).join(rows, row_id)
 
 
 def apply_popularity_weighting(hits: DataFrame, mode: str = "literal", k: int | None = None) -> DataFrame:

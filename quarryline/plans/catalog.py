@@ -316,6 +316,24 @@ def prompt(spark, d):
     return context.prompt(contexts, tables.benchmark_queries(spark, d), C.PROMPTS["summaries"])
 
 
+@query
+def context_chunks(spark, d):
+    """The five nearest files as summary and code, for the chunk prompt."""
+    s = _samples(spark, d)
+    hits = written(search.nearest(_asked(spark, d), retrieval.text_corpus(s), 5), "hits")
+    return context.context(retrieval.retrieved(hits, s), "chunks")
+
+
+@query
+def context_links(spark, d):
+    """The five nearest files as summary and link to the stored text."""
+    s = _samples(spark, d)
+    hits = written(search.nearest(_asked(spark, d), retrieval.text_corpus(s), 5), "hits")
+    linked = retrieval.retrieved(hits, s).withColumn("url", sinks.blob_url(sinks.blob_key("code"), "corpus"))
+    contexts = context.context(linked, "links")
+    return context.prompt(contexts, tables.benchmark_queries(spark, d), C.PROMPTS["links"])
+
+
 @query
 def follow_up_prompt(spark, d):
     """Numbered documents with their first 800 characters, for the follow-up question."""
@@ -465,7 +483,7 @@ def collection_add(spark, d):
     path = fresh_path(spark, "collections")
     rows = chunking.chunk_rows(_samples(spark, d), chunking.fixed_windows("text"))
     rows = add_passage_vector(
-        add_summary(numbered(rows, "original_index", ["chunk_no"], "position"), "chunk"),
+        add_summary(numbered(rows, "original_index", ["chunk_no"], "position", source=tables.code_samples(spark, d)), "chunk"),
         prefix=text_fn.metadata_prefix("lang", "repo_name", "star"),
     )
     entries = rows.select(
@@ -480,12 +498,23 @@ def collection_add(spark, d):
         ).alias("metadata"),
     )
     sinks.write_collection(entries, path)
-    return spark.read.parquet(path).where("collection = 'code_search'").select(
+    return sinks.read_collections(spark, path, ["code_search"]).select(
         "id", text_fn.content_hash("document").alias("document_hash"),
         F.size("embedding").cast("bigint").alias("dim"), "metadata.*",
     )
 
 
+@query
+def vector_sink(spark, d):
+    """Vectors of the short files, written as a table and read back."""
+    path = fresh_path(spark, "vectors")
+    retrieval.text_corpus(filters.short_lang_filter(_samples(spark, d))).write.parquet(path)
+    return spark.read.parquet(path).select(
+        "original_index", F.round(vec_fn.dot("vec", "vec"), 6).alias("square"),
+        F.round(F.element_at("vec", 1), 6).alias("first_value"),
+    )
+
+
 @query
 def blob_index(spark, d):
     s = add_summary(_samples(spark, d).select("original_index", "text"), "text")
@@ -538,6 +567,15 @@ def two_round_dedup(spark, d):
     return found.select("q_id", "original_index", "round", *rounded("score"), "rank")
 
 
+@query
+def two_round_prompt(spark, d):
+    """The whole run: two rounds, re-ranked, as context and prompt."""
+    s, asked = _samples(spark, d), _asked(spark, d)
+    found = retrieval.two_round(asked, written(retrieval.text_corpus(s), "vectors"), s)
+    contexts = context.context(found, "reranked")
+    return context.prompt(contexts, asked, C.PROMPTS["reranked"])
+
+
 def _all_queries(spark, d):
     """User turns and benchmark passages, with distinct ids."""
     asked = tables.turns(spark, d).where("role = 'user'").select(
@@ -559,6 +597,14 @@ def cache_misses(spark, d):
     return cache.misses(_all_queries(spark, d), log)
 
 
+@query
+def serve(spark, d):
+    """Stored answers where there are any, prompts for the other queries."""
+    s = _samples(spark, d)
+    log = tables.answered_turns(tables.turns(spark, d))
+    return retrieval.serve(_all_queries(spark, d), log, retrieval.text_corpus(s), s)
+
+
 @query
 def query_log(spark, d):
     """Queries that the log cannot answer: retrieved, re-ranked, logged with both id lists.
@@ -567,7 +613,8 @@ def query_log(spark, d):
     """
     s, path = _samples(spark, d), fresh_path(spark, "query-log")
     log = tables.answered_turns(tables.turns(spark, d))
-    asked = retrieval.with_query_vectors(cache.misses(tables.benchmark_queries(spark, d), log))
+    unanswered = cache.once_per_text(cache.misses(tables.benchmark_queries(spark, d), log))
+    asked = retrieval.with_query_vectors(unanswered)
     hits = written(search.nearest(asked, retrieval.text_corpus(s), 10), "hits")
     final = written(retrieval.reranked(asked, hits, s).select("q_id", "rank", "id", "summary"), "final")
     answers = final.where("rank = 1").select("q_id", F.col("summary").alias("final_answer"))

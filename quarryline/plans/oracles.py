@@ -241,25 +241,35 @@ EXPANDED = "query_text" + "".join(
 )
 
 
-def blocks(block: str) -> str:
+def blocks(block: str, k: int = 3) -> str:
     return sql(
-        S, SV, BM, BQ, top("H", "Q", "V", 3),
+        S, SV, BM, BQ, top("H", "Q", "V", k),
         select=f"""SELECT q_id, count(*) AS n, string_agg({block}, {q(C.BLOCK_SEPARATOR)} ORDER BY rank) AS text
   FROM H JOIN S USING (original_index) GROUP BY q_id""",
     )
 
 
-def _prompt() -> str:
-    before, rest = C.PROMPTS["summaries"].split("{context}")
+def prompted(template: str, context: str, query: str) -> str:
+    """A prompt as an expression over a context and a query column."""
+    before, rest = C.PROMPTS[template].split("{context}")
     between, after = rest.split("{query}")
-    block = f"'Summary: ' || {summary('text')} || chr(10) || 'DB ID: ' || original_index"
+    return f"{q(before)} || {context} || {q(between)} || replace({query}, 'query: ', '') || {q(after)}"
+
+
+def prompts(template: str, block: str, k: int) -> str:
     return sql(
-        f"C AS ({blocks(block)})",
-        select=f"""SELECT q_id, {q(before)} || C.text || {q(between)} || replace(b.text, 'query: ', '') || {q(after)}
-  AS prompt FROM C JOIN benchmark b ON b.item_id = C.q_id""",
+        f"C AS ({blocks(block, k)})",
+        select=f"""SELECT q_id, {prompted(template, 'C.text', 'b.text')} AS prompt
+  FROM C JOIN benchmark b ON b.item_id = C.q_id""",
     )
 
 
+SUMMARY_BLOCK = f"'Summary: ' || {summary('text')} || chr(10) || 'DB ID: ' || original_index"
+LINK_BLOCK = f"""'Summary: ' || {summary('text')} || chr(10)
+  || 'S3 Link: https://corpus.s3.amazonaws.com/code_docs/' || sha256(text) || '.txt'"""
+RERANKED_BLOCK = f"""'Code:' || chr(10) || text || chr(10) || chr(10) || 'Summary: ' || {summary('text')} || chr(10)
+  || 'DB ID: ' || original_index"""
+
 PROFILE_TYPES = {
     "original_index": "bigint", "text": "string", "lang": "string", "repo_name": "string",
     "repo_full_name": "string", "star": "bigint", "len_tokens": "bigint", "dir": "string",
@@ -385,7 +395,9 @@ H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dis
     "context": blocks(
         f"'Summary: ' || {summary('text')} || chr(10) || 'Code:' || chr(10) || '```' || text || '```' || chr(10) || 'DB ID: ' || original_index"
     ),
-    "prompt": _prompt(),
+    "prompt": prompts("summaries", SUMMARY_BLOCK, 3),
+    "context_chunks": blocks(document("text"), 5),
+    "context_links": prompts("links", LINK_BLOCK, 5),
     "follow_up_prompt": blocks(
         f"""chr(10) || 'Document ' || rank || ':' || chr(10) || 'Summary:' || chr(10) || {summary('text')} || chr(10)
   || chr(10) || 'Code:' || chr(10) || substr(text, 1, 800) || chr(10)"""
@@ -444,6 +456,12 @@ F AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER B
   sha256({document('chunk')}) AS document_hash, 64::BIGINT AS dim, original_index || '_' || chunk_no AS chunk_id,
   original_index, lang, repo_name AS repo, star AS stars, created_date::VARCHAR AS created,
   updated_date::VARCHAR AS updated FROM W""",
+    ),
+    "vector_sink": sql(
+        S, "SF AS (SELECT * FROM S WHERE lang <> '' AND len_tokens < 1000)",
+        vectors("V", "SF", "original_index", "text"),
+        select="""SELECT original_index, round(list_dot_product(vec, vec), 6) AS square,
+  round(vec[1], 6) AS first_value FROM V""",
     ),
     "blob_index": sql(
         S,
@@ -459,6 +477,26 @@ F AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER B
     ),
     "two_round": two_round(False),
     "two_round_dedup": two_round(True),
+    "two_round_prompt": sql(
+        S, BM, f"T AS ({two_round(False)})",
+        f"""C AS (SELECT q_id, string_agg({RERANKED_BLOCK}, {q(C.BLOCK_SEPARATOR)} ORDER BY rank) AS context
+  FROM T JOIN S USING (original_index) GROUP BY q_id)""",
+        select=f"SELECT q_id, {prompted('reranked', 'context', 'query_text')} AS prompt FROM C JOIN BM USING (q_id)",
+    ),
+    "serve": sql(
+        S, SV, ANSWERED, ASKED,
+        "AA AS (SELECT query, arg_min(final_answer, id) AS final_answer FROM A GROUP BY query)",
+        "OQ AS (SELECT min(q_id) AS q_id, query_text FROM AQ WHERE query_text NOT IN (SELECT query FROM A) GROUP BY query_text)",
+        vectors("OV", "OQ", "q_id", "query_text"),
+        "Q AS (SELECT q_id, vec AS query_vec FROM OV)",
+        top("H", "Q", "V", 3),
+        f"""X AS (SELECT q_id, string_agg({SUMMARY_BLOCK}, {q(C.BLOCK_SEPARATOR)} ORDER BY rank) AS context
+  FROM H JOIN S USING (original_index) GROUP BY q_id)""",
+        select=f"""SELECT q_id, query_text, AA.query IS NOT NULL AS cached, final_answer,
+  {prompted('summaries', 'context', 'query_text')} AS prompt
+  FROM AQ LEFT JOIN AA ON AA.query = AQ.query_text
+  LEFT JOIN (SELECT query_text, context FROM X JOIN OQ USING (q_id)) USING (query_text)""",
+    ),
     "answer_cache": sql(
         ANSWERED, ASKED,
         "AA AS (SELECT query, arg_min(final_answer, id) AS final_answer FROM A GROUP BY query)",
@@ -469,7 +507,7 @@ F AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER B
         ANSWERED, ASKED, select="SELECT q_id, query_text FROM AQ WHERE query_text NOT IN (SELECT query FROM A)"
     ),
     "query_log": sql(
-        S, SV, BM, BQ, ANSWERED, top("H", "Q", "V", 10),
+        S, SV, "BM AS (SELECT min(item_id) AS q_id, text AS query_text FROM benchmark GROUP BY text)", BQ, ANSWERED, top("H", "Q", "V", 10),
         "X AS (SELECT q_id, original_index, rank AS prior_rank FROM H)",
         f"P AS ({scored('X')})",
         """R AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, prior_rank) AS rank

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import lead_sentences, routed_collections, summary_or_fallback
 from ..functions.vectors import embed_text, plus_scaled
+from ..operators.cache import answer_cache, once_per_text
+from ..operators.context import context, prompt
 from ..operators.ranking import top_k
 from ..operators.rerank import rerank, score_pairs, word_overlap
 from ..operators.search import nearest
@@ -98,3 +100,17 @@ def routed_search(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     routes = queries.select("q_id", routed_collections("query_text").alias("routes"))
     kept = hits.join(routes, "q_id").where(F.array_contains("routes", F.col("collection"))).drop("routes")
     return top_k(kept, ["q_id"], [F.col("distance"), F.col("original_index")], k)
+
+
+def serve(queries: DataFrame, log: DataFrame, corpus: DataFrame, samples: DataFrame, k: int = 3) -> DataFrame:
+    """(q_id, query_text, cached, final_answer, prompt).
+
+    The log is looked up first; only texts without a stored answer are embedded,
+    searched and given a prompt, each text once.
+    """
+    looked_up = written(answer_cache(queries, log), "looked-up")
+    asked = with_query_vectors(once_per_text(looked_up.where("NOT cached")))
+    hits = written(nearest(asked, corpus, k), "hits")
+    prompts = prompt(context(retrieved(hits, samples)), asked)
+    by_text = asked.select("q_id", "query_text").join(prompts, "q_id").select("query_text", "prompt")
+    return looked_up.join(by_text, "query_text", "left")

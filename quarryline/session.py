@@ -62,6 +62,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows of a narrow table (ids and scores) that may be broadcast to a join.
+BROADCAST_ROWS = 1_000_000
+
+
 def at_most(df: DataFrame, rows: int) -> bool:
     """Whether `df` has no more than `rows` rows, counting no further than that."""
     return df.limit(rows + 1).count() <= rows

@@ -37,6 +37,23 @@ def write_collection(entries: DataFrame, path: str) -> None:
     entries.write.mode("append").partitionBy("collection").parquet(path)
 
 
+def read_collections(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    """Entries of the named collections; only their folders are read."""
+    entries = spark.read.parquet(path)
+    return entries if names is None else entries.where(F.col("collection").isin(names))
+
+
+def blob_key(text: Column | str) -> Column:
+    """The object name of a text, from its content."""
+    return F.concat(F.lit("code_docs/"), content_hash(text), F.lit(".txt"))
+
+
+def blob_url(key: Column | str, bucket: str) -> Column:
+    """Where the object is found; a missing key gives the failure text."""
+    url = F.concat(F.lit(f"https://{bucket}.s3.amazonaws.com/"), F.col(key) if isinstance(key, str) else key)
+    return F.coalesce(url, F.lit(UPLOAD_FAILED))
+
+
 def externalise(
     samples: DataFrame, path: str, bucket: str, text: str = "text"
 ) -> tuple[DataFrame, DataFrame]:
@@ -45,13 +62,11 @@ def externalise(
     The key comes from the content, so equal bodies are stored once and a second
     run gives the same keys.  A row without a body gets the failure text as url.
     """
-    key = F.concat(F.lit("code_docs/"), content_hash(text), F.lit(".txt"))
-    keyed = samples.withColumn("key", key)
+    keyed = samples.withColumn("key", blob_key(text))
     keyed.where(F.col("key").isNotNull()).groupBy("key").agg(F.first(text).alias("body")).write.mode(
         "overwrite"
     ).parquet(path)
-    url = F.concat(F.lit(f"https://{bucket}.s3.amazonaws.com/"), F.col("key"))
-    rows = keyed.withColumn("url", F.coalesce(url, F.lit(UPLOAD_FAILED))).drop(text)
+    rows = keyed.withColumn("url", blob_url("key", bucket)).drop(text)
     return samples.sparkSession.read.parquet(path), rows
 
 

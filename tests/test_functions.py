@@ -160,6 +160,16 @@ def test_cache(spark):
     assert rows(cache.misses(asked, log), "q_id") == [(2,)]
 
 
+def test_serve_searches_each_open_text_once(spark):
+    log = spark.createDataFrame([("1", "known", "answer")], "id string, query string, final_answer string")
+    asked = spark.createDataFrame([(1, "known"), (2, "word3"), (3, "word3"), (4, "word1")], "q_id bigint, query_text string")
+    samples = spark.createDataFrame([(i, f"word{i}.") for i in range(5)], "original_index bigint, text string")
+    got = {r.q_id: r for r in retrieval.serve(asked, log, retrieval.text_corpus(samples), samples, k=1).collect()}
+    assert (got[1].cached, got[1].final_answer, got[1].prompt) == (True, "answer", None)
+    assert "Summary: word3." in got[2].prompt and got[2].prompt == got[3].prompt
+    assert "Summary: word1." in got[4].prompt and not got[4].cached
+
+
 def test_report_counts_missing_language_and_keeps_empty_queries(spark):
     hits = spark.createDataFrame([(1, None, 10), (1, "", None), (1, "c", 20)], "q_id bigint, lang string, star bigint")
     asked = spark.createDataFrame([(1,), (2,)], "q_id bigint")

@@ -118,6 +118,18 @@ def test_stream_is_the_batch_job(spark, tmp_path):
     assert stored(spark, store, "id", "summary") == stored(spark, batch, "id", "summary")
 
 
+def test_new_checkpoint_must_not_replace_stored_batches(spark, tmp_path):
+    incoming, store = str(tmp_path / "in"), str(tmp_path / "store")
+    ingest(samples(spark, {1: A}), store, 0, chunks=windows())
+    samples(spark, {2: B}).coalesce(1).write.parquet(incoming)
+    with pytest.raises(ValueError):
+        stream_ingest(spark, incoming, CODE_SAMPLES, store, str(tmp_path / "c1"), chunks=windows())
+    stream_ingest(
+        spark, incoming, CODE_SAMPLES, store, str(tmp_path / "c2"), first_batch=1, chunks=windows()
+    ).awaitTermination()
+    assert stored(spark, store, "batch_id", "code") == [(0, A), (1, B)]
+
+
 def test_blobs_are_stored_once(spark, tmp_path):
     df = spark.createDataFrame([(1, "x"), (2, "x"), (3, None)], "original_index bigint, text string")
     blobs, index = sinks.externalise(df, str(tmp_path / "blobs"), "b")
