@@ -42,6 +42,7 @@ ROUTE_BY_WORD = {
 # --- chunking ---------------------------------------------------------------
 CHUNK_SIZE = 512
 CHUNK_OVERLAP = 50
+CHUNK_WORDS = 800
 SEPARATORS = ["\n\n", "\n", " ", ""]
 LANGUAGE_SEPARATORS = {
     "python": ["\nclass ", "\ndef "],

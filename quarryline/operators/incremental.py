@@ -5,6 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import BROADCAST_ROWS, at_most, written
+
+
+def _touched_by(batch: DataFrame, store: DataFrame, key: str) -> DataFrame:
+    """The part of the store that can matter to a batch.
+
+    A store grows without end while a batch may be small: the keys of a small batch
+    are broadcast, so the store is scanned and not shuffled.
+    """
+    keys = batch.select(key)
+    return store.join(F.broadcast(keys), key, "left_semi") if at_most(keys, BROADCAST_ROWS) else store
+
 
 def skip_known_docs(samples: DataFrame, store: DataFrame, skip_by: str = "index") -> DataFrame:
     """Documents that are not in the store.
@@ -18,7 +30,8 @@ def skip_known_docs(samples: DataFrame, store: DataFrame, skip_by: str = "index"
         key, offered = "doc_hash", samples.withColumn("doc_hash", F.sha2("text", 256))
     else:
         raise ValueError(f"skip_by must be 'index' or 'hash', not {skip_by!r}")
-    known = store.groupBy(key).agg(F.bool_and("summary_ok").alias("complete")).where("complete").select(key)
+    touched = _touched_by(offered, store.select(key, "summary_ok"), key)
+    known = touched.groupBy(key).agg(F.bool_and("summary_ok").alias("complete")).where("complete")
     return offered.join(known, key, "left_anti").select(samples.columns)
 
 
@@ -34,6 +47,11 @@ def first_of_equal(chunks: DataFrame) -> DataFrame:
 
 
 def skip_known_chunks(chunks: DataFrame, store: DataFrame) -> DataFrame:
-    """The first of each new content; content stored with a failed summary is new."""
-    known = store.where("summary_ok").select("code_hash").distinct()
-    return first_of_equal(chunks).join(known, "code_hash", "left_anti").select(chunks.columns)
+    """The first of each new content; content stored with a failed summary is new.
+
+    The reduced batch is written before the look-up, so its size is known and the
+    costly steps that follow start from files.
+    """
+    firsts = written(first_of_equal(chunks), "new-chunks")
+    known = store.where("summary_ok").select("code_hash")
+    return firsts.join(_touched_by(firsts, known, "code_hash"), "code_hash", "left_anti").select(chunks.columns)

@@ -361,10 +361,22 @@ def chunk_recursive(spark, d):
 
 @query
 def chunk_by_lang(spark, d):
-    """Language boundaries first, up to 800 words per chunk would be the token form; here by characters."""
+    """Language boundaries first, then the general separators."""
     return _checked(_samples(spark, d), chunking.recursive_chunks("text", chunking.language_separators("lang")))
 
 
+@query
+def chunk_by_words(spark, d):
+    """Language boundaries first, up to 800 words per chunk."""
+    cut = chunking.recursive_chunks("text", chunking.language_separators("lang"), C.CHUNK_WORDS, 0, chunking.WORDS)
+    s = _samples(spark, d).select("original_index", "text", cut.alias("chunks"))
+    most = F.array_max(F.transform("chunks", lambda c: F.size(F.split(c, r"\s+"))))
+    return s.select(
+        "original_index", (most <= C.CHUNK_WORDS).alias("max_words_ok"),
+        (F.regexp_replace(F.array_join("chunks", ""), r"\s+", "") == F.regexp_replace("text", r"\s+", "")).alias("whole"),
+    )
+
+
 # --- enrichment ------------------------------------------------------------------
 @query
 def summary_lead3(spark, d):
@@ -470,6 +482,20 @@ def code_docs(spark, d):
     return _stored(sinks.read_store(spark, path))
 
 
+@query
+def chunk_search(spark, d):
+    """The three stored chunks whose summaries are nearest to each query, both in their roles."""
+    path = fresh_path(spark, "code-docs")
+    ingest(_samples(spark, d), path, 0, chunks=chunking.fixed_windows("text"))
+    store = sinks.read_store(spark, path).where("summary_ok")
+    asked = tables.benchmark_queries(spark, d).withColumn(
+        "query_vec", vec_fn.embed_text(text_fn.as_query("query_text"))
+    )
+    hits = written(search.nearest(asked, store, 3, row_id="id", vector="embedding"), "hits")
+    found = weighting.attach(hits, store.select("id", "original_index", "chunk_id", "repo", "stars"), "id")
+    return found.select("q_id", "original_index", "chunk_id", "repo", "stars", *rounded("distance"), "rank")
+
+
 @query
 def code_docs_whole(spark, d):
     path = fresh_path(spark, "code-docs")

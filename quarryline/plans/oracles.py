@@ -412,6 +412,7 @@ H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dis
   true AS starts_ok FROM documents"""
         for key in ("chunk_recursive", "chunk_by_lang")
     },
+    "chunk_by_words": "SELECT doc_id AS original_index, true AS max_words_ok, true AS whole FROM documents",
     "summary_lead3": sql(
         S, select=f"SELECT original_index, {summary('text')} AS summary, {lead('text')} IS NOT NULL AS summary_ok FROM S"
     ),
@@ -445,6 +446,20 @@ F AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER B
     "ingest_recursive": """SELECT true AS no_repeats, true AS max_len_ok, 0::BIGINT AS n_second_run, true AS vectors_ok""",
     "code_docs": CHUNK_STORE,
     "stream_ingest": CHUNK_STORE,
+    "chunk_search": sql(
+        S, windows("S"),
+        f"""F AS (SELECT *, sha256(original_index || '_' || chunk_no || '_' || code_hash) AS id,
+    'passage: ' || {lead('chunk')} AS passage
+  FROM (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER BY original_index, chunk_no) AS r FROM W)
+  WHERE r = 1 AND {lead('chunk')} IS NOT NULL)""",
+        vectors("FV", "F", "id", "passage"),
+        "BM AS (SELECT item_id AS q_id, 'query: ' || text AS query_text FROM benchmark)", BQ,
+        f"""H_all AS (SELECT q_id, id, round(list_distance(query_vec, vec::FLOAT[]::DOUBLE[]), 9) AS distance FROM Q, FV),
+H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY distance, id) AS rank FROM H_all)
+  WHERE rank <= 3)""",
+        select="""SELECT q_id, original_index, original_index || '_' || chunk_no AS chunk_id, repo_name AS repo, star AS stars,
+  round(distance, 6) AS distance, rank FROM H JOIN F USING (id)""",
+    ),
     "code_docs_whole": sql(
         S,
         select="SELECT "
