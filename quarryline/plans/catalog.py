@@ -593,6 +593,19 @@ def two_round_dedup(spark, d):
     return found.select("q_id", "original_index", "round", *rounded("score"), "rank")
 
 
+@query
+def two_round_replies(spark, d):
+    """Follow-up queries given as texts: the next passage, or none after the last one."""
+    s, asked = _samples(spark, d), _asked(spark, d)
+    items = tables.benchmark_queries(spark, d)
+    following = items.select((F.col("q_id") - 1).alias("q_id"), F.col("query_text").alias("reply"))
+    replies = items.select("q_id").join(following, "q_id", "left").select(
+        "q_id", F.coalesce("reply", F.lit("No follow-up needed")).alias("reply")
+    )
+    found = retrieval.two_round(asked, written(retrieval.text_corpus(s), "vectors"), s, replies=replies)
+    return found.select("q_id", "original_index", "round", *rounded("score"), "rank")
+
+
 @query
 def two_round_prompt(spark, d):
     """The whole run: two rounds, re-ranked, as context and prompt."""

@@ -190,19 +190,24 @@ def scored(hits: str) -> str:
   FROM {hits} h JOIN S USING (original_index) JOIN Q USING (q_id))"""
 
 
-def two_round(dedup: bool) -> str:
+MOVED = """C AS (SELECT q_id, list(a ORDER BY i) AS mean_vec FROM (SELECT q_id, i, avg(vec[i]) AS a
+  FROM H JOIN V USING (original_index), range(1, 65) r(i) GROUP BY ALL) GROUP BY q_id),
+B AS (SELECT q_id, min(distance) AS best FROM H GROUP BY q_id),
+Q2 AS (SELECT q_id, list_transform(range(1, 65), lambda i: query_vec[i] + 0.5 * mean_vec[i]) AS query_vec
+  FROM Q JOIN C USING (q_id) JOIN B USING (q_id) WHERE best > 0.7)"""
+REPLIED = f"""RT AS (SELECT b.item_id AS q_id, 'query: ' || n.text AS reply
+  FROM benchmark b JOIN benchmark n ON n.item_id = b.item_id + 1),
+{vectors("RV", "RT", "q_id", "reply")},
+Q2 AS (SELECT q_id, vec AS query_vec FROM RV)"""
+
+
+def two_round(dedup: bool, second: str = MOVED) -> str:
     union = "SELECT * FROM O UNION ALL SELECT * FROM P2"
     if dedup:
         union = f"""SELECT * EXCLUDE (dup) FROM (SELECT *,
   row_number() OVER (PARTITION BY q_id, original_index ORDER BY round) AS dup FROM ({union})) WHERE dup = 1"""
     return sql(
-        S, SV, BM, BQ, top("H", "Q", "V", 3),
-        """C AS (SELECT q_id, list(a ORDER BY i) AS mean_vec FROM (SELECT q_id, i, avg(vec[i]) AS a
-  FROM H JOIN V USING (original_index), range(1, 65) r(i) GROUP BY ALL) GROUP BY q_id),
-B AS (SELECT q_id, min(distance) AS best FROM H GROUP BY q_id),
-Q2 AS (SELECT q_id, list_transform(range(1, 65), lambda i: query_vec[i] + 0.5 * mean_vec[i]) AS query_vec
-  FROM Q JOIN C USING (q_id) JOIN B USING (q_id) WHERE best > 0.7)""",
-        top("H2", "Q2", "V", 3),
+        S, SV, BM, BQ, top("H", "Q", "V", 3), second, top("H2", "Q2", "V", 3),
         "X1 AS (SELECT q_id, original_index, 1::BIGINT AS round, rank AS prior FROM H)",
         "X2 AS (SELECT q_id, original_index, 2::BIGINT AS round, rank AS prior FROM H2)",
         f"P1 AS ({scored('X1')})",
@@ -492,6 +497,7 @@ H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dis
     ),
     "two_round": two_round(False),
     "two_round_dedup": two_round(True),
+    "two_round_replies": two_round(False, REPLIED),
     "two_round_prompt": sql(
         S, BM, f"T AS ({two_round(False)})",
         f"""C AS (SELECT q_id, string_agg({RERANKED_BLOCK}, {q(C.BLOCK_SEPARATOR)} ORDER BY rank) AS context

@@ -7,7 +7,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import lead_sentences, routed_collections, summary_or_fallback
+from ..functions.text import as_query, lead_sentences, routed_collections, summary_or_fallback, wants_follow_up
 from ..functions.vectors import embed_text, plus_scaled
 from ..operators.cache import answer_cache, once_per_text
 from ..operators.context import context, prompt
@@ -43,6 +43,16 @@ def reranked(queries: DataFrame, hits: DataFrame, samples: DataFrame, keep: int
     return rerank(score_pairs(pairs, score), keep)
 
 
+def _moved_queries(queries: DataFrame, hits: DataFrame, corpus: DataFrame, gate: str, feedback: float) -> DataFrame:
+    centre = attach(hits, corpus).groupBy("q_id").agg(
+        F.min("distance").alias("best_distance"),
+        vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("mean_vec"),
+    )
+    return queries.join(centre, "q_id").where(gate).select(
+        "q_id", plus_scaled("query_vec", "mean_vec", feedback).alias("query_vec")
+    )
+
+
 def two_round(
     queries: DataFrame,
     corpus: DataFrame,
@@ -53,28 +63,28 @@ def two_round(
     feedback: float = 0.5,
     dedup: bool = False,
     score=word_overlap,
+    replies: DataFrame | None = None,
+    embed=embed_text,
 ) -> DataFrame:
     """Search, re-rank, search again where needed, re-rank the union.
 
     The second query is the first one moved towards the mean of its results
-    (Rocchio feedback).  `gate`, an SQL condition on
-    `best_distance`, decides per query.  A row found in
-    both rounds keeps two places unless `dedup`.  `corpus` is read twice, so it should
-    be a stored table of vectors.
+    (Rocchio feedback), for queries that meet `gate`, an SQL condition on
+    `best_distance`.  Where a model has suggested follow-up queries, `replies`
+    (q_id, reply) takes their place: every reply is searched unless it says that
+    none is needed.  A row found in both rounds keeps two places unless `dedup`.
+    `corpus` is read twice, so it should be a stored table of vectors.
     """
     queries = written(queries, "queries")
     first = written(nearest(queries, corpus, k), "round-1")
 
-    centre = attach(first, corpus).groupBy("q_id").agg(
-        F.min("distance").alias("best_distance"),
-        vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("mean_vec"),
-    )
-    follow_up = written(
-        queries.join(centre, "q_id").where(gate)
-        .select("q_id", plus_scaled("query_vec", "mean_vec", feedback).alias("query_vec")),
-        "follow-up",
-    )
-    second = written(nearest(follow_up, corpus, k), "round-2")
+    if replies is None:
+        second_queries = _moved_queries(queries, first, corpus, gate, feedback)
+    else:
+        second_queries = replies.where(wants_follow_up("reply")).select(
+            "q_id", embed(as_query("reply")).alias("query_vec")
+        )
+    second = written(nearest(written(second_queries, "follow-up"), corpus, k), "round-2")
 
     both = first.withColumn("round", F.lit(1).cast("bigint")).unionByName(
         second.withColumn("round", F.lit(2).cast("bigint"))

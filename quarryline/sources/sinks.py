@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..constants import UPLOAD_FAILED
 from ..functions.text import content_hash
-from ..schemas import CODE_DOCS, QUERY_LOG
+from ..schemas import BLOBS, CODE_DOCS, QUERY_LOG
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -33,8 +33,14 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def write_collection(entries: DataFrame, path: str) -> None:
-    """Append entries (collection, id, document, embedding, metadata); one folder per collection."""
-    entries.write.mode("append").partitionBy("collection").parquet(path)
+    """Append entries (collection, id, document, embedding, metadata); one folder per collection.
+
+    An id that its collection already holds is left as it is.
+    """
+    keys = ["collection", "id"]
+    stored = read_table(entries.sparkSession, path, entries.schema).select(*keys)
+    fresh = entries.join(stored, keys, "left_anti").select(entries.columns)
+    fresh.write.mode("append").partitionBy("collection").parquet(path)
 
 
 def read_collections(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
@@ -59,15 +65,15 @@ def externalise(
 ) -> tuple[DataFrame, DataFrame]:
     """Write text bodies apart from their rows; return (stored blobs, rows with a url).
 
-    The key comes from the content, so equal bodies are stored once and a second
-    run gives the same keys.  A row without a body gets the failure text as url.
+    The key comes from the content, so equal bodies are stored once, also over
+    several runs.  A row without a body gets the failure text as url.
     """
     keyed = samples.withColumn("key", blob_key(text))
-    keyed.where(F.col("key").isNotNull()).groupBy("key").agg(F.first(text).alias("body")).write.mode(
-        "overwrite"
-    ).parquet(path)
+    bodies = keyed.where(F.col("key").isNotNull()).groupBy("key").agg(F.first(text).alias("body"))
+    stored = read_table(samples.sparkSession, path, BLOBS).select("key")
+    bodies.join(stored, "key", "left_anti").write.mode("append").parquet(path)
     rows = keyed.withColumn("url", blob_url("key", bucket)).drop(text)
-    return samples.sparkSession.read.parquet(path), rows
+    return read_table(samples.sparkSession, path, BLOBS), rows
 
 
 def append_log(answers: DataFrame, path: str, good: Column | None = None) -> None:

@@ -137,6 +137,25 @@ def test_blobs_are_stored_once(spark, tmp_path):
     urls = dict(rows(index, "original_index", "url"))
     assert urls[1] == urls[2] and urls[1].startswith("https://b.s3.amazonaws.com/code_docs/")
     assert urls[3] == "Upload failed"
+    more = spark.createDataFrame([(4, "x"), (5, "y")], "original_index bigint, text string")
+    blobs, _ = sinks.externalise(more, str(tmp_path / "blobs"), "b")
+    assert rows(blobs, "body") == [("x",), ("y",)]
+
+
+def test_collections(spark, tmp_path):
+    path = str(tmp_path / "collections")
+    schema = "collection string, id string, document string, embedding array<float>, metadata struct<source_index bigint>"
+    entries = spark.createDataFrame([("a", "code_0", "x", [1.0], (0,)), ("b", "code_0", "y", [2.0], (0,))], schema)
+    sinks.write_collection(entries, path)
+    more = spark.createDataFrame([("a", "code_0", "changed", [1.0], (0,)), ("a", "code_1", "z", [3.0], (1,))], schema)
+    sinks.write_collection(more, path)
+    assert rows(sinks.read_collections(spark, path), "collection", "id", "document") == [
+        ("a", "code_0", "x"), ("a", "code_1", "z"), ("b", "code_0", "y"),
+    ]
+    only = sinks.read_collections(spark, path, ["b"])
+    assert rows(only, "id") == [("code_0",)]
+    plan = only._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [collection" in plan.replace("isnotnull(collection", "collection")
 
 
 def test_log_keeps_good_answers_only(spark, tmp_path):
