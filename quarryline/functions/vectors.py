@@ -114,3 +114,17 @@ def guarded_text(fn: Callable[[pd.Series], pd.Series]) -> Callable[[Column], Col
                 yield pd.Series([None] * len(texts), dtype=object)
 
     return run
+
+
+def guarded_vector(fn: Callable[[pd.Series], np.ndarray]) -> Callable[[Column], Column]:
+    """A text-to-vector column from a user's batch function; NULL for a batch that raises."""
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            try:
+                yield pd.Series(list(np.asarray(fn(texts), dtype=np.float32)))
+            except Exception:
+                yield pd.Series([None] * len(texts), dtype=object)
+
+    return run

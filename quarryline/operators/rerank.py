@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import overlap, rerank_text, tokens
 from .ranking import top_k
@@ -16,6 +18,11 @@ def word_overlap(query: Column, passage: Column) -> Column:
     return F.round(overlap(F.array_distinct(tokens(query)), F.array_distinct(tokens(passage))), 9)
 
 
+def model_score(make_predict: Callable, batch_size: int = 64) -> Callable[[Column, Column], Column]:
+    """A pair score from a user's model over batches of (queries, passages)."""
+    return predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch_size)
+
+
 def score_pairs(hits: DataFrame, score: Callable[[Column, Column], Column] = word_overlap) -> DataFrame:
     """Hits carrying query_text, summary and code, with the pair score.
 

@@ -26,6 +26,7 @@ from .ranking import top_k
 
 SCORE_CELLS = 4_000_000  # query-row scores held at one time
 PAIR_SLICE = 65_536  # candidate pairs examined at one time
+TASKS_PER_CORE = 4  # fewer, longer tasks: what is shuffled grows with their number
 CELL_ROWS = 100_000  # corpus rows per cell of the cogrouped form
 DECIMALS = 9  # scores equal to this many digits are ties, resolved by row id
 
@@ -213,7 +214,8 @@ def _scan(queries: DataFrame, corpus: DataFrame, make_scorer, k: int, row_id: st
         def run(batches):
             yield from _best_rows(batches, make_scorer(held.value), k, row_id, group)
 
-        return corpus.mapInArrow(run, schema)
+        cores = queries.sparkSession.sparkContext.defaultParallelism
+        return corpus.coalesce(TASKS_PER_CORE * cores).mapInArrow(run, schema)
 
     blocks = math.ceil(queries.count() / ship_rows)
     cells = max(1, math.ceil(corpus.count() / CELL_ROWS))

@@ -16,12 +16,13 @@ from ..sources.sinks import read_store, write_batch
 
 
 def _store_columns(df: DataFrame) -> DataFrame:
+    """Rows as stored; one without a vector is as incomplete as one without a summary."""
     return df.select(
         "id", "lang", F.col("repo_name").alias("repo"), F.col("star").alias("stars"),
         F.col("created_date").cast("string").alias("created_at"),
         F.col("updated_date").cast("string").alias("updated_at"),
         "summary", "code", "embedding", "original_index", "chunk_id", "code_hash", "chunk_no", "doc_hash",
-        "summary_ok",
+        (F.col("summary_ok") & F.col("embedding").isNotNull()).alias("summary_ok"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from conftest import rows
 from quarryline.functions import code, text, vectors
-from quarryline.operators import analysis, cache, context, evaluate, filters, weighting
+from quarryline.operators import analysis, cache, context, evaluate, filters, rerank, weighting
 from quarryline.plans import retrieval
 from quarryline.constants import PROMPTS
 
@@ -131,6 +131,18 @@ def test_user_model(spark):
     assert sorted(r.v for r in df.select(embed(F.col("t")).alias("v")).collect()) == [[2.0, 1.0], [3.0, 1.0]]
 
 
+def test_user_reranker(spark):
+    def load():
+        return lambda queries, passages: np.array([float(len(p) - len(q)) for q, p in zip(queries, passages)])
+
+    hits = spark.createDataFrame(
+        [(1, 1, "q", "s", "code"), (1, 2, "q", "s", "longer code"), (1, 3, "q", "s", "abcd")],
+        "q_id bigint, prior_rank bigint, query_text string, summary string, code string",
+    )
+    best = rerank.rerank(rerank.score_pairs(hits, rerank.model_score(load)), keep=2)
+    assert rows(best, "rank", "prior_rank", "score") == [(1, 2, 12.0), (2, 1, 5.0)]
+
+
 def test_filters(spark):
     data = [(1, "python", 50, 10), (2, "python", 49, 10), (3, "c", 2000, 9), (4, "go", 60, 99), (5, None, 60, 99), (6, "", 60, 99), (7, "c", 2000, 10)]
     df = spark.createDataFrame(data, "original_index bigint, lang string, len_tokens bigint, star bigint")

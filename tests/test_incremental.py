@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from quarryline.functions.vectors import guarded_text
+from quarryline.functions.vectors import guarded_text, guarded_vector
 from quarryline.operators import incremental
 from quarryline.operators.chunking import fixed_windows
 from quarryline.plans.ingest import ingest, ingest_whole
@@ -81,6 +81,21 @@ def test_failed_summary_is_tried_again(spark, tmp_path):
     assert sinks.read_store(spark, path).where("batch_id = 3").count() == 0
 
 
+def test_failed_vector_is_tried_again(spark, tmp_path):
+    path = str(tmp_path / "store")
+
+    def fragile(texts: pd.Series):
+        if texts.str.contains("b").any():
+            raise RuntimeError("model is down")
+        return [[1.0, 2.0]] * len(texts)
+
+    ingest(samples(spark, {1: B}), path, 0, chunks=windows(), embed=guarded_vector(fragile))
+    assert stored(spark, path, "summary_ok", "embedding") == [(False, None)]
+    ingest(samples(spark, {1: B}), path, 1, chunks=windows(), embed=guarded_vector(lambda t: [[1.0]] * len(t)))
+    usable = sinks.read_store(spark, path).where("summary_ok")
+    assert [(r.batch_id, r.embedding) for r in usable.collect()] == [(1, [1.0])]
+
+
 def test_hot_chunk_in_every_document(spark, tmp_path):
     path = str(tmp_path / "store")
     docs = spark.range(3000).select(F.col("id").alias("original_index"), F.concat(F.lit(A), F.col("id").cast("string")).alias("text"))
