@@ -291,12 +291,11 @@ def lexical(
     vocabulary = postings.select("term").union(queries.sparkSession.range(1).select(F.lit(""))).distinct()
     words = corpus.select(row_id, tokens(text).alias("words"))
 
-    # The empty term, which no text contains, carries the length of the row.
-    entry = F.concat(
-        F.transform(F.array_distinct("words"), lambda w: F.struct(w.alias("term"), F.lit(1).alias("n"))),
-        F.array(F.struct(F.lit("").alias("term"), F.size("words").alias("n"))),
+    # The empty term, which no text contains, stands once for every row: its count
+    # is the number of rows and the sum of `n` their total length.
+    entries = words.select(
+        F.explode(F.array_append(F.array_distinct("words"), F.lit(""))).alias("term"), F.size("words").alias("n")
     )
-    entries = words.select(F.inline(entry))
     if at_most(postings, ship_rows):
         entries = entries.join(F.broadcast(vocabulary), "term", "left_semi")
     counts = entries.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total"))
