@@ -4,22 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, minhash
+from . import bpe, decontaminate, exact, html_text, minhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """The place of an installed public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(_table(spark, folder, "documents"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, folder, "documents"), k=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op8_minhash_near_dedup)}
+def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, folder, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(_table(spark, folder, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op6_exact_dedup, op7_benchmark_decontamination, op8_minhash_near_dedup, op9_byte_bpe, op10_html_extraction)
+}
+
+_BENCHMARK_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 ORACLES = {
     "op6_exact_dedup": """
@@ -27,4 +51,19 @@ ORACLES = {
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (t)
     """,
+    "op7_benchmark_decontamination": f"""
+        WITH d AS (SELECT doc_id, coalesce({_BENCHMARK_WORDS}, []) AS w FROM documents),
+             b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_BENCHMARK_WORDS} AS w FROM benchmark),
+             p AS (SELECT item, w, least(13, len(w)) AS l, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+             bw AS (SELECT DISTINCT item, l, array_to_string(w[i:i + l - 1], ' ') AS phrase FROM p),
+             dp AS (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM bw) WHERE len(w) >= l),
+             dw AS (SELECT doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') AS phrase FROM dp),
+             hits AS (SELECT doc_id, i, l, item FROM dw JOIN bw USING (l, phrase)),
+             words AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + l)) AS k FROM hits) GROUP BY doc_id),
+             items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+               coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
 }
