@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, exact, html_text, minhash
+from . import bpe, chat, decontaminate, exact, html_text, minhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,16 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: A conversation whose texts are made of control strings.
+_CONTROL_CONVERSATION = """SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text
+    FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"""
+
+
+def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(spark.sql(_CONTROL_CONVERSATION))
+    return chat.digests(chat.format_conversations(turns, tokenizer_path("byte_bpe_50k.json")))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(_table(spark, folder, "documents"))
 
@@ -40,12 +50,24 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op6_exact_dedup, op7_benchmark_decontamination, op8_minhash_near_dedup, op9_byte_bpe, op10_html_extraction)
+    for f in (op4_chat_format, op6_exact_dedup, op7_benchmark_decontamination, op8_minhash_near_dedup, op9_byte_bpe, op10_html_extraction)
 }
 
 _BENCHMARK_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 ORACLES = {
+    "op4_chat_format": r"""
+        WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+             e AS (SELECT *, length(regexp_replace(text, '([<\[])(\\*)(/?(?:s>|(?:INST|OUT|SYS|ROLE|IS)\]))', '\1x\2\3', 'g'))
+                          + CASE role WHEN 'user' THEN 14 WHEN 'assistant' THEN 16 WHEN 'system' THEN 12 ELSE 18 + length(role) END AS n FROM c)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(4 + sum(n) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id
+    """,
     "op6_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, coalesce(text, '') AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
