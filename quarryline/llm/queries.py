@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact, html_text, minhash, quality, toxicity, training
+from . import bpe, chat, decontaminate, exact, html_text, langid, minhash, quality, toxicity, training
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,14 @@ def op1_quality_pu(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
 
 
+def op2_language_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = training.held_out(3, 1)
+    model = langid.train(docs, ~held_out)
+    found = langid.label(docs.select("doc_id", "text"), model).select(F.col("c0").alias("doc_id"), "lang_pred", "score")
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_toxicity_subwords(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     held_out = training.held_out(4, 2)
@@ -68,7 +76,7 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_pu, op3_toxicity_subwords, op4_chat_format, op6_exact_dedup, op7_benchmark_decontamination, op8_minhash_near_dedup,
+        op1_quality_pu, op2_language_crf, op3_toxicity_subwords, op4_chat_format, op6_exact_dedup, op7_benchmark_decontamination, op8_minhash_near_dedup,
         op9_byte_bpe, op10_html_extraction,
     )
 }
