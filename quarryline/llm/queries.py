@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact, html_text, langid, minhash, quality, toxicity, training
+from . import bpe, chat, decontaminate, exact, html_text, langid, minhash, ngram_lm, quality, toxicity, training
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns, tokenizer_path("byte_bpe_50k.json")))
 
 
+def op5_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_lm.score_corpus(_table(spark, folder, "documents"), training.held_out(7, 2))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(_table(spark, folder, "documents"))
 
@@ -76,7 +80,7 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_pu, op2_language_crf, op3_toxicity_subwords, op4_chat_format, op6_exact_dedup, op7_benchmark_decontamination, op8_minhash_near_dedup,
+        op1_quality_pu, op2_language_crf, op3_toxicity_subwords, op4_chat_format, op5_ngram_lm, op6_exact_dedup, op7_benchmark_decontamination, op8_minhash_near_dedup,
         op9_byte_bpe, op10_html_extraction,
     )
 }
