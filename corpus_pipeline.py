@@ -1,32 +1,65 @@
-"""A corpus pipeline: each stage reads what the one before it kept."""
+"""A corpus pipeline: each stage reads what the one before it kept.
+
+quality -> exact_dedup -> near_dedup -> decontaminate -> encode.  Every stage takes
+(spark, docs, sf_dir) and works on all rows of `docs`; all but the last return the columns
+of `documents`.  Null and empty texts pass through as each operator defines.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarryline.llm import exact, minhash
-from quarryline.session import written
+from quarryline.llm import bpe, decontaminate, exact, minhash, quality, training
+from quarryline.llm.queries import tokenizer_path
+from quarryline.session import BROADCAST_ROWS, at_most, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of every text."""
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the PU classifier does not reject."""
+    docs = docs.select(*COLUMNS)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.keep_good(docs, quality.train_on_labels(docs, labels, ~training.held_out(5, 0)))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of every text, the one with the largest doc_id; a null text comes back empty."""
     return exact.deduplicate(docs.select(*COLUMNS))
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every near-duplicate group: five-word shingles, similarity 0.8."""
-    groups = minhash.near_duplicates(docs).where("kept").select(minhash.F.col("doc_id").alias("kept_id"))
-    return docs.join(groups, docs["doc_id"].eqNullSafe(groups["kept_id"]), "left_semi").select(*COLUMNS)
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of every near-duplicate group: five-word shingles, similarity 0.8."""
+    docs = docs.select(*COLUMNS)
+    gone = written(minhash.near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "near-copies")
+    if at_most(gone, BROADCAST_ROWS):  # one number a row
+        gone = F.broadcast(gone)
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark windows cover less than a twentieth."""
+    return decontaminate.drop_contaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text (little-endian, 32 bits), with digests of them and of the decoded bytes."""
+    return bpe.round_trip(docs, tokenizer_path("byte_bpe_multi_50k.tiktoken"), with_ids=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact_dedup), ("near_dedup", near_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_stage),
+    ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("decontaminate", decontaminate_stage),
+    ("encode", encode_stage),
+]
 
-#: Trained scores are not SQL; tests/llm compares every stage with brute force.
+#: A trained score is not SQL; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -296,7 +296,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(partial(_decoded, path=path), T.StructType([*fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def _round_trip(batches, path: str) -> Iterator[pa.RecordBatch]:
+def _round_trip(batches, path: str, with_ids: bool) -> Iterator[pa.RecordBatch]:
     own = vocabulary(path)
     for batch in batches:
         for block in arrays.text_blocks(batch, "text", BLOCK_BYTES):
@@ -306,19 +306,22 @@ def _round_trip(batches, path: str) -> Iterator[pa.RecordBatch]:
             counts = [len(x) // 4 for x in ids]
             cut = np.concatenate([[0], ends])[np.cumsum([0, *counts])].tolist()
             raw = text.tobytes()
+            more = [pa.array(ids, pa.binary())] if with_ids else []
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"),
                     pa.array(counts, pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
                     pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(cut, cut[1:])], pa.string()),
+                    *more,
                 ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids],
             )
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every text and decode it again in the same task: doc_id, n_tokens and digests of ids and bytes."""
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encode every text and decode it again in the same task: doc_id, n_tokens, digests of ids and bytes, the ids if wanted."""
     plain = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     fields = [plain.schema.fields[0], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
-    return plain.mapInArrow(partial(_round_trip, path=path), T.StructType(fields))
+    fields += [T.StructField("ids", T.BinaryType())] * with_ids
+    return plain.mapInArrow(partial(_round_trip, path=path, with_ids=with_ids), T.StructType(fields))
