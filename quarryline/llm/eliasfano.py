@@ -62,7 +62,7 @@ class EliasFano:
     def encode(values: np.ndarray, universe: int) -> tuple[int, int, np.ndarray, np.ndarray]:
         """(n, width, low words, high words) of values below `universe`."""
         n = len(values)
-        width = max(0, int(universe // max(1, n)).bit_length() - 1)
+        width = min(63, max(0, int(universe // max(1, n)).bit_length() - 1))
         values = values.astype(np.uint64)
         low = PackedInts.pack(values & ((_ONE << np.uint64(width)) - _ONE), width)
         at = (values >> np.uint64(width)).astype(np.int64) + np.arange(n)
