@@ -6,7 +6,8 @@ import pytest
 import __spark_entry__ as entry
 from oracle import differences, duck
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# The optional subpackage has tests of its own.
+QUERIES, ORACLES = entry.QUERIES, entry.ORACLES
 
 
 @pytest.fixture(scope="module")
