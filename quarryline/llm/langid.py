@@ -23,11 +23,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrays, subwords
+from .training import fewest_of_each
 
 LOW, HIGH, BITS = 1, 4, 16
 BUCKETS = 1 << BITS
@@ -185,9 +186,8 @@ def _spans(batches) -> Iterator[pa.RecordBatch]:
 
 def sample_spans(docs: DataFrame) -> list[tuple[str, str]]:
     """Spans of at most `SAMPLE_TEXTS` texts of each language, those with the smallest hashes of their ids."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    chosen = docs.where("lang IS NOT NULL").select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_TEXTS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "lang")), "doc_id").select("lang", "text")
+    chosen = fewest_of_each(docs.select("doc_id", "lang"), "lang", SAMPLE_TEXTS)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("lang", "text")
     found = rows.mapInArrow(_spans, "lang string, span string").toArrow().sort_by([("lang", "ascending"), ("span", "ascending")])
     return list(zip(found.column("lang").to_pylist(), found.column("span").to_pylist()))
 
