@@ -93,6 +93,24 @@ PROMPTS = {
         "{context}\n\n"
         "Using this information, answer the following question:\n{query}\n"
     ),
+    "follow_up": (
+        '\nYou are a helpful assistant evaluating retrieved documents.\n\n'
+        'The user originally asked:\n"{query}"\n\n'
+        "You were given the following top-ranked documents:\n\n"
+        "{context}\n\n"
+        "Does this set of documents fully answer the user's question?\n\n"
+        "If not, suggest a more specific follow-up query that could help retrieve a better answer.\n\n"
+        "Respond with:\n"
+        '- "No follow-up needed" if the documents fully answer the question\n'
+        "- A short follow-up query if more information is needed\n"
+    ),
+    "generation": (
+        "\nYou are an expert programming assistant. \n\n"
+        "Query: {query}\n"
+        "Context: {context}\n"
+        "Examples: {examples}\n\n"
+        "Provide working code with explanations and best practices.\n"
+    ),
 }
 
 # --- evaluation inputs ------------------------------------------------------
@@ -118,5 +136,3 @@ PATTERN_CASES = {
 POPULARITY_TIERS = {"popular": 1000, "moderate": 100, "all": 0}
 TIER_QUERY = "JavaScript automation examples"
 TIER_K = 20
-RETRIEVER_QUERY = "How do I mutate strings and test them against a regular expression in JavaScript?"
-REPEATED_QUERY = "Write a function in Objective-C to add a user to a chat room"

@@ -25,7 +25,6 @@ IMPORT_PATTERNS = {
     "other": r"import\s+([\w.]+)",
 }
 BRANCH_WORDS = ["if", "for", "while", "case", "catch", "and", "or"]
-COMPLEXITY_CAP = 10
 
 
 def code_type(text: Column | str, path: Column | str) -> Column:
@@ -91,7 +90,7 @@ def imports(text: Column | str, lang: Column | str) -> Column:
 
 
 def complexity(text: Column | str) -> Column:
-    """1 plus the number of branch words, up to the cap of the scale."""
+    """1 plus the number of branch words."""
     words = F.regexp_extract_all(col(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
     branches = F.size(F.filter(words, lambda w: w.isin(*BRANCH_WORDS)))
-    return F.least(F.lit(COMPLEXITY_CAP), F.lit(1) + branches).cast("bigint")
+    return (F.lit(1) + branches).cast("bigint")

@@ -98,7 +98,7 @@ def rerank_text(summary: Column | str, code: Column | str) -> Column:
 
 
 def wants_follow_up(reply: Column | str) -> Column:
-    return F.lower(col(reply)) != F.lit(NO_FOLLOW_UP)
+    return F.lower(F.regexp_replace(col(reply), r"^\s+|\s+$", "")) != F.lit(NO_FOLLOW_UP)
 
 
 def lead_sentences(c: Column | str, n: int = 3, max_chars: int | None = None) -> Column:

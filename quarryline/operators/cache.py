@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def answer_per_query(log: DataFrame) -> DataFrame:
     """One stored answer per query text: the one with the smallest id."""
@@ -16,10 +18,10 @@ def answer_per_query(log: DataFrame) -> DataFrame:
 def answer_cache(queries: DataFrame, log: DataFrame) -> DataFrame:
     """(q_id, query_text, cached, final_answer) by exact query text.
 
-    The log side has one row per text, so a query that is asked very often only
-    makes the left side heavy, which adaptive execution splits.
+    The log is reduced to one row per text and written, so that the join has nothing but
+    exchanges below it and adaptive execution can split a text that is asked very often.
     """
-    stored = answer_per_query(log).withColumnRenamed("query", "query_text")
+    stored = written(answer_per_query(log).withColumnRenamed("query", "query_text"), "stored-answers")
     return queries.join(stored, "query_text", "left").select(
         "q_id", "query_text", F.col("final_answer").isNotNull().alias("cached"), "final_answer"
     )
@@ -27,7 +29,7 @@ def answer_cache(queries: DataFrame, log: DataFrame) -> DataFrame:
 
 def misses(queries: DataFrame, log: DataFrame) -> DataFrame:
     """Queries whose text is not in the log; only these need retrieval."""
-    return queries.join(log.select(F.col("query").alias("query_text")).distinct(), "query_text", "left_anti")
+    return queries.join(log.select(F.col("query").alias("query_text")), "query_text", "left_anti")
 
 
 def once_per_text(queries: DataFrame) -> DataFrame:

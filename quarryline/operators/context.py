@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +45,13 @@ def context(hits: DataFrame, style: str = "summaries") -> DataFrame:
 
 
 def prompt(contexts: DataFrame, queries: DataFrame, template: str = PROMPTS["summaries"]) -> DataFrame:
-    """(q_id, prompt): a template with {context} and {query} filled in."""
-    before, rest = template.split("{context}")
-    between, after = rest.split("{query}")
-    filled = _text(before, F.col("text"), between, bare_query("query_text"), after)
+    """(q_id, prompt): a template with {query}, {context} and, where it asks for them, {examples} filled in.
+
+    `contexts` has q_id, text and, for such a template, examples.
+    """
+    values = {"context": F.col("text"), "query": bare_query("query_text"), "examples": F.col("examples")}
+    parts = re.split(r"\{(context|query|examples)\}", template)
+    filled = _text(*[values[p] if i % 2 else p for i, p in enumerate(parts)])
     return contexts.join(queries.select("q_id", "query_text"), "q_id").select("q_id", filled.alias("prompt"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import BROADCAST_ROWS, at_most, written
 
 
-def _touched_by(batch: DataFrame, store: DataFrame, key: str) -> DataFrame:
+def touched_by(batch: DataFrame, store: DataFrame, key: str) -> DataFrame:
     """The part of the store that can matter to a batch.
 
     A store grows without end while a batch may be small: the keys of a small batch
@@ -30,7 +30,7 @@ def skip_known_docs(samples: DataFrame, store: DataFrame, skip_by: str = "index"
         key, offered = "doc_hash", samples.withColumn("doc_hash", F.sha2("text", 256))
     else:
         raise ValueError(f"skip_by must be 'index' or 'hash', not {skip_by!r}")
-    touched = _touched_by(offered, store.select(key, "summary_ok"), key)
+    touched = touched_by(offered, store.select(key, "summary_ok"), key)
     known = touched.groupBy(key).agg(F.bool_and("summary_ok").alias("complete")).where("complete")
     return offered.join(known, key, "left_anti").select(samples.columns)
 
@@ -54,4 +54,4 @@ def skip_known_chunks(chunks: DataFrame, store: DataFrame) -> DataFrame:
     """
     firsts = written(first_of_equal(chunks), "new-chunks")
     known = store.where("summary_ok").select("code_hash")
-    return firsts.join(_touched_by(firsts, known, "code_hash"), "code_hash", "left_anti").select(chunks.columns)
+    return firsts.join(touched_by(firsts, known, "code_hash"), "code_hash", "left_anti").select(chunks.columns)

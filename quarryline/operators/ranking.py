@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def top_k(
     df: DataFrame,
@@ -33,19 +35,14 @@ def top_k(
     )
 
 
-def numbered(
-    df: DataFrame, major: str, minor: list[str], name: str, ranges: int = 500_000, source: DataFrame | None = None
-) -> DataFrame:
+def numbered(df: DataFrame, major: str, minor: list[str], name: str) -> DataFrame:
     """Number rows 0, 1, 2, ... in the order of (major, *minor), without one global sort.
 
-    Rows are cut into at most `ranges` ranges of the integer column `major`.  Only
-    one count per range meets in a single task.  `source` may be a plain table with
-    the same values of `major`, which is cheaper to read for its bounds.
+    Spark samples the rows to deal them out in ranges of about equal size, so neither an
+    outlier nor a frequent value fills one.  The dealt rows are written, as a second
+    sampling might differ; then only one count per range meets in a single task.
     """
-    ends = (df if source is None else source).agg(F.min(major).alias("low"), F.max(major).alias("high")).first()
-    span = (ends["high"] or 0) - (ends["low"] or 0) + 1
-    width = max(500, -(-span // ranges))
-    ranged = df.withColumn("_range", F.floor(F.col(major) / F.lit(width)))
+    ranged = written(df.repartitionByRange(major, *minor).withColumn("_range", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))

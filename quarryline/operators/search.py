@@ -26,7 +26,7 @@ from .ranking import top_k
 
 SCORE_CELLS = 4_000_000  # query-row scores held at one time
 PAIR_SLICE = 65_536  # candidate pairs examined at one time
-TASKS_PER_CORE = 4  # fewer, longer tasks: what is shuffled grows with their number
+SHIP_BYTES = 64 << 20  # query vectors shipped whole to every task, in bytes
 CELL_ROWS = 100_000  # corpus rows per cell of the cogrouped form
 DECIMALS = 9  # scores equal to this many digits are ties, resolved by row id
 
@@ -166,6 +166,9 @@ class WordScorer:
 
 
 def _matrix(lists: pa.ListArray) -> np.ndarray:
+    sizes = pc.unique(lists.value_lengths())
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted(sizes.to_pylist())}")
     flat = np.asarray(lists.flatten(), dtype=np.float64)
     return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 1)
 
@@ -214,8 +217,7 @@ def _scan(queries: DataFrame, corpus: DataFrame, make_scorer, k: int, row_id: st
         def run(batches):
             yield from _best_rows(batches, make_scorer(held.value), k, row_id, group)
 
-        cores = queries.sparkSession.sparkContext.defaultParallelism
-        return corpus.coalesce(TASKS_PER_CORE * cores).mapInArrow(run, schema)
+        return corpus.mapInArrow(run, schema)
 
     blocks = math.ceil(queries.count() / ship_rows)
     cells = max(1, math.ceil(corpus.count() / CELL_ROWS))
@@ -255,10 +257,15 @@ def nearest(
     metric: str = "l2",
     ship_rows: int = SHIP_ROWS,
 ) -> DataFrame:
-    """The k nearest corpus rows per query (and group): (q_id, row_id, distance, rank)."""
+    """The k nearest corpus rows per query (and group): (q_id, row_id, distance, rank).
+
+    A query without a vector has no hits; vectors of different lengths are an error.
+    """
     columns = [row_id, vector] + ([group] if group else [])
     rows = corpus.select(*columns)
-    asked = queries.select("q_id", query_vector)
+    asked = queries.select("q_id", query_vector).where(F.col(query_vector).isNotNull())
+    width = asked.select(F.size(query_vector).alias("n")).first()
+    ship_rows = min(ship_rows, max(1, SHIP_BYTES // (8 * max(1, width["n"] if width else 1))))
 
     def make(table: pa.Table) -> VectorScorer:
         return VectorScorer.from_table(table, query_vector, vector, metric)

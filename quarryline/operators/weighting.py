@@ -82,11 +82,19 @@ def repository_aware_search(
 
 def domain_search(
     queries: DataFrame, corpus: DataFrame, samples: DataFrame, domain: str | None = None, fetch: int = 50,
-    k: int = 10, mode: str = "literal",
+    k: int = 10, mode: str = "literal", prefilter: bool = False,
 ) -> DataFrame:
-    """Fetch 50, keep one repository domain, first 10; without a domain, the weighted search."""
+    """Fetch 50, keep one repository domain, first 10; without a domain, the weighted search.
+
+    As the filter comes after the fetch, fewer than k rows may be left; `prefilter`
+    searches only the domain's rows and always fills k.
+    """
     if domain is None:
-        return repository_aware_search(queries, corpus, samples, k, mode)
+        return repository_aware_search(queries, corpus, samples, k, mode, prefilter)
+    if prefilter:
+        inside = code_fn.repo_context("repo_name", "star", "dir").getField("likely_domain") == domain
+        corpus = corpus.join(samples.where(inside).select("original_index"), "original_index", "left_semi")
+        fetch = k
     hits = written(nearest(queries, corpus, fetch), "hits")
     details = samples.select(
         "original_index", "star", code_fn.repo_context("repo_name", "star", "dir").alias("repo_context")

@@ -17,7 +17,6 @@ from ..functions import text as text_fn
 from ..functions import vectors as vec_fn
 from ..operators import analysis, cache, chunking, context, evaluate, filters, incremental, rerank, search, weighting
 from ..operators.enrich import add_passage_vector, add_summary
-from ..operators.ranking import numbered
 from ..session import fresh_path, written
 from ..sources import sinks, tables
 from ..streaming.ingest import stream_ingest
@@ -227,6 +226,19 @@ def topk_dense(spark, d):
     return search.nearest(means, corpus, 3).select("q_id", "original_index", *rounded("distance"), "rank")
 
 
+@query
+def topk_stored(spark, d):
+    """Vectors stored with their metadata once; searched there, and the hits' metadata fetched by key."""
+    path = fresh_path(spark, "stored-vectors")
+    _samples(spark, d).select(
+        "original_index", "lang", "repo_name", "star", vec_fn.embed_text("text").alias("vec")
+    ).write.parquet(path)
+    stored = spark.read.parquet(path)
+    hits = written(search.nearest(_asked(spark, d), stored, 3), "hits")
+    found = weighting.attach(hits, stored.select("original_index", "lang", "repo_name", "star"))
+    return found.select("q_id", "original_index", "lang", "repo_name", "star", *rounded("distance"), "rank")
+
+
 @query
 def topk_cosine(spark, d):
     """As topk_dense, by cosine distance."""
@@ -294,6 +306,22 @@ def domain_search(spark, d):
     return found.select("q_id", "original_index", *rounded("distance", "weighted_score"), "rank")
 
 
+@query
+def quality_search_full(spark, d):
+    """As quality_search, filtered before the search: k rows wherever k rows qualify."""
+    s = _samples(spark, d)
+    found = weighting.repository_aware_search(_asked(spark, d), retrieval.text_corpus(s), s, prefilter=True)
+    return found.select("q_id", "original_index", *rounded("distance", "weighted_score"), "rank")
+
+
+@query
+def domain_search_full(spark, d):
+    """As domain_search, filtered before the search."""
+    s = _samples(spark, d)
+    found = weighting.domain_search(_asked(spark, d), retrieval.text_corpus(s), s, domain="web", prefilter=True)
+    return found.select("q_id", "original_index", *rounded("distance", "weighted_score"), "rank")
+
+
 # --- contexts and prompts ------------------------------------------------------
 def _top_three(spark, d):
     s = _samples(spark, d)
@@ -340,6 +368,38 @@ def follow_up_prompt(spark, d):
     return context.context(_top_three(spark, d), "numbered")
 
 
+@query
+def follow_up_prompt_full(spark, d):
+    """The whole question whether the documents answer the query."""
+    contexts = context.context(_top_three(spark, d), "numbered")
+    return context.prompt(contexts, tables.benchmark_queries(spark, d), C.PROMPTS["follow_up"])
+
+
+@query
+def generation_prompt(spark, d):
+    """Query, context of five files and the code of the first three as examples."""
+    s = _samples(spark, d)
+    hits = written(search.nearest(_asked(spark, d), retrieval.text_corpus(s), 5), "hits")
+    found = retrieval.retrieved(hits, s)
+    examples = context.context(found.where("rank <= 3"), "numbered").select("q_id", F.col("text").alias("examples"))
+    contexts = context.context(found, "summaries").join(examples, "q_id")
+    return context.prompt(contexts, tables.benchmark_queries(spark, d), C.PROMPTS["generation"])
+
+
+@query
+def prompt_documents(spark, d):
+    contexts = context.context(_top_three(spark, d), "documents")
+    return context.prompt(contexts, tables.benchmark_queries(spark, d), C.PROMPTS["documents"])
+
+
+@query
+def prompt_chunks(spark, d):
+    s = _samples(spark, d)
+    hits = written(search.nearest(_asked(spark, d), retrieval.text_corpus(s), 5), "hits")
+    contexts = context.context(retrieval.retrieved(hits, s), "chunks")
+    return context.prompt(contexts, tables.benchmark_queries(spark, d), C.PROMPTS["chunks"])
+
+
 # --- chunking ------------------------------------------------------------------
 @query
 def chunk_fixed(spark, d):
@@ -484,10 +544,16 @@ def code_docs(spark, d):
 
 @query
 def chunk_search(spark, d):
-    """The three stored chunks whose summaries are nearest to each query, both in their roles."""
+    """The three stored chunks whose summaries are nearest to each query, both in their roles.
+
+    A chunk without a sentence stands for itself, so every chunk is searched.
+    """
     path = fresh_path(spark, "code-docs")
-    ingest(_samples(spark, d), path, 0, chunks=chunking.fixed_windows("text"))
-    store = sinks.read_store(spark, path).where("summary_ok")
+    ingest(
+        _samples(spark, d), path, 0, chunks=chunking.fixed_windows("text"),
+        summarise=lambda c: F.coalesce(text_fn.lead_sentences(c), c),
+    )
+    store = sinks.read_store(spark, path)
     asked = tables.benchmark_queries(spark, d).withColumn(
         "query_vec", vec_fn.embed_text(text_fn.as_query("query_text"))
     )
@@ -503,18 +569,12 @@ def code_docs_whole(spark, d):
     return _stored(sinks.read_store(spark, path)).drop("chunk_id", "code_hash")
 
 
-@query
-def collection_add(spark, d):
-    """Chunks with summary, prefix and vector as numbered entries of one collection."""
-    path = fresh_path(spark, "collections")
-    rows = chunking.chunk_rows(_samples(spark, d), chunking.fixed_windows("text"))
-    rows = add_passage_vector(
-        add_summary(numbered(rows, "original_index", ["chunk_no"], "position", source=tables.code_samples(spark, d)), "chunk"),
-        prefix=text_fn.metadata_prefix("lang", "repo_name", "star"),
-    )
-    entries = rows.select(
-        F.lit("code_search").alias("collection"),
-        F.concat(F.lit("chunk_"), F.col("position").cast("string")).alias("id"),
+def _entries(samples):
+    """Chunks with summary, prefix and vector, as a collection takes them."""
+    rows = chunking.chunk_rows(samples, chunking.fixed_windows("text"))
+    rows = add_passage_vector(add_summary(rows, "chunk"), prefix=text_fn.metadata_prefix("lang", "repo_name", "star"))
+    return rows.select(
+        "original_index", "chunk_no",
         text_fn.document_text("summary", "chunk").alias("document"),
         "embedding",
         F.struct(
@@ -523,13 +583,33 @@ def collection_add(spark, d):
             F.col("updated_date").cast("string").alias("updated"),
         ).alias("metadata"),
     )
-    sinks.write_collection(entries, path)
+
+
+def _collection(spark, path):
     return sinks.read_collections(spark, path, ["code_search"]).select(
         "id", text_fn.content_hash("document").alias("document_hash"),
         F.size("embedding").cast("bigint").alias("dim"), "metadata.*",
     )
 
 
+@query
+def collection_add(spark, d):
+    """All chunks as numbered entries of one collection."""
+    path = fresh_path(spark, "collections")
+    sinks.extend_collection(_entries(_samples(spark, d)), path, "code_search", ["original_index", "chunk_no"])
+    return _collection(spark, path)
+
+
+@query
+def collection_grow(spark, d):
+    """Two batches, numbered on, and the second one again, which must change nothing."""
+    path = fresh_path(spark, "collections")
+    first, second = _halves(spark, d)
+    for batch in (first, second, second):
+        sinks.extend_collection(_entries(batch), path, "code_search", ["original_index", "chunk_no"])
+    return _collection(spark, path)
+
+
 @query
 def vector_sink(spark, d):
     """Vectors of the short files, written as a table and read back."""

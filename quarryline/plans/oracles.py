@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from .. import constants as C
 from ..functions.code import BRANCH_WORDS, FUNCTION_PATTERNS, IMPORT_PATTERNS
 
@@ -109,7 +111,7 @@ DOMAIN = (
 )
 _BRANCHES = ", ".join(q(w) for w in BRANCH_WORDS)
 COMPLEXITY = (
-    r"least(10, 1 + len(list_filter(regexp_extract_all(text, '[\p{L}\p{N}_]+'), "
+    r"(1 + len(list_filter(regexp_extract_all(text, '[\p{L}\p{N}_]+'), "
     f"lambda w: w IN ({_BRANCHES}))))::BIGINT"
 )
 
@@ -195,7 +197,7 @@ MOVED = """C AS (SELECT q_id, list(a ORDER BY i) AS mean_vec FROM (SELECT q_id,
 B AS (SELECT q_id, min(distance) AS best FROM H GROUP BY q_id),
 Q2 AS (SELECT q_id, list_transform(range(1, 65), lambda i: query_vec[i] + 0.5 * mean_vec[i]) AS query_vec
   FROM Q JOIN C USING (q_id) JOIN B USING (q_id) WHERE best > 0.7)"""
-REPLIED = f"""RT AS (SELECT b.item_id AS q_id, 'query: ' || n.text AS reply
+REPLIED = f"""RT AS (SELECT b.item_id AS q_id, n.text AS reply
   FROM benchmark b JOIN benchmark n ON n.item_id = b.item_id + 1),
 {vectors("RV", "RT", "q_id", "reply")},
 Q2 AS (SELECT q_id, vec AS query_vec FROM RV)"""
@@ -254,11 +256,11 @@ def blocks(block: str, k: int = 3) -> str:
     )
 
 
-def prompted(template: str, context: str, query: str) -> str:
+def prompted(template: str, context: str, query: str, examples: str = "''") -> str:
     """A prompt as an expression over a context and a query column."""
-    before, rest = C.PROMPTS[template].split("{context}")
-    between, after = rest.split("{query}")
-    return f"{q(before)} || {context} || {q(between)} || replace({query}, 'query: ', '') || {q(after)}"
+    values = {"context": context, "query": f"replace({query}, 'query: ', '')", "examples": examples}
+    parts = re.split(r"\{(context|query|examples)\}", C.PROMPTS[template])
+    return " || ".join(values[p] if i % 2 else q(p) for i, p in enumerate(parts))
 
 
 def prompts(template: str, block: str, k: int) -> str:
@@ -270,6 +272,11 @@ def prompts(template: str, block: str, k: int) -> str:
 
 
 SUMMARY_BLOCK = f"'Summary: ' || {summary('text')} || chr(10) || 'DB ID: ' || original_index"
+DOCUMENT_BLOCK = (
+    f"'Summary: ' || {summary('text')} || chr(10) || 'Code:' || chr(10) || '```' || text || '```' || chr(10) || 'DB ID: ' || original_index"
+)
+NUMBERED_BLOCK = f"""chr(10) || 'Document ' || rank || ':' || chr(10) || 'Summary:' || chr(10) || {summary('text')} || chr(10)
+  || chr(10) || 'Code:' || chr(10) || substr(text, 1, 800) || chr(10)"""
 LINK_BLOCK = f"""'Summary: ' || {summary('text')} || chr(10)
   || 'S3 Link: https://corpus.s3.amazonaws.com/code_docs/' || sha256(text) || '.txt'"""
 RERANKED_BLOCK = f"""'Code:' || chr(10) || text || chr(10) || chr(10) || 'Summary: ' || {summary('text')} || chr(10)
@@ -397,16 +404,37 @@ H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dis
         select="""SELECT q_id, original_index, round(distance, 6) AS distance, round(weighted_score, 6) AS weighted_score,
   place AS rank FROM X WHERE place <= 10""",
     ),
-    "context": blocks(
-        f"'Summary: ' || {summary('text')} || chr(10) || 'Code:' || chr(10) || '```' || text || '```' || chr(10) || 'DB ID: ' || original_index"
+    "quality_search_full": sql(
+        S, SV, BM, BQ,
+        f"VQ AS (SELECT V.* FROM V JOIN S USING (original_index) WHERE len_tokens >= 50 AND star >= 10 AND {COMPLEXITY} <= 8)",
+        top("H", "Q", "VQ", 20),
+        f"""R AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY weighted_score, original_index) AS place FROM
+  (SELECT q_id, original_index, distance, {WEIGHTED} AS weighted_score FROM H JOIN S USING (original_index)))""",
+        select="""SELECT q_id, original_index, round(distance, 6) AS distance, round(weighted_score, 6) AS weighted_score,
+  place AS rank FROM R WHERE place <= 10""",
     ),
+    "domain_search_full": sql(
+        S, SV, BM, BQ, f"VD AS (SELECT V.* FROM V JOIN S USING (original_index) WHERE {DOMAIN} = 'web')", top("H", "Q", "VD", 10),
+        select=f"""SELECT q_id, original_index, round(distance, 6) AS distance, round({WEIGHTED}, 6) AS weighted_score,
+  rank FROM H JOIN S USING (original_index)""",
+    ),
+    "topk_stored": sql(
+        S, SV, BM, BQ, top("H", "Q", "V", 3),
+        select="SELECT q_id, original_index, lang, repo_name, star, round(distance, 6) AS distance, rank FROM H JOIN S USING (original_index)",
+    ),
+    "context": blocks(DOCUMENT_BLOCK),
     "prompt": prompts("summaries", SUMMARY_BLOCK, 3),
     "context_chunks": blocks(document("text"), 5),
     "context_links": prompts("links", LINK_BLOCK, 5),
-    "follow_up_prompt": blocks(
-        f"""chr(10) || 'Document ' || rank || ':' || chr(10) || 'Summary:' || chr(10) || {summary('text')} || chr(10)
-  || chr(10) || 'Code:' || chr(10) || substr(text, 1, 800) || chr(10)"""
-    ),
+    "follow_up_prompt": blocks(NUMBERED_BLOCK),
+    "follow_up_prompt_full": prompts("follow_up", NUMBERED_BLOCK, 3),
+    "generation_prompt": sql(
+        f"C AS ({blocks(SUMMARY_BLOCK, 5)})", f"X AS ({blocks(NUMBERED_BLOCK, 3)})",
+        select=f"""SELECT q_id, {prompted('generation', 'C.text', 'b.text', 'X.text')} AS prompt
+  FROM C JOIN X USING (q_id) JOIN benchmark b ON b.item_id = q_id""",
+    ),
+    "prompt_documents": prompts("documents", DOCUMENT_BLOCK, 3),
+    "prompt_chunks": prompts("chunks", document("text"), 5),
     "chunk_fixed": sql(
         S, windows("S"),
         select="""SELECT original_index, chunk_no, original_index || '_' || chunk_no AS chunk_id,
@@ -454,9 +482,9 @@ F AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER B
     "chunk_search": sql(
         S, windows("S"),
         f"""F AS (SELECT *, sha256(original_index || '_' || chunk_no || '_' || code_hash) AS id,
-    'passage: ' || {lead('chunk')} AS passage
+    'passage: ' || coalesce({lead('chunk')}, chunk) AS passage
   FROM (SELECT *, row_number() OVER (PARTITION BY code_hash ORDER BY original_index, chunk_no) AS r FROM W)
-  WHERE r = 1 AND {lead('chunk')} IS NOT NULL)""",
+  WHERE r = 1)""",
         vectors("FV", "F", "id", "passage"),
         "BM AS (SELECT item_id AS q_id, 'query: ' || text AS query_text FROM benchmark)", BQ,
         f"""H_all AS (SELECT q_id, id, round(list_distance(query_vec, vec::FLOAT[]::DOUBLE[]), 9) AS distance FROM Q, FV),
@@ -470,13 +498,16 @@ H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dis
         select="SELECT "
         + STORED.format(chunk_id="", summary=summary("text"), lead=lead("text"), code="text", hash="") + " FROM S",
     ),
-    "collection_add": sql(
-        S, windows("S"),
-        select=f"""SELECT 'chunk_' || (row_number() OVER (ORDER BY original_index, chunk_no) - 1) AS id,
+    **{
+        key: sql(
+            S, KNOWN, windows("S"),
+            select=f"""SELECT 'chunk_' || (row_number() OVER (ORDER BY {order}original_index, chunk_no) - 1) AS id,
   sha256({document('chunk')}) AS document_hash, 64::BIGINT AS dim, original_index || '_' || chunk_no AS chunk_id,
   original_index, lang, repo_name AS repo, star AS stars, created_date::VARCHAR AS created,
   updated_date::VARCHAR AS updated FROM W""",
-    ),
+        )
+        for key, order in (("collection_add", ""), ("collection_grow", "original_index NOT IN (SELECT doc_id FROM K), "))
+    },
     "vector_sink": sql(
         S, "SF AS (SELECT * FROM S WHERE lang <> '' AND len_tokens < 1000)",
         vectors("V", "SF", "original_index", "text"),

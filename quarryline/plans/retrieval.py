@@ -7,7 +7,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import as_query, lead_sentences, routed_collections, summary_or_fallback, wants_follow_up
+from ..functions.text import lead_sentences, routed_collections, summary_or_fallback, wants_follow_up
 from ..functions.vectors import embed_text, plus_scaled
 from ..operators.cache import answer_cache, once_per_text
 from ..operators.context import context, prompt
@@ -82,7 +82,7 @@ def two_round(
         second_queries = _moved_queries(queries, first, corpus, gate, feedback)
     else:
         second_queries = replies.where(wants_follow_up("reply")).select(
-            "q_id", embed(as_query("reply")).alias("query_vec")
+            "q_id", embed(F.col("reply")).alias("query_vec")
         )
     second = written(nearest(written(second_queries, "follow-up"), corpus, k), "round-2")
 

@@ -9,7 +9,10 @@ from pyspark.sql import types as T
 
 from ..constants import UPLOAD_FAILED
 from ..functions.text import content_hash
+from ..operators.incremental import touched_by
+from ..operators.ranking import numbered
 from ..schemas import BLOBS, CODE_DOCS, QUERY_LOG
+from ..session import written
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -27,22 +30,62 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch as a whole; writing it again replaces it."""
+    """Write one batch as a whole; writing it again replaces it.
+
+    The partition is swapped when the job commits, so a failing replay leaves the
+    stored batch as it was.  A replay without any row also leaves it.
+    """
     columns = [f.name for f in CODE_DOCS.fields if f.name != "batch_id"]
-    rows.select(*columns).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    batch = rows.select(*columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
+    batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+
+def entry_key(*columns: str) -> Column:
+    """What makes an entry the same one in a replay: a hash of the given columns."""
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
 
 
 def write_collection(entries: DataFrame, path: str) -> None:
     """Append entries (collection, id, document, embedding, metadata); one folder per collection.
 
-    An id that its collection already holds is left as it is.
+    An entry that its collection already holds, by id and by content, is a replay and
+    left out.  An id that is taken by other content is an error, never a lost row.
     """
-    keys = ["collection", "id"]
-    stored = read_table(entries.sparkSession, path, entries.schema).select(*keys)
-    fresh = entries.join(stored, keys, "left_anti").select(entries.columns)
+    schema = T.StructType([*entries.schema.fields, T.StructField("entry_key", T.StringType())])
+    offered = written(entries.withColumn("entry_key", entry_key("document", "metadata")), "entries")
+    stored = read_table(entries.sparkSession, path, schema).select("collection", "id", F.col("entry_key").alias("stored_key"))
+    stored = touched_by(offered, stored, "id")
+    met = written(offered.select("collection", "id", "entry_key").join(stored, ["collection", "id"]), "met-entries")
+    clash = met.where("entry_key <> stored_key").first()
+    if clash is not None:
+        raise ValueError(f"collection {clash['collection']!r} holds other content under id {clash['id']!r}")
+    fresh = offered.join(met, ["collection", "id"], "left_anti").select(schema.fieldNames())
     fresh.write.mode("append").partitionBy("collection").parquet(path)
 
 
+def extend_collection(rows: DataFrame, path: str, collection: str, order: list[str], prefix: str = "chunk_") -> None:
+    """Append rows (document, embedding, metadata and the order columns) under new ids.
+
+    Ids go on from the collection's current count, in the order given.  Rows that the
+    collection already holds, by document and metadata, are a replay and left out.
+    """
+    spark = rows.sparkSession
+    columns = ["document", "embedding", "metadata"]
+    schema = T.StructType(
+        [T.StructField("collection", T.StringType()), T.StructField("id", T.StringType())]
+        + [rows.schema[c] for c in columns]
+        + [T.StructField("entry_key", T.StringType())]
+    )
+    offered = written(rows.withColumn("entry_key", entry_key("document", "metadata")), "offered")
+    stored = read_table(spark, path, schema).where(F.col("collection") == collection)
+    fresh = offered.join(touched_by(offered, stored.select("entry_key"), "entry_key"), "entry_key", "left_anti")
+    placed = numbered(fresh, order[0], order[1:], "_number")
+    ids = F.concat(F.lit(prefix), (F.col("_number") + stored.count()).cast("string"))
+    placed.select(F.lit(collection).alias("collection"), ids.alias("id"), *columns, "entry_key").write.mode("append").partitionBy(
+        "collection"
+    ).parquet(path)
+
+
 def read_collections(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
     """Entries of the named collections; only their folders are read."""
     entries = spark.read.parquet(path)
@@ -77,7 +120,7 @@ def externalise(
 
 
 def append_log(answers: DataFrame, path: str, good: Column | None = None) -> None:
-    """Append answered queries to the log; answers that are not good stay out.
+    """Append answered queries to the log; answers that are not good stay out, and so do those it holds.
 
     Rows need query, final_answer, retrieved_doc_ids and final_doc_ids.
     """
@@ -85,7 +128,9 @@ def append_log(answers: DataFrame, path: str, good: Column | None = None) -> Non
     rows = kept.withColumn(
         "id", F.sha2(F.concat_ws("\n", "query", "final_answer"), 256)
     )
-    rows.select(*QUERY_LOG.fieldNames()).write.mode("append").parquet(path)
+    rows = written(rows.select(*QUERY_LOG.fieldNames()).dropDuplicates(["id"]), "answers")
+    stored = touched_by(rows, read_log(rows.sparkSession, path).select("id"), "id")
+    rows.join(stored, "id", "left_anti").select(*QUERY_LOG.fieldNames()).write.mode("append").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

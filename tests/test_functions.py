@@ -92,6 +92,7 @@ def test_markers_and_roles(spark):
     assert one(spark, text.bare_query(text.as_query("t")), t="x") == "x"
     assert one(spark, text.wants_follow_up("t"), t="No Follow-up NEEDED") is False
     assert one(spark, text.wants_follow_up("t"), t="no follow-up needed.") is True
+    assert one(spark, text.wants_follow_up("t"), t=" No follow-up needed\n") is False
     assert one(spark, text.metadata_prefix("a", "b", "c"), a=None, b="r", c=3) == "# Language: None\n# Repo: r\n# Stars: 3\n"
 
 

@@ -162,7 +162,10 @@ def test_collections(spark, tmp_path):
     schema = "collection string, id string, document string, embedding array<float>, metadata struct<source_index bigint>"
     entries = spark.createDataFrame([("a", "code_0", "x", [1.0], (0,)), ("b", "code_0", "y", [2.0], (0,))], schema)
     sinks.write_collection(entries, path)
-    more = spark.createDataFrame([("a", "code_0", "changed", [1.0], (0,)), ("a", "code_1", "z", [3.0], (1,))], schema)
+    clash = spark.createDataFrame([("a", "code_0", "changed", [1.0], (0,)), ("a", "code_9", "w", [3.0], (1,))], schema)
+    with pytest.raises(ValueError, match="code_0"):
+        sinks.write_collection(clash, path)
+    more = spark.createDataFrame([("a", "code_0", "x", [1.0], (0,)), ("a", "code_1", "z", [3.0], (1,))], schema)
     sinks.write_collection(more, path)
     assert rows(sinks.read_collections(spark, path), "collection", "id", "document") == [
         ("a", "code_0", "x"), ("a", "code_1", "z"), ("b", "code_0", "y"),
@@ -173,6 +176,41 @@ def test_collections(spark, tmp_path):
     assert "PartitionFilters: [collection" in plan.replace("isnotnull(collection", "collection")
 
 
+def test_a_collection_grows_by_every_new_row(spark, tmp_path):
+    path = str(tmp_path / "growing")
+    schema = "position long, document string, embedding array<float>, metadata struct<source_index bigint>"
+
+    def add(*items):
+        made = [(i, text, [1.0], (source,)) for i, (text, source) in enumerate(items)]
+        sinks.extend_collection(spark.createDataFrame(made, schema), path, "c", ["position"])
+
+    add(("a", 1), ("b", 2))
+    add(("c", 3), ("a", 9))  # the same text from elsewhere is another row
+    add(("c", 3), ("d", 4))  # one replayed
+    found = rows(sinks.read_collections(spark, path), "id", "document")
+    assert found == [("chunk_0", "a"), ("chunk_1", "b"), ("chunk_2", "c"), ("chunk_3", "a"), ("chunk_4", "d")]
+
+
+def test_a_failing_replay_leaves_the_batch(spark, tmp_path):
+    path = str(tmp_path / "store")
+    samples = spark.createDataFrame(
+        [(1, "Some text. More.", "python", "r", "o/r", 1, 4, "a.py", None, None)], CODE_SAMPLES
+    )
+    ingest(samples, path, 0, chunks=windows())
+    before = stored(spark, path, "batch_id", "code")
+    with pytest.raises(Exception):
+        ingest(samples, path, 0, chunks=windows(), summarise=lambda c: F.raise_error(F.lit("no model")).cast("string"))
+    assert before and stored(spark, path, "batch_id", "code") == before
+
+
+def test_log_twice_gives_the_same_rows(spark, tmp_path):
+    path = str(tmp_path / "log")
+    answers = spark.createDataFrame([("", f"q{i % 3}", f"a{i % 3}", ["1"], ["1"]) for i in range(9)], QUERY_LOG)
+    for _ in range(2):
+        sinks.append_log(answers, path)
+    assert rows(sinks.read_log(spark, path), "query") == [("q0",), ("q1",), ("q2",)]
+
+
 def test_log_keeps_good_answers_only(spark, tmp_path):
     path = str(tmp_path / "log")
     assert sinks.read_log(spark, path).count() == 0

@@ -154,6 +154,35 @@ def test_partial_limit_in_plan(tables):
 
 def test_numbered(spark):
     df = spark.range(4000).select((F.col("id") * 3).alias("a"), F.explode(F.array(F.lit(1), F.lit(0))).alias("b"))
-    got = numbered(df, "a", ["b"], "n", ranges=50).orderBy("n").collect()
+    got = numbered(df, "a", ["b"], "n").orderBy("n").collect()
     assert [r.n for r in got] == list(range(8000))
     assert [(r.a, r.b) for r in got] == sorted((r.a, r.b) for r in got)
+
+
+def test_numbered_with_an_outlier(spark):
+    df = spark.range(4000).select(F.when(F.col("id") == 7, 10**15).otherwise(F.col("id")).alias("a"), F.lit(0).alias("b"))
+    got = numbered(df, "a", ["b"], "n").orderBy("n").collect()
+    assert [r.n for r in got] == list(range(4000)) and got[-1].a == 10**15
+    ranges = df.repartitionByRange(8, "a", "b").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in ranges) < 2000
+
+
+def test_a_query_without_a_vector_has_no_hits(spark):
+    corpus = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, None)], "original_index long, vec array<double>")
+    asked = spark.createDataFrame([(1, [0.0, 1.0]), (2, None)], "q_id long, query_vec array<double>")
+    assert rows(search.nearest(asked, corpus, 1), "q_id", "original_index") == [(1, 1)]
+    assert search.nearest(asked.where("q_id = 2"), corpus, 1).count() == 0
+
+
+def test_vectors_of_different_lengths_are_an_error(spark):
+    corpus = spark.createDataFrame([(1, [0.0]), (2, [1.0, 0.0, 1.0])], "original_index long, vec array<double>").coalesce(1)
+    asked = spark.createDataFrame([(1, [0.0, 1.0])], "q_id long, query_vec array<double>")
+    with pytest.raises(Exception, match="different lengths"):
+        search.nearest(asked, corpus, 1).collect()
+
+
+def test_search_keeps_the_splits_of_the_corpus(spark):
+    corpus = spark.range(0, 600, 1, 60).select(F.col("id").alias("original_index"), F.array(F.col("id").cast("double")).alias("vec"))
+    asked = spark.createDataFrame([(1, [5.0])], "q_id long, query_vec array<double>")
+    plan = search.nearest(asked, corpus, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan
