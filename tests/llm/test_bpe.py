@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 
 from quarryline.llm import arrays, bpe
 from quarryline.llm.queries import tokenizer_path
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 tiktoken = pytest.importorskip("tiktoken")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarryline.llm import langid, quality, queries, toxicity, training
+from odd_rows import labels, no_docs, odd_docs  # noqa: F401
 
 FOLDER = "/root/testdata/sf0.1"
 

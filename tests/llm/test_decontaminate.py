@@ -4,6 +4,7 @@ import re
 import pytest
 
 from quarryline.llm import decontaminate
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PASSAGE = " ".join(f"word{i}" for i in range(20))

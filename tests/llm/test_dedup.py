@@ -7,6 +7,7 @@ from collections import defaultdict
 import pytest
 
 from quarryline.llm import exact, graph, minhash
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 

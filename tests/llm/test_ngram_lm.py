@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from quarryline.llm import ngram_lm, training
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 

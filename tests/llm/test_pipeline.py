@@ -7,6 +7,7 @@ import pytest
 import corpus_pipeline as pipeline
 from quarryline.llm import decontaminate
 from test_dedup import brute
+from odd_rows import no_docs, odd_docs  # noqa: F401
 
 FOLDER = "/root/testdata/sf0.001"
 
