@@ -133,6 +133,7 @@ PATTERN_CASES = {
     "Create an Express.js server with basic routing": ["express", "app.get", "app.listen", "require"],
     "Python script for network reconnaissance": ["socket", "subprocess", "nmap", "whois"],
 }
+SNIPPET_CASES = {"Any class, function or import": ["class ", "def ", "import ", "function "]}
 POPULARITY_TIERS = {"popular": 1000, "moderate": 100, "all": 0}
 TIER_QUERY = "JavaScript automation examples"
 TIER_K = 20

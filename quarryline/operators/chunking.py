@@ -76,7 +76,8 @@ def chunk_spans(
     def windows(start: int, end: int) -> None:
         """Chunks of a region without any separator."""
         if word_starts is not None:
-            spans.append((start, end))
+            # White space that no separator names still parts words.
+            merge([start, *word_starts[measure(start) + 1 : measure(end)], end])
             return
         while end - start > size:
             spans.append((start, start + size))
@@ -162,4 +163,6 @@ def chunk_checks(text: Column | str, chunks: Column | str, size: int = CHUNK_SIZ
         F.forall(chunks, lambda c: F.length(c) <= size).alias("max_len_ok"),
         F.forall(chunks, lambda c: F.contains(text, c)).alias("all_substrings"),
         F.coalesce(F.startswith(bare, F.get(chunks, F.lit(0))), F.lit(True)).alias("starts_ok"),
+        F.coalesce(F.endswith(F.regexp_replace(text, r"\s+$", ""), F.element_at(F.filter(chunks, lambda c: c != ""), -1)), F.lit(True)).alias("ends_ok"),
+        (F.size(chunks) >= F.ceil(F.length(F.regexp_replace(text, r"\s+", "")) / F.lit(size))).alias("enough_chunks"),
     ]

@@ -816,4 +816,6 @@ def popularity_tiers(spark, d):
 
 @query
 def pattern_coverage(spark, d):
-    return evaluate.pattern_coverage(_samples(spark, d)).select("case_id", "original_index", *rounded("score"))
+    """The evaluation's cases, and one of patterns that the source files hold."""
+    found = evaluate.pattern_coverage(_samples(spark, d), {**C.PATTERN_CASES, **C.SNIPPET_CASES})
+    return found.select("case_id", "original_index", *rounded("score"))

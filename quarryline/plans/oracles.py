@@ -442,7 +442,7 @@ H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dis
     ),
     **{
         key: """SELECT doc_id AS original_index, true AS has_chunk, true AS max_len_ok, true AS all_substrings,
-  true AS starts_ok FROM documents"""
+  true AS starts_ok, true AS ends_ok, true AS enough_chunks FROM documents"""
         for key in ("chunk_recursive", "chunk_by_lang")
     },
     "chunk_by_words": "SELECT doc_id AS original_index, true AS max_words_ok, true AS whole FROM documents",
@@ -613,7 +613,7 @@ X AS (SELECT q_id, collection, original_index, {DIST} AS distance FROM Q, SC WHE
             f"SELECT {i}::BIGINT AS case_id, original_index, round(("
             + " + ".join(f"contains(text, {q(p)})::INT" for p in patterns)
             + f") * 10.0 / {len(patterns)}, 6)::DOUBLE AS score FROM S"
-            for i, patterns in enumerate(C.PATTERN_CASES.values())
+            for i, patterns in enumerate({**C.PATTERN_CASES, **C.SNIPPET_CASES}.values())
         ),
     ),
 }

@@ -56,6 +56,12 @@ def test_size_in_words():
     assert cut("a b c d e f g", 3, 1, unit=WORDS) == ["a b c", "c d e", "e f g"]
 
 
+def test_words_parted_by_tabs_only():
+    text = "\t".join(f"w{i}" for i in range(1000))
+    chunks = cut(text, 800, 0, unit=WORDS)
+    assert [len(c.split()) for c in chunks] == [800, 200] and " ".join(" ".join(chunks).split()) == text.replace("\t", " ")
+
+
 def by_pieces(text, separators, size, overlap):
     """Sequential form of the merge: hold pieces, emit when full, keep a tail."""
     if separators[0] == "" or not any(s and s in text for s in separators):
