@@ -41,3 +41,8 @@ def top_repos(df: DataFrame, n: int = 10) -> DataFrame:
         .orderBy(F.desc("star"), "original_index")
         .limit(n)
     )
+
+
+def sample_rows(samples: DataFrame, n: int = 5, key: str = "original_index") -> DataFrame:
+    """The first n rows."""
+    return samples.orderBy(key).limit(n)

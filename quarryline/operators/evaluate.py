@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PATTERN_CASES, POPULARITY_TIERS
+from .ranking import top_k
 from .search import nearest
 from .weighting import attach
 from ..session import written
@@ -48,14 +49,20 @@ def popularity_tiers(
 ) -> DataFrame:
     """Size and mean stars of the top-k result per query and minimum-stars tier.
 
-    A row belongs to every tier it reaches; all tiers share one search pass.
+    Tiers are nested, so the corpus is searched once in the bands between them, and the
+    k best rows of each band are merged into every tier that holds it.
     """
-    levels = F.array(*[F.when(F.col("star") >= stars, F.lit(name)) for name, stars in tiers.items()])
-    tiered = (
+    falling = sorted(tiers.items(), key=lambda t: -t[1])
+    band = F.coalesce(*[F.when(F.col("star") >= stars, F.lit(name)) for name, stars in falling])
+    banded = (
         corpus.join(samples.select("original_index", "star"), "original_index") if "star" not in corpus.columns
         else corpus
-    ).withColumn("tier", F.explode(F.array_compact(levels)))
-    hits = written(nearest(queries, tiered, k, group="tier"), "tier-hits")
+    ).withColumn("band", band).where(F.col("band").isNotNull())
+    within = F.coalesce(*[
+        F.when(F.col("band") == name, F.array(*[F.lit(t) for t, least in falling if least <= stars])) for name, stars in falling
+    ])
+    best = nearest(queries, banded, k, group="band").drop("rank").withColumn("tier", F.explode(within)).drop("band")
+    hits = written(top_k(best, ["q_id", "tier"], [F.col("distance"), F.col("original_index")], k), "tier-hits")
     found = attach(hits, samples.select("original_index", "star")).groupBy("q_id", "tier").agg(
         F.count(F.lit(1)).alias("result_count"), F.avg("star").alias("avg_repo_popularity")
     )

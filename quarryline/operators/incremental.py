@@ -21,8 +21,8 @@ def touched_by(batch: DataFrame, store: DataFrame, key: str) -> DataFrame:
 def skip_known_docs(samples: DataFrame, store: DataFrame, skip_by: str = "index") -> DataFrame:
     """Documents that are not in the store.
 
-    'index' goes by row position, 'hash' by content.  A document with a failed
-    row is not known, so it is tried again.
+    'index' goes by row position, 'hash' by content.  A document with a failed row is
+    not known, so it is tried again, until a later row holds that content.
     """
     if skip_by == "index":
         key, offered = "original_index", samples
@@ -30,8 +30,13 @@ def skip_known_docs(samples: DataFrame, store: DataFrame, skip_by: str = "index"
         key, offered = "doc_hash", samples.withColumn("doc_hash", F.sha2("text", 256))
     else:
         raise ValueError(f"skip_by must be 'index' or 'hash', not {skip_by!r}")
-    touched = touched_by(offered, store.select(key, "summary_ok"), key)
-    known = touched.groupBy(key).agg(F.bool_and("summary_ok").alias("complete")).where("complete")
+    content = [F.col(c) for c in ("code_hash", "doc_hash") if c in store.columns]
+    rows = store.select(key, F.coalesce(*content, F.col(key).cast("string")).alias("_content"), "summary_ok")
+    touched = touched_by(offered, rows, key)
+    failed = touched.where(~F.col("summary_ok")).select(key, "_content")
+    done = touched_by(failed, rows.where("summary_ok").select("_content"), "_content")
+    open_docs = failed.join(done, "_content", "left_anti").select(key)
+    known = touched.select(key).join(open_docs, key, "left_anti")
     return offered.join(known, key, "left_anti").select(samples.columns)
 
 

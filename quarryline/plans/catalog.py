@@ -48,6 +48,12 @@ def profile(spark, d):
     return analysis.profile(tables.code_samples(spark, d))
 
 
+@query
+def sample_rows(spark, d):
+    """The first rows as they are, to look at."""
+    return analysis.sample_rows(tables.code_samples(spark, d)).select("original_index", "text", "lang", "star", "dir")
+
+
 @query
 def rename(spark, d):
     return filters.rename(tables.code_samples(spark, d))

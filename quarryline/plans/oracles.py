@@ -297,6 +297,7 @@ ORACLES: dict[str, str] = {
             for c, t in PROFILE_TYPES.items()
         ),
     ),
+    "sample_rows": sql(S, select="SELECT original_index, text, lang, star, dir FROM S ORDER BY original_index LIMIT 5"),
     "rename": sql(
         S,
         select="""SELECT text AS code, lang AS language, dir AS file_path, repo_name, repo_full_name,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import COLLECTIONS
 from ..functions.text import lead_sentences, routed_collections, summary_or_fallback, wants_follow_up
 from ..functions.vectors import embed_text, plus_scaled
 from ..operators.cache import answer_cache, once_per_text
@@ -103,13 +106,17 @@ def two_round(
 def routed_search(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """Search only the collections each query is routed to.
 
-    `corpus` carries `collection`.  One pass keeps k rows per query and collection;
-    the best k of the routed ones are the best k of those collections together.
+    `corpus` carries `collection`; each collection is read for its own queries only.  The
+    best k of the routed collections are the best k of those collections together.
     """
-    hits = nearest(queries, corpus, k, group="collection").drop("rank")
-    routes = queries.select("q_id", routed_collections("query_text").alias("routes"))
-    kept = hits.join(routes, "q_id").where(F.array_contains("routes", F.col("collection"))).drop("routes")
-    return top_k(kept, ["q_id"], [F.col("distance"), F.col("original_index")], k)
+    routes = written(queries.withColumn("route", F.explode(routed_collections("query_text"))), "routes")
+    parts = [
+        nearest(routes.where(F.col("route") == name), corpus.where(F.col("collection") == name), k)
+        .drop("rank").withColumn("collection", F.lit(name))
+        for name in COLLECTIONS
+    ]
+    hits = reduce(DataFrame.unionByName, parts)
+    return top_k(hits, ["q_id"], [F.col("distance"), F.col("original_index")], k)
 
 
 def serve(queries: DataFrame, log: DataFrame, corpus: DataFrame, samples: DataFrame, k: int = 3) -> DataFrame:

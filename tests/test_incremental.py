@@ -203,6 +203,19 @@ def test_a_failing_replay_leaves_the_batch(spark, tmp_path):
     assert before and stored(spark, path, "batch_id", "code") == before
 
 
+def test_a_retried_document_is_known(spark, tmp_path):
+    path = str(tmp_path / "retried")
+    samples = spark.createDataFrame(
+        [(i, f"Text {i}. More.", "python", "r", "o/r", 1, 4, "a.py", None, None) for i in range(3)], CODE_SAMPLES
+    )
+    failing = lambda c: F.when(~F.contains(c, F.lit("Text 1")), c)
+    ingest(samples, path, 0, chunks=windows(), summarise=failing)
+    ingest(samples, path, 1, chunks=windows())
+    assert stored(spark, path, "batch_id", "code") == [(0, "Text 0. More."), (0, "Text 1. More."), (0, "Text 2. More."), (1, "Text 1. More.")]
+    left = incremental.skip_known_docs(samples, sinks.read_store(spark, path))
+    assert left.count() == 0
+
+
 def test_log_twice_gives_the_same_rows(spark, tmp_path):
     path = str(tmp_path / "log")
     answers = spark.createDataFrame([("", f"q{i % 3}", f"a{i % 3}", ["1"], ["1"]) for i in range(9)], QUERY_LOG)
