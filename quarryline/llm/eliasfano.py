@@ -144,8 +144,11 @@ class BigramTrie:
         )
         self.codes = views[6]
 
-    def log_probability(self, contexts: np.ndarray, successors: np.ndarray) -> np.ndarray:
+    def log_probability(self, contexts: np.ndarray, successors: np.ndarray, chunk: int = 1 << 17) -> np.ndarray:
         """Quantised log10 probability of each n-gram; nan for one that is not in the trie."""
+        if len(contexts) > chunk:
+            cuts = range(0, len(contexts), chunk)
+            return np.concatenate([self.log_probability(contexts[a : a + chunk], successors[a : a + chunk]) for a in cuts])
         out = np.full(len(contexts), np.nan)
         if not self.keys.n or not len(contexts):
             return out

@@ -40,9 +40,11 @@ from . import arrays
 from .eliasfano import BigramTrie
 
 #: Bytes of text of a block, and tokens or distinct words of a shard.
-BLOCK_BYTES, SHARD_TOKENS = 6 << 20, 1_500_000
+BLOCK_BYTES, SHARD_TOKENS = 7 << 20, 1_500_000
 #: The weight of the unigram part is (HELD + SPREAD * c ** HEAPS) / (c + HELD).
 HELD, SPREAD, HEAPS = 2.0, 0.9, 0.95
+#: Shards answer in whole parts of this fraction, which pack better than floats.
+FIXED = 4096
 END, BEGIN = np.uint64(0xE17D_0000_0000_0001), np.uint64(0xBE61_0000_0000_0001)
 
 
@@ -54,7 +56,7 @@ def pack(*columns: np.ndarray) -> bytes:
         head += [c.dtype.itemsize, len(c)]
         body.append(c.view(np.uint8).reshape(len(c), c.dtype.itemsize).T.tobytes() if len(c) else b"")
     first = np.array([len(columns), *head], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(first + b"".join(body))
+    return zstandard.ZstdCompressor(level=3).compress(first + b"".join(body))
 
 
 def unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
@@ -98,7 +100,12 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
             rows = arrays.row_of(bounds)
             stream = np.full(len(starts) + n, END, np.uint64)
             stream[np.arange(len(starts)) + rows] = arrays.span_hashes(data, starts, ends)
-            words, index = np.unique(stream, return_inverse=True)
+            words, index, uses = np.unique(stream, return_inverse=True, return_counts=True)
+            # Frequent words get small numbers, and words used alike follow each other by hash: both pack better.
+            order = np.argsort(-np.floor(np.log2(uses)), kind="stable")
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.arange(len(order), dtype=np.int32)
+            words, index = words[order], rank[index]
             held = block.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             sizes = np.diff(bounds) + 1
             training = np.bincount(index[~np.repeat(held, sizes)], minlength=len(words))
@@ -109,10 +116,11 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
                     pa.array([len(stream)], pa.int64()),
                     pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), block.column("doc_id")),
                     pa.array([pack(held)], pa.binary()),
-                    pa.array([pack(words, training.astype("<u4"))], pa.binary()),
+                    pa.array([pack(words)], pa.binary()),
+                    pa.array([pack(training.astype("<u4"))], pa.binary()),
                     pa.array([pack(sizes.astype("<u4"), index.astype("<u4"))], pa.binary()),
                 ],
-                names=["block", "n_words", "n_tokens", "ids", "held_out", "words", "tokens"],
+                names=["block", "n_words", "n_tokens", "ids", "held_out", "words", "training", "tokens"],
             )
             number += 1
 
@@ -120,7 +128,8 @@ def _blocks(batches) -> Iterator[pa.RecordBatch]:
 def _send_words(batches, shards: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in range(batch.num_rows):
-            words, training = unpack(batch.column("words")[r].as_py(), "<u8", "<u4")
+            (words,) = unpack(batch.column("words")[r].as_py(), "<u8")
+            (training,) = unpack(batch.column("training")[r].as_py(), "<u4")
             of = shard_of(words, shards)
             order = np.argsort(of, kind="stable")
             cuts = _cuts(of[order])
@@ -177,7 +186,7 @@ def _send_bigrams(batches, word_shards: int, shards: int, total: int, distinct:
     """Rows (shard, block, kind, payload, ids): kind 1 is the block's own row, kind 0 bigrams for a shard."""
     for batch in batches:
         for r in range(batch.num_rows):
-            words, _ = unpack(batch.column("words")[r].as_py(), "<u8", "<u4")
+            (words,) = unpack(batch.column("words")[r].as_py(), "<u8")
             sizes, index = unpack(batch.column("tokens")[r].as_py(), "<u4", "<u4")
             (held,) = unpack(batch.column("held_out")[r].as_py(), "?")
             answers = sorted((a["shard"], a["payload"]) for a in batch.column("answers")[r].as_py())
@@ -198,29 +207,34 @@ def _send_bigrams(batches, word_shards: int, shards: int, total: int, distinct:
             before[bounds[:-1]] = len(words)
             keys = np.append(words, BEGIN)
             context_counts = np.append(counts, begins)
-            pair, n = np.unique((before * len(words) + index) * len(sizes) + text, return_counts=True)
-            text, pair = pair % len(sizes), pair // len(sizes)
-            before, after = pair // len(words), pair % len(words)
-            context, word = keys[before], words[after]
+            entry, n = np.unique((before * len(words) + index) * len(sizes) + text, return_counts=True)
+            n = n.astype("<u4")
+            text, entry = (entry % len(sizes)).astype("<u4"), entry // len(sizes)
+            first = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]]))
+            texts = np.diff(np.append(first, len(entry)))  # of each bigram
+            before, after = entry[first] // len(words), entry[first] % len(words)
+            del entry, index
             # A context beyond a shard's share is split by its successors.
             parts = 1 + (context_counts[before] * shards // max(1, total)).astype(np.uint64)
-            part = np.where(parts > 1, arrays.mix(word) % parts, 0).astype(np.uint64)
-            of = shard_of(context + part * np.uint64(0x9E3779B97F4A7C15), shards)
+            part = np.where(parts > 1, arrays.mix(words[after]) % parts, 0).astype(np.uint64)
+            of = shard_of(keys[before] + part * np.uint64(0x9E3779B97F4A7C15), shards)
             order = np.argsort(of, kind="stable")
             for shard, a, b in _cuts(of[order]):
                 rows = order[a:b]
                 group = before[rows]
                 new = np.concatenate([[True], group[1:] != group[:-1]])
                 size = np.diff(np.append(np.flatnonzero(new), len(rows)))
+                own = np.repeat(first[rows] - np.cumsum(texts[rows]) + texts[rows], texts[rows]) + np.arange(texts[rows].sum())
                 payload = pack(
                     keys[group[new]],
                     context_counts[group[new]].astype("<u8"),
                     size.astype("<u4"),
-                    (arrays.mix(word[rows] ^ np.uint64(0xABCDEF)) >> np.uint64(32)).astype("<u4"),
+                    (arrays.mix(words[after[rows]] ^ np.uint64(0xABCDEF)) >> np.uint64(32)).astype("<u4"),
                     counts[after[rows]].astype("<u8"),
-                    text[rows].astype("<u4"),
-                    n[rows].astype("<u4"),
-                    held[text[rows]],
+                    texts[rows].astype("<u4"),
+                    text[own],
+                    n[own],
+                    held[text[own]],
                 )
                 out.append((shard, block, 0, payload, None))
             kind = batch.schema.field("ids").type
@@ -232,31 +246,42 @@ def _send_bigrams(batches, word_shards: int, shards: int, total: int, distinct:
 def _score_shards(batches, total: int, distinct: int) -> Iterator[pa.RecordBatch]:
     """Rows (block, kind, payload, ids): kind 1 as it came, kind 0 the sums of a shard for a block's texts."""
     for _, rows in _by_shard(batches):
-        sent = [unpack(p, "<u8", "<u8", "<u4", "<u4", "<u8", "<u4", "<u4", "?") for _, _, kind, p, _ in rows if kind == 0]
+        sent = [unpack(p, "<u8", "<u8", "<u4", "<u4", "<u8", "<u4", "<u4", "<u4", "?") for _, _, kind, p, _ in rows if kind == 0]
         out = [(block, 1, payload, ids) for _, block, kind, payload, ids in rows if kind == 1]
         blocks = [r[1] for r in rows if r[2] == 0]
         if sent:
-            context = np.concatenate([np.repeat(s[0], s[2]) for s in sent])
+            # One row for each bigram of each block; `texts` says how many entries follow for its texts.
+            keys, rank = np.unique(np.concatenate([s[0] for s in sent]), return_inverse=True)
+            at = np.cumsum([0, *(len(s[0]) for s in sent)])
+            rank = np.concatenate([np.repeat(rank[a:b], s[2]) for a, b, s in zip(at, at[1:], sent)])
             context_count = np.concatenate([np.repeat(s[1], s[2]) for s in sent]).astype(np.float64)
-            word, word_count, text, n, held = (np.concatenate([s[i] for s in sent]) for i in (3, 4, 5, 6, 7))
-            order = np.lexsort((word, context))
-            c, w = context[order], word[order]
-            cut = np.flatnonzero(np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])]))
-            seen = np.add.reduceat(np.where(held[order], 0, n[order]).astype(np.int64), cut)
-            keep = cut[seen > 0]
+            word, word_count, texts = (np.concatenate([s[i] for s in sent]) for i in (3, 4, 5))
+            uses = np.concatenate([np.where(s[8], 0, s[7]) for s in sent])
+            seen = arrays.segment_sums(uses.astype(np.int64), np.concatenate([[0], np.cumsum(texts, dtype=np.int64)]))
+            del uses
+            key = (rank.astype(np.uint64) << np.uint64(32)) | word
+            order = np.argsort(key)
+            key = key[order]
+            cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            del key
+            own = np.add.reduceat(seen[order], cut)
+            at = order[cut[own > 0]]
+            own = own[own > 0]
+            del order, seen
             weight = backoff(context_count)
             plain = np.log10((word_count + 1.0) / (total + distinct + 1)) + np.log10(weight)
-            own, at = seen[seen > 0], order[keep]
             log_p = np.log10((1 - weight[at]) * own / np.maximum(context_count[at], 1) + 10.0 ** plain[at])
-            trie = BigramTrie(c[keep], w[keep], log_p)
-            found = trie.log_probability(context, word)
-            value = n * np.where(np.isnan(found), plain, found)
+            trie = BigramTrie(keys[rank[at]], word[at], log_p)
+            del weight, context_count, word_count, log_p, own, at
+            found = trie.log_probability(keys[rank], word)
+            value = np.where(np.isnan(found), plain, found)
             a = 0
             for block, s in zip(blocks, sent):
                 b = a + len(s[3])
-                texts, place = np.unique(text[a:b], return_inverse=True)
-                sums = np.bincount(place, weights=value[a:b]).astype("<f4")
-                out.append((block, 0, pack(texts.astype("<u4"), sums), None))
+                members, place = np.unique(s[6], return_inverse=True)
+                sums = np.bincount(place, weights=s[7] * np.repeat(value[a:b], s[5].astype(np.int64)))
+                steps = np.diff(members.astype(np.int64), prepend=0).astype("<u4")
+                out.append((block, 0, pack(steps, np.round(-sums * FIXED).astype("<u8")), None))
                 a = b
         yield _answer(out)
 
@@ -277,8 +302,8 @@ def _collect(batches, total: int) -> Iterator[pa.RecordBatch]:
         score = np.zeros(len(sizes))
         for _, kind, payload, _ in rows:
             if kind == 0:
-                texts, sums = unpack(payload, "<u4", "<f4")
-                score[texts] += sums
+                steps, sums = unpack(payload, "<u4", "<u8")
+                score[np.cumsum(steps, dtype=np.int64)] -= sums / FIXED
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(held), pa.array(sizes.astype(np.int64)), pa.array(known), pa.array([total] * len(sizes), pa.int64()), pa.array(base), pa.array(score)],
             names=names,
@@ -292,13 +317,13 @@ def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text
     """
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(f"`{text_col}`").alias("text"))
     blocks = written(
-        plain.mapInArrow(_blocks, "block long, n_words long, n_tokens long, ids array<long>, held_out binary, words binary, tokens binary"), "blocks"
+        plain.mapInArrow(_blocks, "block long, n_words long, n_tokens long, ids array<long>, held_out binary, words binary, training binary, tokens binary"), "blocks"
     )
     words, tokens = blocks.agg(F.sum("n_words"), F.sum("n_tokens")).first()
     if words is None:
         return blocks.sparkSession.createDataFrame([], _RESULT)
     word_shards = max(8, -(-words // SHARD_TOKENS))
-    sent = blocks.select("block", "words").mapInArrow(partial(_send_words, shards=word_shards), "shard long, block long, payload binary")
+    sent = blocks.select("block", "words", "training").mapInArrow(partial(_send_words, shards=word_shards), "shard long, block long, payload binary")
     met = sent.repartition(word_shards, "shard").sortWithinPartitions("shard", "block")
     answers = written(met.mapInArrow(_sum_words, "shard long, block long, distinct long, total long, payload binary"), "word-counts")
     distinct, total = answers.agg(F.sum("distinct"), F.sum("total")).first()
