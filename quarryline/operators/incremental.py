@@ -40,23 +40,31 @@ def skip_known_docs(samples: DataFrame, store: DataFrame, skip_by: str = "index"
     return offered.join(known, key, "left_anti").select(samples.columns)
 
 
-def first_of_equal(chunks: DataFrame) -> DataFrame:
-    """One row per content hash: the first in (original_index, chunk_no) order.
+def first_rows(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """One whole row per key: the first in the given order.
 
-    Equal chunks are reduced before the shuffle, so a text that fills a large part
-    of the table arrives as one row per task.
+    The rows are written with a number each.  Only keys, order and numbers are grouped;
+    the winners' numbers then pick the rows, so no wide column is sorted, and none is
+    shuffled while the numbers are few enough to broadcast.
     """
-    row = F.struct(*[c for c in chunks.columns if c != "code_hash"])
-    first = F.min_by(row, F.struct("original_index", "chunk_no")).alias("first")
-    return chunks.groupBy("code_hash").agg(first).select("code_hash", "first.*").select(chunks.columns)
+    held = written(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    first = F.min_by("_row", F.struct(*order, "_row")).alias("_row")
+    winners = written(held.groupBy(key).agg(first).select("_row"), "winners")
+    winners = F.broadcast(winners) if at_most(winners, BROADCAST_ROWS) else winners.hint("shuffle_hash")
+    return held.join(winners, "_row", "left_semi").select(rows.columns)
+
+
+def first_of_equal(chunks: DataFrame) -> DataFrame:
+    """One row per content hash: the first in (original_index, chunk_no) order."""
+    return first_rows(chunks, "code_hash", ["original_index", "chunk_no"])
 
 
 def skip_known_chunks(chunks: DataFrame, store: DataFrame) -> DataFrame:
     """The first of each new content; content stored with a failed summary is new.
 
-    The reduced batch is written before the look-up, so its size is known and the
-    costly steps that follow start from files.
+    The reduced batch starts from files, so its keys are cheap to count and the costly
+    steps that follow run once.
     """
-    firsts = written(first_of_equal(chunks), "new-chunks")
+    firsts = first_of_equal(chunks)
     known = store.where("summary_ok").select("code_hash")
     return firsts.join(touched_by(firsts, known, "code_hash"), "code_hash", "left_anti").select(chunks.columns)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from ..constants import UPLOAD_FAILED
 from ..functions.text import content_hash
-from ..operators.incremental import touched_by
+from ..operators.incremental import first_rows, touched_by
 from ..operators.ranking import numbered
 from ..schemas import BLOBS, CODE_DOCS, QUERY_LOG
 from ..session import written
@@ -112,7 +112,7 @@ def externalise(
     several runs.  A row without a body gets the failure text as url.
     """
     keyed = samples.withColumn("key", blob_key(text))
-    bodies = keyed.where(F.col("key").isNotNull()).groupBy("key").agg(F.first(text).alias("body"))
+    bodies = first_rows(keyed.where(F.col("key").isNotNull()).select("key", F.col(text).alias("body")), "key", [])
     stored = read_table(samples.sparkSession, path, BLOBS).select("key")
     bodies.join(stored, "key", "left_anti").write.mode("append").parquet(path)
     rows = keyed.withColumn("url", blob_url("key", bucket)).drop(text)

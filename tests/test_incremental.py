@@ -216,6 +216,15 @@ def test_a_retried_document_is_known(spark, tmp_path):
     assert left.count() == 0
 
 
+def test_no_text_is_sorted_to_reduce_chunks(spark):
+    chunks = spark.createDataFrame([(1, 0, "h", "text"), (0, 2, "h", "text"), (0, 1, "h", "text"), (0, 1, "h", "text"), (5, 0, "i", "more")],
+                                   "original_index long, chunk_no long, code_hash string, chunk string")
+    firsts = incremental.first_of_equal(chunks)
+    assert rows(firsts) == [(0, 1, "h", "text"), (5, 0, "i", "more")]
+    plan = firsts._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Sort" not in plan
+
+
 def test_log_twice_gives_the_same_rows(spark, tmp_path):
     path = str(tmp_path / "log")
     answers = spark.createDataFrame([("", f"q{i % 3}", f"a{i % 3}", ["1"], ["1"]) for i in range(9)], QUERY_LOG)
