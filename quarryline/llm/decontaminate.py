@@ -31,7 +31,7 @@ from .fmindex import FMIndex
 WINDOW = 13
 #: Bytes of benchmark text sent to the tasks at a time.
 PART_BYTES = 16 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 _FOUND = T.StructType(
     [
