@@ -5,10 +5,10 @@ once with offsets, and the sorted spans of the assistant texts are met with the
 sorted token spans by binary search.  A token that reaches over the border of a
 text is masked for the part inside, so the mask covers exactly the texts.
 
-A long conversation is rendered in blocks of `BLOCK_TURNS` consecutive turn numbers,
-each a task's row of its own.  Turns end with a line feed and start with a bracket,
-where the tokenizer's pattern always cuts, so the blocks' tokens are those of the
-whole.  Only digests need the blocks of a conversation in order; they pass one task
+A long conversation is rendered in blocks of `BLOCK_TURNS` consecutive turn numbers, each
+a group of its own, so a conversation that holds many rows is spread over the tasks.
+Turns end with a line feed and start with a bracket, where the tokenizer's pattern
+always cuts, so the blocks' tokens are those of the whole.  Only digests need the blocks of a conversation in order; they pass one task
 as a stream and are never held together.
 
 Defined results: null texts and roles count as empty; equal turn numbers are
@@ -36,7 +36,6 @@ BATCH_CHARS = 1 << 20
 MARKERS = {"user": ("[INST]", "[/INST]"), "assistant": ("[OUT]", "[/OUT]</s>"), "system": ("[SYS]", "[/SYS]")}
 #: Any other role: its name stands between the first two.
 OTHER_ROLE = ("[ROLE]", "[IS]", "[/ROLE]")
-BEGIN = "<s>"
 _CONTROL = re.compile(r"([<\[])(\\*)(/?(?:s>|(?:INST|OUT|SYS|ROLE|IS)\]))")
 _LOADED = re.compile(r"([<\[])\\(\\*/?(?:s>|(?:INST|OUT|SYS|ROLE|IS)\]))")
 
@@ -50,7 +49,7 @@ def unescape(text: str) -> str:
     return _LOADED.sub(r"\1\2", text)
 
 
-def render(turns: list[tuple[str, str]], begin: bool = True) -> tuple[str, list[tuple[int, int]]]:
+def render(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
     """The formatted text of (role, text) turns and the spans of the assistant texts in it."""
     parts, spans, at = [], [], 0
 
@@ -59,8 +58,6 @@ def render(turns: list[tuple[str, str]], begin: bool = True) -> tuple[str, list[
         parts.append(piece)
         at += len(piece)
 
-    if begin:
-        add(BEGIN + "\n")
     for role, text in turns:
         if role in MARKERS:
             first, last = MARKERS[role]
@@ -77,7 +74,7 @@ def render(turns: list[tuple[str, str]], begin: bool = True) -> tuple[str, list[
 
 def parse(formatted: str) -> list[tuple[str, str]]:
     """The turns of a formatted text."""
-    at, turns = len(BEGIN) + 1 if formatted.startswith(BEGIN) else 0, []
+    at, turns = 0, []
     while at < len(formatted):
         for role, (first, last) in MARKERS.items():
             if formatted.startswith(first, at):
@@ -145,7 +142,7 @@ def _formatted(batches, path: str) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def out() -> pa.RecordBatch:
-        rendered = [render(turns, begin) for _, _, begin, turns in held]
+        rendered = [render(turns) for _, _, turns in held]
         coded = coder.encode_batch([text for text, _ in rendered], add_special_tokens=False)
         columns: list[list] = [[] for _ in range(6)]
         for (_, spans), code in zip(rendered, coded):
@@ -154,7 +151,7 @@ def _formatted(batches, path: str) -> Iterator[pa.RecordBatch]:
             for column, values in zip(columns, (code.ids, offsets[:, 0], offsets[:, 1], token, start, end)):
                 column.append(np.asarray(values, "<u4").tobytes())
         return pa.RecordBatch.from_arrays(
-            [pa.array([h[0] for h in held], kind), pa.array([h[1] for h in held], pa.int64()), pa.array([len(h[3]) for h in held], pa.int64()), pa.array([t for t, _ in rendered], pa.string())]
+            [pa.array([h[0] for h in held], kind), pa.array([h[1] for h in held], pa.int64()), pa.array([len(h[2]) for h in held], pa.int64()), pa.array([t for t, _ in rendered], pa.string())]
             + [pa.array(c, pa.binary()) for c in columns],
             names=["conv_id", "block", "n_turns", "formatted", "ids", "starts", "ends", "loss_tokens", "loss_starts", "loss_ends"],
         )
@@ -167,9 +164,9 @@ def _formatted(batches, path: str) -> Iterator[pa.RecordBatch]:
             if size > BATCH_CHARS:
                 yield out()
                 held, size = [], 0
-            held.append((rows.column("conv_id")[0].as_py(), rows.column("block")[0].as_py(), rows.column("first")[0].as_py(), turns))
+            held.append((rows.column("conv_id")[0].as_py(), rows.column("block")[0].as_py(), turns))
         else:
-            held[-1][3].extend(turns)
+            held[-1][2].extend(turns)
         size += sum(len(r) + len(t) for r, t in turns)
     if held:
         yield out()
@@ -184,10 +181,6 @@ def format_conversations(turns: DataFrame, path: str, block_turns: int = BLOCK_T
     """
     block = F.floor(F.col("turn") / block_turns).cast("long")
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), block.alias("block"))
-    # The first block of each conversation carries the begin mark: one number a conversation.
-    first = rows.groupBy("conv_id").agg(F.min(F.coalesce("block", F.lit(-(1 << 62)))).alias("lowest"))
-    rows = rows.join(first.withColumnRenamed("conv_id", "own"), F.col("conv_id").eqNullSafe(F.col("own")))
-    rows = rows.select("conv_id", "block", "turn", "role", "text", (F.coalesce("block", F.lit(-(1 << 62))) == F.col("lowest")).alias("first"))
     keys = ["conv_id", "block"]
     met = rows.repartition(*keys).sortWithinPartitions(*keys, "turn", "role", "text")
     kind = turns.schema["conv_id"].dataType.simpleString()

@@ -97,7 +97,7 @@ ORACLES = {
                sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
                CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
                sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-               CAST(4 + sum(n) AS BIGINT) AS formatted_chars
+               CAST(sum(n) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id
     """,
     "op6_exact_dedup": """
