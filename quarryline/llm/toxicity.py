@@ -54,7 +54,7 @@ def _word_table(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 def _grams(body: np.ndarray, cut: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(bucket, word) of the n-grams of words, for each n."""
-    owner = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+    owner = np.repeat(np.arange(len(cut) - 1, dtype=np.int32), np.diff(cut))
     for g, at in subwords.ngrams(body, cut, LOW, HIGH, BITS):
         yield g, owner[at]
 
@@ -96,9 +96,10 @@ def fit_words(words: list[bytes], toxic: np.ndarray, other: np.ndarray, steps: i
     size = np.array([len(w) + 2 for w in words], np.int64)
     cut = np.concatenate([[0], np.cumsum(size)])
     body = np.frombuffer(b"".join(b" " + w + b" " for w in words), np.uint8)
-    found = list(_grams(body, cut))
-    gram = np.concatenate([g for g, _ in found]).astype(np.int32)
-    word = np.concatenate([w for _, w in found]).astype(np.int32)
+    found = [(g.astype(np.int32), w) for g, w in _grams(body, cut)]
+    gram = np.concatenate([g for g, _ in found])
+    word = np.concatenate([w for _, w in found])
+    del found, body
     texts = toxic + other
     known = np.bincount(gram, weights=texts[word], minlength=BUCKETS) >= LEAST_TEXTS
     kept = known[gram]
