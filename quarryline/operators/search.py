@@ -77,6 +77,8 @@ class VectorScorer:
         return m / np.where(norms > 0, norms, 1.0)[:, None]
 
     def feed(self, rows: pa.RecordBatch, ids: np.ndarray, best: Leaders) -> None:
+        if not len(self.matrix):
+            return
         lists = rows.column(self.column)
         if lists.null_count:
             present = lists.is_valid()

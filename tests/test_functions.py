@@ -66,7 +66,7 @@ def test_names(spark, lang, body, functions, imports):
 
 def test_complexity(spark):
     assert one(spark, code.complexity("t"), t="if a and b or_c: while x") == 4
-    assert one(spark, code.complexity("t"), t="if " * 50) == 10
+    assert one(spark, code.complexity("t"), t="if " * 50) == 51
 
 
 @pytest.mark.parametrize(
@@ -213,10 +213,10 @@ def test_context_styles(spark, style, first):
 
 @pytest.mark.parametrize("name", sorted(PROMPTS))
 def test_prompts(spark, name):
-    contexts = spark.createDataFrame([(1, "CTX")], "q_id bigint, text string")
+    contexts = spark.createDataFrame([(1, "CTX", "EX")], "q_id bigint, text string, examples string")
     asked = spark.createDataFrame([(1, "query: what {now}")], "q_id bigint, query_text string")
     got = context.prompt(contexts, asked, PROMPTS[name]).first().prompt
-    assert got == PROMPTS[name].replace("{context}", "CTX").replace("{query}", "what {now}")
+    assert got == PROMPTS[name].replace("{context}", "CTX").replace("{query}", "what {now}").replace("{examples}", "EX")
 
 
 def test_two_rounds(spark):
