@@ -113,19 +113,16 @@ class MappedArrays:
         self.views = [np.frombuffer(self.map, dtype, n, at) for at, dtype, n in places]
 
 
-class BigramTrie:
-    """Contexts, each with its successors and their quantised log probabilities.
+class NgramTrie:
+    """Contexts, each with its successors and a whole number for each, such as a count.
 
     Level 1: the contexts' keys as one monotone sequence, and monotone pointers to
     where each context's successors begin.  Level 2: successors as fingerprints of 32
     bits relative to their context, one monotone sequence since the context's rank is
-    put in front, and a code of 16 bits for each probability.
+    put in front, and the place of each number among the distinct numbers.
     """
 
-    CODES = 65_535
-    LOWEST = -20.0
-
-    def __init__(self, contexts: np.ndarray, successors: np.ndarray, log_p: np.ndarray):
+    def __init__(self, contexts: np.ndarray, successors: np.ndarray, values: np.ndarray):
         """One entry for each n-gram, ordered by (context key, successor fingerprint)."""
         keys, begin = np.unique(contexts, return_index=True)
         rank = np.zeros(len(contexts), np.uint64)
@@ -136,20 +133,21 @@ class BigramTrie:
             EliasFano.encode(np.append(begin, len(contexts)), len(contexts) + 1),
             EliasFano.encode((rank << np.uint64(32)) | successors.astype(np.uint64), max(1, len(keys)) << 32),
         ]
-        codes = np.round(np.clip(log_p / self.LOWEST, 0, 1) * self.CODES).astype("<u2")
-        self.mapped = MappedArrays([a for _, _, low, high in parts for a in (low, high)] + [codes])
+        distinct, place = np.unique(values.astype(np.uint64), return_inverse=True)
+        self.width = max(0, len(distinct) - 1).bit_length()
+        self.mapped = MappedArrays([a for _, _, low, high in parts for a in (low, high)] + [distinct, PackedInts.pack(place, self.width)])
         views = self.mapped.views
         self.keys, self.pointers, self.successors = (
             EliasFano(n, width, views[2 * i], views[2 * i + 1]) for i, (n, width, _, _) in enumerate(parts)
         )
-        self.codes = views[6]
+        self.distinct, self.places = views[6:8]
 
-    def log_probability(self, contexts: np.ndarray, successors: np.ndarray, chunk: int = 1 << 17) -> np.ndarray:
-        """Quantised log10 probability of each n-gram; nan for one that is not in the trie."""
+    def value(self, contexts: np.ndarray, successors: np.ndarray, chunk: int = 1 << 17) -> np.ndarray:
+        """The number of each n-gram; 0 for one that is not in the trie."""
         if len(contexts) > chunk:
             cuts = range(0, len(contexts), chunk)
-            return np.concatenate([self.log_probability(contexts[a : a + chunk], successors[a : a + chunk]) for a in cuts])
-        out = np.full(len(contexts), np.nan)
+            return np.concatenate([self.value(contexts[a : a + chunk], successors[a : a + chunk]) for a in cuts])
+        out = np.zeros(len(contexts), np.uint64)
         if not self.keys.n or not len(contexts):
             return out
         rank = self.keys.successor(contexts)
@@ -162,5 +160,20 @@ class BigramTrie:
         inside = at < end
         known, at, wanted = known[inside], at[inside], wanted[inside]
         same = self.successors.get(at) == wanted
-        out[known[same]] = self.codes[at[same]] / self.CODES * self.LOWEST
+        out[known[same]] = self.distinct[PackedInts.get(self.places, self.width, at[same]).astype(np.int64)]
         return out
+
+
+class BigramTrie(NgramTrie):
+    """A trie of quantised log probabilities: codes of 16 bits."""
+
+    CODES = 65_535
+    LOWEST = -20.0
+
+    def __init__(self, contexts: np.ndarray, successors: np.ndarray, log_p: np.ndarray):
+        super().__init__(contexts, successors, np.round(np.clip(log_p / self.LOWEST, 0, 1) * self.CODES) + 1)
+
+    def log_probability(self, contexts: np.ndarray, successors: np.ndarray) -> np.ndarray:
+        """Quantised log10 probability of each n-gram; nan for one that is not in the trie."""
+        code = self.value(contexts, successors)
+        return np.where(code > 0, (code.astype(np.float64) - 1) / self.CODES * self.LOWEST, np.nan)

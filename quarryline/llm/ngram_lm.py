@@ -1,22 +1,21 @@
-"""Language-model scores from sharded Elias-Fano n-gram tries.
+"""Language-model scores from sharded Elias-Fano n-gram tries, of any order.
 
-The model is an interpolated bigram model: P(w | u) = (1 - l) c(u, w) / c(u) + l P1(w) with
-P1(w) = (c(w) + 1) / (N + V + 1) and a weight l that falls with the context's count, as the
-number of distinct successors does.  It needs no count but c(u), c(w) and c(u, w), so an
-n-gram can be scored wherever these three meet, and a frequent context may be split.
+The model is interpolated: P(w | h) = (1 - l) c(h, w) / c(h) + l P(w | h without its first
+word), down to P1(w) = (c(w) + 1) / (N + V + 1).  The weight l falls with the context's count,
+as the number of distinct successors does.  A text's first words have shorter contexts.
 
 1. Texts become blocks of tokens, written once to the shared folder.
 2. The blocks' distinct words go to word shards, whose sums come back to the blocks.
-3. The blocks' bigrams go, with the counts of their words, to shards by context; a
-   context with more than a shard's share of all tokens is split by its successors.
-   Each shard builds a trie of its bigrams of training texts, maps it into memory, and
-   searches it for the bigrams of all texts.
-4. The shards' sums for each text come back to the blocks.
+3. For each order from 2 on, the blocks' distinct n-grams go to shards by context; a context
+   with more than a shard's share of all tokens is split by its successors.  Each shard builds
+   a trie of its n-grams of training texts, maps it into memory, and searches it for the
+   n-grams of all texts.  The counts come back to the blocks, which score their texts.
 
-Nothing goes through the driver but N and V.  The number of shards follows the
-corpus, so a shard's arrays stay the same size.  Order 2 is used since at order 3 what the
-blocks send exceeds four times the input.  Words are 64-bit hashes; successors are
-32-bit fingerprints within a shard of some 1.5 million bigrams.
+An n-gram is not sent if the order below tells its count: words or n-grams that only this block
+has make it one that only this block has, and a part that training texts lack makes it unseen.
+Nothing goes through the driver but N and V.  The number of shards follows the corpus, so a
+shard's arrays stay the same size.  Words are 64-bit hashes; within a shard contexts are 48-bit
+and successors 32-bit fingerprints.
 
 Defined results: a null text counts as empty and has one token, the end; a row with
 null id is scored like any other; without training texts every token is unknown.
@@ -37,14 +36,13 @@ from pyspark.sql import types as T
 
 from ..session import written
 from . import arrays
-from .eliasfano import BigramTrie
+from .eliasfano import NgramTrie
 
 #: Bytes of text of a block, and tokens or distinct words of a shard.
 BLOCK_BYTES, SHARD_TOKENS = 7 << 20, 1_500_000
 #: The weight of the unigram part is (HELD + SPREAD * c ** HEAPS) / (c + HELD).
 HELD, SPREAD, HEAPS = 2.0, 0.9, 0.95
-#: Shards answer in whole parts of this fraction, which pack better than floats.
-FIXED = 4096
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 END, BEGIN = np.uint64(0xE17D_0000_0000_0001), np.uint64(0xBE61_0000_0000_0001)
 
 
@@ -160,11 +158,12 @@ def _by_shard(batches) -> Iterator[tuple[int, list[tuple]]]:
 
 
 def _sum_words(batches) -> Iterator[pa.RecordBatch]:
-    """Answers (shard, block, distinct, total, payload): the sums of each block's words, in the order they came in."""
+    """Answers (shard, block, distinct, total, payload): the sums of each block's words, in the order they came in, and whether no other block has them."""
     for shard, rows in _by_shard(batches):
         sent = [unpack(payload, "<u8", "<u4") for _, _, payload in rows]
         every, index = np.unique(np.concatenate([w for w, _ in sent]), return_inverse=True)
         total = np.bincount(index, weights=np.concatenate([c for _, c in sent]), minlength=len(every)).astype(np.int64)
+        sole = np.bincount(index, minlength=len(every)) == 1
         at = np.cumsum([0, *(len(w) for w, _ in sent)])
         first = [True] + [False] * (len(rows) - 1)
         yield pa.RecordBatch.from_arrays(
@@ -173,148 +172,166 @@ def _sum_words(batches) -> Iterator[pa.RecordBatch]:
                 pa.array([r[1] for r in rows], pa.int64()),
                 pa.array([int((total > 0).sum()) if f else 0 for f in first], pa.int64()),
                 pa.array([int(total.sum()) if f else 0 for f in first], pa.int64()),
-                pa.array([pack(total[index[a:b]].astype("<u8")) for a, b in zip(at, at[1:])], pa.binary()),
+                pa.array([pack(total[index[a:b]].astype("<u8"), sole[index[a:b]]) for a, b in zip(at, at[1:])], pa.binary()),
             ],
             names=["shard", "block", "distinct", "total", "payload"],
         )
 
 
-_SENT = ["shard", "block", "kind", "payload", "ids"]
-
-
-def _send_bigrams(batches, word_shards: int, shards: int, total: int, distinct: int, begins: int) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, block, kind, payload, ids): kind 1 is the block's own row, kind 0 bigrams for a shard."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            (words,) = unpack(batch.column("words")[r].as_py(), "<u8")
-            sizes, index = unpack(batch.column("tokens")[r].as_py(), "<u4", "<u4")
-            (held,) = unpack(batch.column("held_out")[r].as_py(), "?")
-            answers = sorted((a["shard"], a["payload"]) for a in batch.column("answers")[r].as_py())
-            order = np.argsort(shard_of(words, word_shards), kind="stable")
-            counts = np.zeros(len(words), np.int64)
-            counts[order] = np.concatenate([unpack(p, "<u8")[0] for _, p in answers]).astype(np.int64)
-            block, ids = batch.column("block")[r].as_py(), batch.column("ids")[r].as_py()
-            bounds = np.concatenate([[0], np.cumsum(sizes.astype(np.int64))])
-            base = np.log10((counts + 1) / (total + distinct + 1))
-            own = pack(
-                held, sizes, arrays.segment_sums((counts[index] > 0).astype(np.int64), bounds), arrays.segment_sums(base[index], bounds)
-            )
-            out = [(block % shards, block, 1, own, ids)]
-
-            index = index.astype(np.int64)
-            text = np.repeat(np.arange(len(sizes)), sizes)
-            before = np.concatenate([[0], index[:-1]])
-            before[bounds[:-1]] = len(words)
-            keys = np.append(words, BEGIN)
-            context_counts = np.append(counts, begins)
-            entry, n = np.unique((before * len(words) + index) * len(sizes) + text, return_counts=True)
-            n = n.astype("<u4")
-            text, entry = (entry % len(sizes)).astype("<u4"), entry // len(sizes)
-            first = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]]))
-            texts = np.diff(np.append(first, len(entry)))  # of each bigram
-            before, after = entry[first] // len(words), entry[first] % len(words)
-            del entry, index
-            # A context beyond a shard's share is split by its successors.
-            parts = 1 + (context_counts[before] * shards // max(1, total)).astype(np.uint64)
-            part = np.where(parts > 1, arrays.mix(words[after]) % parts, 0).astype(np.uint64)
-            of = shard_of(keys[before] + part * np.uint64(0x9E3779B97F4A7C15), shards)
-            order = np.argsort(of, kind="stable")
-            for shard, a, b in _cuts(of[order]):
-                rows = order[a:b]
-                group = before[rows]
-                new = np.concatenate([[True], group[1:] != group[:-1]])
-                size = np.diff(np.append(np.flatnonzero(new), len(rows)))
-                own = np.repeat(first[rows] - np.cumsum(texts[rows]) + texts[rows], texts[rows]) + np.arange(texts[rows].sum())
-                payload = pack(
-                    keys[group[new]],
-                    context_counts[group[new]].astype("<u8"),
-                    size.astype("<u4"),
-                    (arrays.mix(words[after[rows]] ^ np.uint64(0xABCDEF)) >> np.uint64(32)).astype("<u4"),
-                    counts[after[rows]].astype("<u8"),
-                    texts[rows].astype("<u4"),
-                    text[own],
-                    n[own],
-                    held[text[own]],
-                )
-                out.append((shard, block, 0, payload, None))
-            kind = batch.schema.field("ids").type
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.binary(), kind))], names=_SENT
-            )
+class Block:
+    """A block's texts: the n-grams of the order reached, their counts and probabilities."""
+
+    def __init__(self, words: np.ndarray, sizes: np.ndarray, index: np.ndarray, held: np.ndarray):
+        self.words, self.sizes = words, sizes.astype(np.int64)
+        lengths = self.sizes + 1  # with the begin
+        self.bounds = np.concatenate([[0], np.cumsum(lengths)])
+        self.place = np.arange(self.bounds[-1]) - np.repeat(self.bounds[:-1], lengths)
+        self.stream = np.full(len(self.place), len(words), np.int64)
+        self.stream[self.place > 0] = index
+        self.training = ~np.repeat(held, lengths)
+        self.order, self.gram, self.keys = 1, self.stream, np.append(words, BEGIN)
+
+    def words_known(self, answers: list[bytes], word_shards: int, total: int, distinct: int, begins: int) -> None:
+        order = np.argsort(shard_of(self.words, word_shards), kind="stable")
+        parts = [unpack(p, "<u8", "?") for p in answers]
+        self.count, self.sole = np.zeros(len(self.words) + 1, np.int64), np.zeros(len(self.words) + 1, bool)
+        self.count[order] = np.concatenate([c for c, _ in parts]).astype(np.int64)
+        self.sole[order] = np.concatenate([s for _, s in parts])
+        self.count[-1] = begins
+        self.p = (self.count + 1) / (total + distinct + 1)
+        self.log_p = np.log10(self.p)[self.stream]
+        self.base, self.known = self.sums(self.log_p), self.sums((self.count > 0)[self.stream])
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Sums over each text's words."""
+        return arrays.segment_sums(np.where(self.place > 0, values, 0), self.bounds)
+
+    def extend(self, shards: int, total: int) -> list[tuple[int, bytes]]:
+        """Go to the n-grams of the next order; (shard, payload) of what has to be counted."""
+        self.order += 1
+        self.ends = np.flatnonzero(self.place >= self.order - 1)
+        before = self.gram[self.ends - 1]
+        _, first, self.index = np.unique(before * (len(self.words) + 1) + self.stream[self.ends], return_index=True, return_inverse=True)
+        self.prefix, self.suffix, self.last = before[first], self.gram[self.ends[first]], self.stream[self.ends[first]]
+        self.local = np.bincount(self.index[self.training[self.ends]], minlength=len(first))
+        open_ = (self.count > 0) & ~self.sole
+        self.sent = np.flatnonzero(open_[self.prefix] & open_[self.suffix])
+        prefix, words = self.prefix[self.sent], self.words[self.last[self.sent]]
+        contexts, rank = np.unique(prefix, return_inverse=True)
+        # A context beyond a shard's share is split by its successors.
+        parts = 1 + self.count[contexts] * shards // max(1, total)
+        base = np.cumsum(parts) - parts
+        request = base[rank] + (arrays.mix(words) % parts[rank].astype(np.uint64)).astype(np.int64)
+        context = np.repeat(np.arange(len(contexts)), parts)
+        keys = arrays.mix(self.keys[contexts[context]] + (np.arange(len(context)) - base[context]).astype(np.uint64) * _STEP)
+        of = shard_of(keys, shards)
+        keys = keys >> np.uint64(16)
+        order = np.lexsort((keys, of))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.sent = self.sent[by := np.argsort(place[request], kind="stable")]
+        each = np.bincount(place[request], minlength=len(order))
+        bounds = np.concatenate([[0], np.cumsum(each)])
+        words = (arrays.mix(words[by] ^ np.uint64(0xABCDEF)) >> np.uint64(32)).astype("<u4")
+        local, keys = self.local[self.sent].astype("<u4"), keys[order]
+        out = []
+        for shard, a, b in _cuts(of[order]):
+            if bounds[b] > bounds[a]:
+                some = a + np.flatnonzero(each[a:b])
+                c, d = bounds[a], bounds[b]
+                out.append((shard, pack(np.diff(keys[some], prepend=np.uint64(0)).astype("<u8"), each[some].astype("<u4"), words[c:d], local[c:d])))
+        return out
+
+    def counted(self, answers: list[bytes]) -> None:
+        """Take the answers to `extend`, in the order of their shards."""
+        count, sole = self.local, np.ones(len(self.local), bool)
+        if answers:
+            codes = np.concatenate([unpack(p, "<u8")[0] for p in answers])
+            count[self.sent], sole[self.sent] = (codes >> np.uint64(1)).astype(np.int64), (codes & np.uint64(1)).astype(bool)
+        context = self.count[self.prefix]
+        weight = backoff(context)
+        self.p = (1 - weight) * count / np.maximum(context, 1) + weight * self.p[self.suffix]
+        self.log_p[self.ends] = np.log10(self.p)[self.index]
+        self.keys = arrays.mix(self.keys[self.prefix] * _STEP ^ self.words[self.last])
+        self.gram = np.full(len(self.stream), -1, np.int64)
+        self.gram[self.ends] = self.index
+        self.count, self.sole = count, sole
+
+
+def _read(rows: list[tuple], order: int, word_shards: int, shards: int, total: int, distinct: int, begins: int) -> tuple[Block, np.ndarray, list]:
+    """A block with its n-grams up to `order` counted, whether its texts are held out, and their ids."""
+    own = next(r for r in rows if r[1] == 0)
+    words, (held,), (sizes, index) = unpack(own[4], "<u8")[0], unpack(own[5], "?"), unpack(own[6], "<u4", "<u4")
+    answers = {n: [r[3] for r in sorted((r for r in rows if r[1] == n), key=lambda r: r[2])] for n in range(1, order + 1)}
+    block = Block(words, sizes, index, held)
+    block.words_known(answers[1], word_shards, total, distinct, begins)
+    for n in range(2, order + 1):
+        block.extend(shards, total)
+        block.counted(answers[n])
+    return block, held, own[7]
+
+
+def _send_ngrams(batches, order: int, shards: int, total: int, **sizes) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, block, payload): the n-grams of this order of each block."""
+    for number, rows in _by_shard(batches):
+        block = _read(rows, order - 1, shards=shards, total=total, **sizes)[0]
+        out = block.extend(shards, total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s for s, _ in out], pa.int64()), pa.array([number] * len(out), pa.int64()), pa.array([p for _, p in out], pa.binary())],
+            names=["shard", "block", "payload"],
+        )
 
 
-def _score_shards(batches, total: int, distinct: int) -> Iterator[pa.RecordBatch]:
-    """Rows (block, kind, payload, ids): kind 1 as it came, kind 0 the sums of a shard for a block's texts."""
-    for _, rows in _by_shard(batches):
-        sent = [unpack(p, "<u8", "<u8", "<u4", "<u4", "<u8", "<u4", "<u4", "<u4", "?") for _, _, kind, p, _ in rows if kind == 0]
-        out = [(block, 1, payload, ids) for _, block, kind, payload, ids in rows if kind == 1]
-        blocks = [r[1] for r in rows if r[2] == 0]
-        if sent:
-            # One row for each bigram of each block; `texts` says how many entries follow for its texts.
-            keys, rank = np.unique(np.concatenate([s[0] for s in sent]), return_inverse=True)
-            at = np.cumsum([0, *(len(s[0]) for s in sent)])
-            rank = np.concatenate([np.repeat(rank[a:b], s[2]) for a, b, s in zip(at, at[1:], sent)])
-            context_count = np.concatenate([np.repeat(s[1], s[2]) for s in sent]).astype(np.float64)
-            word, word_count, texts = (np.concatenate([s[i] for s in sent]) for i in (3, 4, 5))
-            uses = np.concatenate([np.where(s[8], 0, s[7]) for s in sent])
-            seen = arrays.segment_sums(uses.astype(np.int64), np.concatenate([[0], np.cumsum(texts, dtype=np.int64)]))
-            del uses
-            key = (rank.astype(np.uint64) << np.uint64(32)) | word
-            order = np.argsort(key)
-            key = key[order]
-            cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            del key
-            own = np.add.reduceat(seen[order], cut)
-            at = order[cut[own > 0]]
-            own = own[own > 0]
-            del order, seen
-            weight = backoff(context_count)
-            plain = np.log10((word_count + 1.0) / (total + distinct + 1)) + np.log10(weight)
-            log_p = np.log10((1 - weight[at]) * own / np.maximum(context_count[at], 1) + 10.0 ** plain[at])
-            trie = BigramTrie(keys[rank[at]], word[at], log_p)
-            del weight, context_count, word_count, log_p, own, at
-            found = trie.log_probability(keys[rank], word)
-            value = np.where(np.isnan(found), plain, found)
-            a = 0
-            for block, s in zip(blocks, sent):
-                b = a + len(s[3])
-                members, place = np.unique(s[6], return_inverse=True)
-                sums = np.bincount(place, weights=s[7] * np.repeat(value[a:b], s[5].astype(np.int64)))
-                steps = np.diff(members.astype(np.int64), prepend=0).astype("<u4")
-                out.append((block, 0, pack(steps, np.round(-sums * FIXED).astype("<u8")), None))
-                a = b
-        yield _answer(out)
-
-
-def _answer(out: list[tuple]) -> pa.RecordBatch:
-    kind = pa.list_(pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary(), kind))], names=["block", "kind", "payload", "ids"]
-    )
+def _count_shards(batches) -> Iterator[pa.RecordBatch]:
+    """Answers (shard, block, payload): twice the count of each n-gram, and 1 if no other block has it."""
+    for shard, rows in _by_shard(batches):
+        sent = [unpack(p, "<u8", "<u4", "<u4", "<u4") for _, _, p in rows]
+        keys, rank = np.unique(np.concatenate([np.cumsum(s[0]) for s in sent]), return_inverse=True)
+        rank = np.repeat(rank, np.concatenate([s[1] for s in sent]))
+        word, uses = (np.concatenate([s[i] for s in sent]) for i in (2, 3))
+        at = np.cumsum([0, *(len(s[2]) for s in sent)])
+        del sent
+        key = (rank.astype(np.uint64) << np.uint64(32)) | word
+        order = np.argsort(key)
+        key = key[order]
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        own = np.add.reduceat(uses[order].astype(np.int64), cut)
+        sole = np.diff(np.append(cut, len(key))) == 1
+        learned = own > 0
+        key, code = key[cut[learned]], 2 * own[learned] + sole[learned]
+        del order, cut, own, sole, uses
+        trie = NgramTrie(keys[(key >> np.uint64(32)).astype(np.int64)], key & np.uint64(0xFFFF_FFFF), code)
+        found = trie.value(keys[rank], word)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([shard] * len(rows), pa.int64()),
+                pa.array([r[1] for r in rows], pa.int64()),
+                pa.array([pack(found[a:b].astype("<u8")) for a, b in zip(at, at[1:])], pa.binary()),
+            ],
+            names=["shard", "block", "payload"],
+        )
 
 
-def _collect(batches, total: int) -> Iterator[pa.RecordBatch]:
-    """One row for each text, from its block's own row and the shards' sums."""
+def _collect(batches, order: int, total: int, **sizes) -> Iterator[pa.RecordBatch]:
+    """One row for each text."""
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     for _, rows in _by_shard(batches):
-        ids, own = next((r[3], r[2]) for r in rows if r[1] == 1)
-        held, sizes, known, base = unpack(own, "?", "<u4", "<i8", "<f8")
-        score = np.zeros(len(sizes))
-        for _, kind, payload, _ in rows:
-            if kind == 0:
-                steps, sums = unpack(payload, "<u4", "<u8")
-                score[np.cumsum(steps, dtype=np.int64)] -= sums / FIXED
+        block, held, ids = _read(rows, order, total=total, **sizes)
+        n = len(block.sizes)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(held), pa.array(sizes.astype(np.int64)), pa.array(known), pa.array([total] * len(sizes), pa.int64()), pa.array(base), pa.array(score)],
+            [pa.array(ids, pa.int64()), pa.array(held), pa.array(block.sizes), pa.array(block.known), pa.array([total] * n, pa.int64()), pa.array(block.base), pa.array(block.sums(block.log_p))],
             names=names,
         )
 
 
-def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
     """Per text: doc_id (long), held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Learns from the texts where `held_out` does not hold and scores all of them.
+    Learns from the texts where `held_out` does not hold and scores all of them with
+    n-grams of up to `order` words.
     """
+    if order < 2:
+        raise ValueError("order is 2 at least")
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(f"`{text_col}`").alias("text"))
     blocks = written(
         plain.mapInArrow(_blocks, "block long, n_words long, n_tokens long, ids array<long>, held_out binary, words binary, training binary, tokens binary"), "blocks"
@@ -330,14 +347,20 @@ def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text
     begins = plain.where(~F.col("held_out")).count()
 
     shards = max(8, -(-tokens // SHARD_TOKENS))
-    by_block = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "payload")).alias("answers"))
-    joined = blocks.join(by_block, "block").select("block", "ids", "held_out", "words", "tokens", "answers")
-    send = partial(_send_bigrams, word_shards=word_shards, shards=shards, total=total, distinct=distinct, begins=begins)
-    sent = joined.mapInArrow(send, "shard long, block long, kind int, payload binary, ids array<long>")
-    met = sent.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "block")
-    scored = met.mapInArrow(partial(_score_shards, total=total, distinct=distinct), "block long, kind int, payload binary, ids array<long>")
-    home = scored.repartition("block").sortWithinPartitions("block", "kind")
-    return home.mapInArrow(partial(_collect, total=total), _RESULT)
+    sizes = {"word_shards": word_shards, "shards": shards, "total": total, "distinct": distinct, "begins": begins}
+    known = blocks.select("block", F.lit(0).alias("level"), F.lit(-1).cast("long").alias("shard"), F.lit(None).cast("binary").alias("payload"), "words", "held_out", "tokens", "ids")
+    answers = answers.select("block", F.lit(1).alias("level"), "shard", "payload")
+    for n in range(2, order + 1):
+        known = known.unionByName(answers, allowMissingColumns=True)
+        home = known.repartition("block").sortWithinPartitions("block", "level", "shard")
+        sent = home.mapInArrow(partial(_send_ngrams, order=n, **sizes), "shard long, block long, payload binary")
+        met = sent.repartition(shards, "shard").sortWithinPartitions("shard", "block")
+        answers = met.mapInArrow(_count_shards, "shard long, block long, payload binary")
+        if n < order:
+            answers = written(answers, f"counts-{n}")
+        answers = answers.select("block", F.lit(n).alias("level"), "shard", "payload")
+    home = known.unionByName(answers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "level", "shard")
+    return home.mapInArrow(partial(_collect, order=order, **sizes), _RESULT)
 
 
 _RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
