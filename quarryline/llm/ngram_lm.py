@@ -1,18 +1,21 @@
 """Language-model scores from sharded Elias-Fano n-gram tries, of any order.
 
 The model is interpolated: P(w | h) = (1 - l) c(h, w) / c(h) + l P(w | h without its first
-word), down to P1(w) = (c(w) + 1) / (N + V + 1).  The weight l falls with the context's count,
-as the number of distinct successors does.  A text's first words have shorter contexts.
+word, down to P1(w) = (c(w) + 1) / (N + V + 1).  With `counted` the weight is that of Witten and
+Bell, l = t / (c(h) + t), with the context's t distinct successors in the training texts;
+else it follows from the context's count.  A text's first words have shorter contexts.
 
 1. Texts become blocks of tokens, written once to the shared folder.
 2. The blocks' distinct words go to word shards, whose sums come back to the blocks.
 3. For each order from 2 on, the blocks' distinct n-grams go to shards by context; a context
    with more than a shard's share of all tokens is split by its successors.  Each shard builds
    a trie of its n-grams of training texts, maps it into memory, and searches it for the
-   n-grams of all texts.  The counts come back to the blocks, which score their texts.
+   n-grams of all texts.  The counts come back to the blocks, which score their texts.  A
+   context's parts are disjoint by successor, so a block adds up their distinct successors.
 
 An n-gram is not sent if the order below tells its count: words or n-grams that only this block
 has make it one that only this block has, and a part that training texts lack makes it unseen.
+With `counted` its context is still asked for, with the number of successors only this block has.
 Nothing goes through the driver but N and V.  The number of shards follows the corpus, so a
 shard's arrays stay the same size.  Words are 64-bit hashes; within a shard contexts are 48-bit
 and successors 32-bit fingerprints.
@@ -40,7 +43,7 @@ from .eliasfano import NgramTrie
 
 #: Bytes of text of a block, and tokens or distinct words of a shard.
 BLOCK_BYTES, SHARD_TOKENS = 7 << 20, 1_500_000
-#: The weight of the unigram part is (HELD + SPREAD * c ** HEAPS) / (c + HELD).
+#: Without counted successors the weight of the shorter context is (HELD + SPREAD * c ** HEAPS) / (c + HELD).
 HELD, SPREAD, HEAPS = 2.0, 0.9, 0.95
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 END, BEGIN = np.uint64(0xE17D_0000_0000_0001), np.uint64(0xBE61_0000_0000_0001)
@@ -70,7 +73,7 @@ def unpack(data: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 def backoff(count: np.ndarray) -> np.ndarray:
-    """The unigram part's weight after a context of this count; 1 after an unseen one."""
+    """The shorter context's weight after a context of this count; 1 after an unseen one."""
     return np.minimum(1.0, (HELD + SPREAD * np.power(count, HEAPS)) / (count + HELD))
 
 
@@ -181,7 +184,8 @@ def _sum_words(batches) -> Iterator[pa.RecordBatch]:
 class Block:
     """A block's texts: the n-grams of the order reached, their counts and probabilities."""
 
-    def __init__(self, words: np.ndarray, sizes: np.ndarray, index: np.ndarray, held: np.ndarray):
+    def __init__(self, words: np.ndarray, sizes: np.ndarray, index: np.ndarray, held: np.ndarray, by_successors: bool):
+        self.by_successors = by_successors
         self.words, self.sizes = words, sizes.astype(np.int64)
         lengths = self.sizes + 1  # with the begin
         self.bounds = np.concatenate([[0], np.cumsum(lengths)])
@@ -216,14 +220,20 @@ class Block:
         self.local = np.bincount(self.index[self.training[self.ends]], minlength=len(first))
         open_ = (self.count > 0) & ~self.sole
         self.sent = np.flatnonzero(open_[self.prefix] & open_[self.suffix])
+        # Distinct successors that only this block can count.
+        alone = self.local > 0
+        alone[self.sent] = False
+        self.successors = np.bincount(self.prefix[alone], minlength=len(self.count))
         prefix, words = self.prefix[self.sent], self.words[self.last[self.sent]]
-        contexts, rank = np.unique(prefix, return_inverse=True)
+        contexts = np.unique(self.prefix[open_[self.prefix]] if self.by_successors else prefix)
+        rank = np.searchsorted(contexts, prefix)
         # A context beyond a shard's share is split by its successors.
         parts = 1 + self.count[contexts] * shards // max(1, total)
         base = np.cumsum(parts) - parts
         request = base[rank] + (arrays.mix(words) % parts[rank].astype(np.uint64)).astype(np.int64)
         context = np.repeat(np.arange(len(contexts)), parts)
-        keys = arrays.mix(self.keys[contexts[context]] + (np.arange(len(context)) - base[context]).astype(np.uint64) * _STEP)
+        part = np.arange(len(context)) - base[context]
+        keys = arrays.mix(self.keys[contexts[context]] + part.astype(np.uint64) * _STEP)
         of = shard_of(keys, shards)
         keys = keys >> np.uint64(16)
         order = np.lexsort((keys, of))
@@ -234,22 +244,32 @@ class Block:
         bounds = np.concatenate([[0], np.cumsum(each)])
         words = (arrays.mix(words[by] ^ np.uint64(0xABCDEF)) >> np.uint64(32)).astype("<u4")
         local, keys = self.local[self.sent].astype("<u4"), keys[order]
+        self.asked = contexts[context[order]]
+        alone = np.where(part == 0, self.successors[contexts[context]], 0)[order].astype("<u4")
         out = []
         for shard, a, b in _cuts(of[order]):
-            if bounds[b] > bounds[a]:
-                some = a + np.flatnonzero(each[a:b])
-                c, d = bounds[a], bounds[b]
-                out.append((shard, pack(np.diff(keys[some], prepend=np.uint64(0)).astype("<u8"), each[some].astype("<u4"), words[c:d], local[c:d])))
+            some = slice(a, b) if self.by_successors else a + np.flatnonzero(each[a:b])
+            c, d = bounds[a], bounds[b]
+            if self.by_successors or d > c:
+                out.append((shard, pack(np.diff(keys[some], prepend=np.uint64(0)).astype("<u8"), each[some].astype("<u4"), words[c:d], local[c:d], alone[some])))
         return out
 
     def counted(self, answers: list[bytes]) -> None:
         """Take the answers to `extend`, in the order of their shards."""
         count, sole = self.local, np.ones(len(self.local), bool)
         if answers:
-            codes = np.concatenate([unpack(p, "<u8")[0] for p in answers])
+            parts = [unpack(p, "<u8", "<u4") for p in answers]
+            codes = np.concatenate([c for c, _ in parts])
             count[self.sent], sole[self.sent] = (codes >> np.uint64(1)).astype(np.int64), (codes & np.uint64(1)).astype(bool)
         context = self.count[self.prefix]
-        weight = backoff(context)
+        if self.by_successors:
+            if answers:
+                self.successors[self.asked] = 0
+                self.successors += np.bincount(self.asked, weights=np.concatenate([t for _, t in parts]), minlength=len(self.count)).astype(np.int64)
+            distinct = self.successors[self.prefix]
+            weight = np.where(context > 0, distinct / np.maximum(context + distinct, 1), 1.0)
+        else:
+            weight = backoff(context)
         self.p = (1 - weight) * count / np.maximum(context, 1) + weight * self.p[self.suffix]
         self.log_p[self.ends] = np.log10(self.p)[self.index]
         self.keys = arrays.mix(self.keys[self.prefix] * _STEP ^ self.words[self.last])
@@ -258,12 +278,12 @@ class Block:
         self.count, self.sole = count, sole
 
 
-def _read(rows: list[tuple], order: int, word_shards: int, shards: int, total: int, distinct: int, begins: int) -> tuple[Block, np.ndarray, list]:
+def _read(rows: list[tuple], order: int, word_shards: int, shards: int, total: int, distinct: int, begins: int, counted: bool) -> tuple[Block, np.ndarray, list]:
     """A block with its n-grams up to `order` counted, whether its texts are held out, and their ids."""
     own = next(r for r in rows if r[1] == 0)
     words, (held,), (sizes, index) = unpack(own[4], "<u8")[0], unpack(own[5], "?"), unpack(own[6], "<u4", "<u4")
     answers = {n: [r[3] for r in sorted((r for r in rows if r[1] == n), key=lambda r: r[2])] for n in range(1, order + 1)}
-    block = Block(words, sizes, index, held)
+    block = Block(words, sizes, index, held, counted)
     block.words_known(answers[1], word_shards, total, distinct, begins)
     for n in range(2, order + 1):
         block.extend(shards, total)
@@ -283,30 +303,35 @@ def _send_ngrams(batches, order: int, shards: int, total: int, **sizes) -> Itera
 
 
 def _count_shards(batches) -> Iterator[pa.RecordBatch]:
-    """Answers (shard, block, payload): twice the count of each n-gram, and 1 if no other block has it."""
+    """Answers (shard, block, payload): twice the count of each n-gram, and 1 if no other block has it; distinct successors of each context."""
     for shard, rows in _by_shard(batches):
-        sent = [unpack(p, "<u8", "<u4", "<u4", "<u4") for _, _, p in rows]
-        keys, rank = np.unique(np.concatenate([np.cumsum(s[0]) for s in sent]), return_inverse=True)
-        rank = np.repeat(rank, np.concatenate([s[1] for s in sent]))
+        sent = [unpack(p, "<u8", "<u4", "<u4", "<u4", "<u4") for _, _, p in rows]
+        keys, asked = np.unique(np.concatenate([np.cumsum(s[0]) for s in sent]), return_inverse=True)
+        rank = np.repeat(asked, np.concatenate([s[1] for s in sent]))
+        distinct = np.bincount(asked, weights=np.concatenate([s[4] for s in sent]), minlength=len(keys)).astype(np.int64)
+        of = np.cumsum([0, *(len(s[0]) for s in sent)])
         word, uses = (np.concatenate([s[i] for s in sent]) for i in (2, 3))
         at = np.cumsum([0, *(len(s[2]) for s in sent)])
         del sent
         key = (rank.astype(np.uint64) << np.uint64(32)) | word
         order = np.argsort(key)
         key = key[order]
-        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        own = np.add.reduceat(uses[order].astype(np.int64), cut)
-        sole = np.diff(np.append(cut, len(key))) == 1
+        cut = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+        blocks = np.diff(np.append(cut, len(key)))
+        own = np.add.reduceat(uses[order].astype(np.int64), cut) if len(cut) else np.zeros(0, np.int64)
         learned = own > 0
-        key, code = key[cut[learned]], 2 * own[learned] + sole[learned]
-        del order, cut, own, sole, uses
-        trie = NgramTrie(keys[(key >> np.uint64(32)).astype(np.int64)], key & np.uint64(0xFFFF_FFFF), code)
-        found = trie.value(keys[rank], word)
+        key = key[cut]
+        context, word = (key >> np.uint64(32)).astype(np.int64), key & np.uint64(0xFFFF_FFFF)
+        trie = NgramTrie(keys[context[learned]], word[learned], (2 * own + (blocks == 1))[learned])
+        distinct += np.bincount(context[learned], minlength=len(keys))
+        found = np.empty(len(order), np.uint64)
+        found[order] = np.repeat(trie.value(keys[context], word), blocks)
+        distinct = distinct[asked].astype("<u4")
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([shard] * len(rows), pa.int64()),
                 pa.array([r[1] for r in rows], pa.int64()),
-                pa.array([pack(found[a:b].astype("<u8")) for a, b in zip(at, at[1:])], pa.binary()),
+                pa.array([pack(found[a:b].astype("<u8"), distinct[c:d]) for a, b, c, d in zip(at, at[1:], of, of[1:])], pa.binary()),
             ],
             names=["shard", "block", "payload"],
         )
@@ -324,11 +349,11 @@ def _collect(batches, order: int, total: int, **sizes) -> Iterator[pa.RecordBatc
         )
 
 
-def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
+def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, counted: bool = False) -> DataFrame:
     """Per text: doc_id (long), held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Learns from the texts where `held_out` does not hold and scores all of them with
-    n-grams of up to `order` words.
+    n-grams of up to `order` words, weighted by counted successors or by `backoff`.
     """
     if order < 2:
         raise ValueError("order is 2 at least")
@@ -347,7 +372,7 @@ def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text
     begins = plain.where(~F.col("held_out")).count()
 
     shards = max(8, -(-tokens // SHARD_TOKENS))
-    sizes = {"word_shards": word_shards, "shards": shards, "total": total, "distinct": distinct, "begins": begins}
+    sizes = {"word_shards": word_shards, "shards": shards, "total": total, "distinct": distinct, "begins": begins, "counted": counted}
     known = blocks.select("block", F.lit(0).alias("level"), F.lit(-1).cast("long").alias("shard"), F.lit(None).cast("binary").alias("payload"), "words", "held_out", "tokens", "ids")
     answers = answers.select("block", F.lit(1).alias("level"), "shard", "payload")
     for n in range(2, order + 1):

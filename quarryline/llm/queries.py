@@ -54,7 +54,7 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_lm.score_corpus(_table(spark, folder, "documents"), training.held_out(7, 2), order=3)
+    return ngram_lm.score_corpus(_table(spark, folder, "documents"), training.held_out(7, 2), order=3, counted=True)
 
 
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -98,3 +98,35 @@ def test_orders_against_brute_force(spark, folder, odd_docs, monkeypatch, order)
     found = ngram_lm.score_corpus(docs.repartition(5), training.held_out(7, 2), order=order)
     for got, want in zip(sorted(((r.doc_id, r.score) for r in found.collect()), key=repr), brute_of_order(rows, order), strict=True):
         assert got[0] == want[0] and got[1] == pytest.approx(want[1], rel=1e-9)
+
+
+def brute_counted(rows, order):
+    """(id, score) with the weights of Witten and Bell."""
+    tokens = [(i, [1, *WORDS.findall(re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")), 0]) for i, t in rows]
+    counts = Counter()
+    for i, t in tokens:
+        if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2:
+            counts.update(tuple(t[a:b]) for b in range(1, len(t) + 1) for a in range(max(0, b - order), b))
+    successors = Counter(g[:-1] for g in counts)
+    words = {g[0]: c for g, c in counts.items() if len(g) == 1 and g != (1,)}
+    n, v = sum(words.values()), len(words)
+
+    def p(context, w):
+        if not context:
+            return (words.get(w, 0) + 1) / (n + v + 1)
+        c, distinct = counts[context], successors[context]
+        return (counts[*context, w] + distinct * p(context[1:], w)) / (c + distinct) if c else p(context[1:], w)
+
+    return sorted(((i, sum(math.log10(p(tuple(t[max(0, b - order + 1) : b]), t[b])) for b in range(1, len(t)))) for i, t in tokens), key=repr)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_counted_successors_of_split_contexts(spark, folder, odd_docs, monkeypatch, order):
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 20_000)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").union(odd_docs.select("doc_id", "text"))
+    # A context of many uses and two successors, which is split.
+    docs = docs.union(spark.createDataFrame([(10_000 + i, f"alpha {'beta' if i % 3 else 'gamma'} " * 60) for i in range(200)], "doc_id long, text string"))
+    rows = [(i, t) for i, t in docs.collect()]
+    found = ngram_lm.score_corpus(docs.repartition(5), training.held_out(7, 2), order=order, counted=True)
+    for got, want in zip(sorted(((r.doc_id, r.score) for r in found.collect()), key=repr), brute_counted(rows, order), strict=True):
+        assert got[0] == want[0] and got[1] == pytest.approx(want[1], rel=1e-9)
