@@ -3,7 +3,9 @@
 Every page scores its containers and votes for the generalised tag-class path of
 the best one.  Votes are counted per host and path (partial sums, so a hot host
 costs no more than its paths); each page is then read again and its text taken
-from the host's strongest path that it has.
+from the host's strongest path that it has.  Where several containers of a page share
+the path, the text is that of the container around all of them, or of them all where
+only the body is.
 
 Defined results: null or empty html gives an empty text; a page without a host
 shares the empty host; a page that has none of its host's winning paths uses its
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +40,7 @@ BLOCK = set(
     "thead tr ul video audio".split()
 )
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+WHOLE = set("#page html body".split())
 CONTAINERS = set("#page body article main section div td center".split())
 #: Elements that are never part of the article.
 BOILERPLATE_TAGS = set("head nav footer aside form dialog menu button input label fieldset option".split())
@@ -232,8 +236,27 @@ class Page:
                 n = self.parents[n]
         return top
 
-    def text(self, n: int) -> str:
-        return "\n".join(t for at, t, _ in self.blocks if n <= at <= self.ends[n])
+    def region(self, path: str, scores: dict[int, float]) -> list[int]:
+        """The container with the path; of several, the element around all of them, or all if that is the body."""
+        nodes = sorted(n for n in scores if self.paths[n] == path) or [n for n, p in enumerate(self.paths) if p == path]
+        if len(nodes) > 1:
+            around = self.parents[nodes[0]]
+            while self.ends[around] < nodes[-1]:
+                around = self.parents[around]
+            if self.tags[around] not in WHOLE:
+                return [around]
+        return nodes
+
+    def text(self, *nodes: int) -> str:
+        """The text of elements, none inside another, in page order."""
+        inside = ((bisect_right(nodes, at) - 1, at, t) for at, t, _ in self.blocks)
+        return "\n".join(t for i, at, t in inside if i >= 0 and at <= self.ends[nodes[i]])
+
+    def vote(self, scores: dict[int, float]) -> str:
+        """The path of the best container, or of the one around all that share it."""
+        path = self.paths[self.best(scores)]
+        around = self.region(path, scores)[0]
+        return self.paths[around] if around in scores else path
 
 
 def _html_values(block: pa.RecordBatch) -> list[str]:
@@ -247,7 +270,7 @@ def _votes(batches) -> Iterator[pa.RecordBatch]:
             for source in _html_values(block):
                 page = Page(source)
                 scores = page.scores()
-                paths.append(page.paths[page.best(scores)] if scores else None)
+                paths.append(page.vote(scores) if scores else None)
             yield pa.RecordBatch.from_arrays([block.column("host"), pa.array(paths, pa.string())], names=["host", "path"])
 
 
@@ -258,13 +281,9 @@ def _texts(batches) -> Iterator[pa.RecordBatch]:
             for source, winners in zip(_html_values(block), block.column("winners").to_pylist()):
                 page = Page(source)
                 scores = page.scores()
-                places: dict[str, int] = {}
-                for n in scores:
-                    p = page.paths[n]
-                    if p not in places or scores[n] > scores[places[p]]:
-                        places[p] = n
-                n = next((places[w] for w in winners or () if w in places), None)
-                out.append(page.text(page.best(scores) if n is None else n))
+                own = {page.paths[n] for n in scores}
+                path = next((w for w in winners or () if w in own), page.paths[page.best(scores)])
+                out.append(page.text(*page.region(path, scores)))
             kept = [c for c in block.schema.names if c not in ("html", "winners")]
             yield pa.RecordBatch.from_arrays([*(block.column(c) for c in kept), pa.array(out, pa.string())], names=[*kept, "text"])
 

@@ -50,3 +50,29 @@ def test_the_hosts_path_wins_over_a_pages_own(spark):
     assert len(got) == len(rows)
     assert html_text.extract(df.limit(0)).count() == 0
     assert html_text.host_paths(spark.createDataFrame(rows[:10], "page_id long, url string, html string").selectExpr("'h' AS host", "html")).first().winners[0] == "div.story#"
+
+
+def sections(*sizes, cell="<div class=section><p>{}</p></div>", around="<div class=content>{}</div>"):
+    return "<html><body>" + around.format("".join(cell.format(f"s{i} " + "x" * n) for i, n in enumerate(sizes))) + "</body></html>"
+
+
+def whole(*sizes):
+    return "\n".join(f"s{i} " + "x" * n for i, n in enumerate(sizes))
+
+
+def test_all_parts_of_an_article_cut_into_siblings(spark):
+    cells = {"cell": "<td>{}", "around": "<table><tr>{}</table>"}
+    bare = {"cell": "<section>{}</section>", "around": "{}"}
+    cases = {
+        "uneven": [((1000, 200), {}), ((1000, 200), {}), ((200, 200, 200, 200, 200), {}), ((500,), {})],
+        "equal": [((200, 200, 200, 200, 200), {}), ((1000, 200), {})],
+        "single": [((500,), {}), ((500,), {}), ((500,), {}), ((200, 200, 200, 200, 200), {}), ((1000, 200), {})],
+        "cells": [((1000, 200), cells), ((300, 300, 300), cells), ((100,), cells)],
+        "bare": [((1000, 200), bare), ((200, 200, 200, 200, 200), bare)],
+    }
+    rows = [(f"http://{host}.example/{i}", sections(*sizes, **how), whole(*sizes)) for host, pages in cases.items() for i, (sizes, how) in enumerate(pages)]
+    rows.append(("http://intro.example/", sections(1000, 200, around="<div class=content><p>intro</p>{}<p>end</p></div>"), "intro\n" + whole(1000, 200) + "\nend"))
+    pages = spark.createDataFrame([(i, url, source) for i, (url, source, _) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(pages.repartition(3)).collect()}
+    for i, (url, _, want) in enumerate(rows):
+        assert got[i] == want, url
