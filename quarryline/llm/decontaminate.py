@@ -6,8 +6,10 @@ hold none, so the index covers exactly what may match.  All windows are searched
 backwards at once, their occurrences located from sampled positions and merged
 into removal spans.  There is no shuffle: each document is read once.
 
-The benchmark goes to the tasks in parts of at most `PART_BYTES` of text, one pass
-over the row's running result for each part, so its size has no limit.
+The benchmark goes to the tasks in parts of about `PART_BYTES` of text, one pass over
+the row's running result for each part.  A part is never less than an item, and the
+driver holds the windows of all parts until the job ends, so the whole benchmark has to
+fit into the driver's memory.
 
 Defined results: null and empty texts have no words and no hits; items without
 words have no window; an item id that repeats counts once; a null item id is the
