@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact, html_text, langid, minhash, ngram_lm, quality, toxicity, training
+from . import bpe, chat, decontaminate, exact, html_text, langid, minhash, ngram_lm, quality, rules, toxicity, training
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,16 +77,22 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(_table(spark, folder, "pages"))
 
 
+def op13_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(_table(spark, folder, "documents")).drop("clean_text")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_pu, op2_language_crf, op3_toxicity_subwords, op4_chat_format, op5_ngram_lm, op6_exact_dedup, op7_benchmark_decontamination, op8_minhash_near_dedup,
-        op9_byte_bpe, op10_html_extraction,
+        op9_byte_bpe, op10_html_extraction, op13_line_rules,
     )
 }
 
 _BENCHMARK_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
 ORACLES = {
     "op4_chat_format": r"""
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -120,4 +126,28 @@ ORACLES = {
                coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op13_line_rules": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+             e AS (SELECT r, doc_id, t, regexp_extract_all(t, '{rules.WORD}') AS w,
+                          list_filter(string_split(t, chr(10)), lambda x: trim(x, {_SPACE}) <> '') AS l FROM d),
+             p AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS three
+                   FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM e WHERE len(w) > 2)),
+             twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, three) AS n FROM p) WHERE n > 1),
+             hit AS (SELECT r, count(DISTINCT k) AS n FROM (SELECT r, unnest(range(i, i + 3)) AS k FROM twice) GROUP BY r),
+             m AS (SELECT r, trim(x, {_SPACE}) AS x FROM (SELECT r, unnest(l) AS x FROM e)),
+             v AS (SELECT r, length(x) AS n, regexp_matches(right(x, 8), '{rules.SENTENCE_END.replace("'", "''")}')
+                          AND len(regexp_extract_all(x, '{rules.SIGN_RUN}')) * 4 <= len(regexp_extract_all(x, '{rules.WORD}'))
+                          AND len(regexp_extract_all(x, '{rules.SEPARATOR}')) * 4 <= len(regexp_extract_all(x, '{rules.WORD}'))
+                          AND NOT regexp_matches(x, '{rules.BOILERPLATE}') AS ok FROM m),
+             s AS (SELECT r, count(*) AS n_lines, count(*) FILTER (ok) AS n_kept, sum(n) AS chars, coalesce(sum(n) FILTER (ok), 0) AS kept FROM v GROUP BY r),
+             b AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                          CAST(len(regexp_extract_all(t, '{rules.SYMBOLS}')) AS BIGINT) AS n_symbols,
+                          CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_repeat_words
+                   FROM e LEFT JOIN hit USING (r)),
+             f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(n_lines, 0) AS n_lines,
+               coalesce(n_kept, 0) AS n_kept_lines, CAST(coalesce(chars, 0) AS BIGINT) AS line_chars, CAST(coalesce(s.kept, 0) AS BIGINT) AS kept_chars,
+               NOT base_failed AND coalesce(chars, 0) > 0 AND 100 * coalesce(s.kept, 0) >= 50 * coalesce(chars, 0) AS kept
+        FROM f LEFT JOIN s USING (r)
+    """,
 }

@@ -11,7 +11,7 @@ from quarryline.llm.queries import ORACLES, QUERIES
 
 def test_one_query_for_each_operator():
     numbers = [int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(QUERIES)
 
