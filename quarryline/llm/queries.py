@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact, html_text, langid, minhash, ngram_lm, quality, rules, toxicity, training
+from . import bpe, chat, decontaminate, exact, html_text, langid, minhash, ngram_lm, quality, rules, term_stages, toxicity, training
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,6 +77,10 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(_table(spark, folder, "pages"))
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return term_stages.search(_table(spark, folder, "benchmark"), _table(spark, folder, "documents"))
+
+
 def op13_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(_table(spark, folder, "documents")).drop("clean_text")
 
@@ -85,12 +89,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_pu, op2_language_crf, op3_toxicity_subwords, op4_chat_format, op5_ngram_lm, op6_exact_dedup, op7_benchmark_decontamination, op8_minhash_near_dedup,
-        op9_byte_bpe, op10_html_extraction, op13_line_rules,
+        op9_byte_bpe, op10_html_extraction, op12_ranked_search, op13_line_rules,
     )
 }
 
 _BENCHMARK_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+_TERMS = rf"""coalesce(regexp_extract_all(translate(text, '{term_stages.UPPER}', '{term_stages.LOWER}'), '{term_stages.TERM}'), [])"""
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLES = {
@@ -126,6 +131,19 @@ ORACLES = {
                coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op12_ranked_search": rf"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+             s AS (SELECT count(*) FILTER (len(w) > 0) AS nd, greatest(sum(len(w)), 1)::BIGINT AS nt FROM d),
+             i AS (SELECT row_number() OVER () AS i, item_id, list_distinct({_TERMS}) AS w FROM benchmark),
+             t AS (SELECT i, item_id, unnest(w) AS term FROM i),
+             p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d)
+                   WHERE term IN (SELECT term FROM t) GROUP BY r, doc_id, n, term),
+             v AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS weight FROM p, s GROUP BY term, nd),
+             c AS (SELECT i, item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // nt)))) AS BIGINT) AS score
+                   FROM t JOIN v USING (term) JOIN p USING (term), s GROUP BY i, item_id, r, doc_id),
+             k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS INT) AS rank, doc_id, score FROM c WHERE score > 0)
+        SELECT * FROM k WHERE rank <= 50
+    """,
     "op13_line_rules": f"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
              e AS (SELECT r, doc_id, t, regexp_extract_all(t, '{rules.WORD}') AS w,
