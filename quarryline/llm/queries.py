@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, exact, html_text, langid, minhash, ngram_lm, quality, rules, term_stages, toxicity, training
+from . import bpe, chat, decontaminate, exact, html_text, langid, minhash, ngram_lm, quality, rules, term_stages, toxicity, training, whitening
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,6 +77,10 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(_table(spark, folder, "pages"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
 def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return term_stages.search(_table(spark, folder, "benchmark"), _table(spark, folder, "documents"))
 
@@ -89,7 +93,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_pu, op2_language_crf, op3_toxicity_subwords, op4_chat_format, op5_ngram_lm, op6_exact_dedup, op7_benchmark_decontamination, op8_minhash_near_dedup,
-        op9_byte_bpe, op10_html_extraction, op12_ranked_search, op13_line_rules,
+        op9_byte_bpe, op10_html_extraction, op11_whitening, op12_ranked_search, op13_line_rules,
     )
 }
 
