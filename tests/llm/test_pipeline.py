@@ -52,6 +52,15 @@ def test_near(stages):
     assert sorted(r.doc_id for r in after) == sorted(i for i, (_, component) in want.items() if component == i)
 
 
+def test_near_with_shared_and_missing_ids(spark):
+    words = [f"w{i}" for i in range(60)]
+    text, other, third = " ".join(words), " ".join(reversed(words)), " ".join(words[::2] * 2)
+    rows = [(5, text), (7, text + " more"), (7, other), (7, None), (None, third), (None, third + " end"), (9, third + " also"), (7, "")]
+    docs = spark.createDataFrame([(i, t, "en", "x", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {(r.doc_id, r.text) for r in pipeline.near_stage(spark, docs, FOLDER).collect()}
+    assert kept == {(5, text), (7, other), (7, None), (7, ""), (9, third + " also")}
+
+
 def test_decontaminate(stages, spark):
     before, after, _ = stages["decontaminate"]
     docs = spark.createDataFrame(before, "doc_id long, text string, lang string, source string, n_chars long")
