@@ -32,12 +32,24 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every near-duplicate group: five-word shingles, similarity 0.8."""
-    docs = docs.select(*COLUMNS)
-    gone = written(minhash.near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "near-copies")
-    if at_most(gone, BROADCAST_ROWS):  # one number a row
-        gone = F.broadcast(gone)
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """The document with the smallest doc_id of every near-duplicate group: five-word shingles, similarity 0.8.
+
+    Rows are told apart by a number of their own, so texts that share an id, or have none, are judged each by itself.
+    """
+    docs = written(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = minhash.near_duplicates(docs, id_col="row").select(F.col("doc_id").alias("row"), "component_id")
+    copies = written(found.where("row <> component_id"), "near-copies")
+    members = copies.unionByName(copies.select(F.col("component_id").alias("row"), "component_id").distinct())
+    ids = docs.select("row", "doc_id").join(_narrow(members), "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row"))
+    stays = ids.groupBy("component_id").agg(first.alias("first")).select("first.row")
+    gone = written(members.select("row").join(stays, "row", "left_anti"), "gone")
+    return docs.join(_narrow(gone), "row", "left_anti").select(*COLUMNS)
+
+
+def _narrow(rows: DataFrame) -> DataFrame:
+    """Rows of a number or two, broadcast while they are few enough."""
+    return F.broadcast(rows) if at_most(rows, BROADCAST_ROWS) else rows
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
