@@ -15,7 +15,7 @@ from .. import constants as C
 from ..functions import code as code_fn
 from ..functions import text as text_fn
 from ..functions import vectors as vec_fn
-from ..operators import analysis, cache, chunking, context, evaluate, filters, incremental, rerank, search, weighting
+from ..operators import analysis, cache, chunking, context, evaluate, filters, incremental, lexical_index, rerank, search, weighting
 from ..operators.enrich import add_passage_vector, add_summary
 from ..session import fresh_path, written
 from ..sources import sinks, tables
@@ -472,6 +472,18 @@ def lexical_topk(spark, d):
     )
 
 
+@query
+def lexical_stored(spark, d):
+    """Every passage searched in an index that was written in two batches."""
+    s, path = tables.code_samples(spark, d, heavy=True), fresh_path(spark, "lexical-index")
+    for batch_id in (0, 1):
+        lexical_index.add_batch(s.where(F.col("original_index") % 2 == batch_id), path, batch_id)
+    found = lexical_index.search(tables.benchmark_queries(spark, d), path, 10)
+    return found.select(
+        F.col("q_id").alias("item_id"), F.col("original_index").alias("doc_id"), *rounded("score"), "rank"
+    )
+
+
 # --- incremental ingest and sinks ------------------------------------------------
 def _labelled(spark, d):
     """Documents that carry labels: the ones taken as stored before."""

@@ -460,6 +460,10 @@ H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dis
         S, BM, BM25,
         select="SELECT q_id AS item_id, original_index AS doc_id, round(score, 6) AS score, rank FROM L",
     ),
+    "lexical_stored": sql(
+        S, BM, BM25,
+        select="SELECT q_id AS item_id, original_index AS doc_id, round(score, 6) AS score, rank FROM L",
+    ),
     "skip_known_docs": "SELECT doc_id AS original_index FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "chunk_dedup": sql(
         S, KNOWN, windows("S"),
