@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import col, tokens
+from .text import col, let, tokens
 
 DIM = 64
 
@@ -87,6 +87,38 @@ def embed_text(c: Column | str) -> Column:
     return _hashed_words(tokens(c))
 
 
+# --- word counts, to be weighted later ------------------------------------------
+COUNT_DIM = 1024
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _counted_words(words: pa.Array) -> pa.Array:
+    n = len(words)
+    sizes = np.asarray(words.value_lengths().fill_null(0), dtype=np.int64)
+    coded = words.flatten().dictionary_encode()
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    digests = (hashlib.md5(w.encode()).digest() for w in coded.dictionary.to_pylist())
+    buckets = np.fromiter((int.from_bytes(x[:2]) % COUNT_DIM for x in digests), dtype=np.int64, count=len(coded.dictionary))
+    cells = np.repeat(np.arange(n), sizes) * COUNT_DIM + buckets[np.asarray(coded.indices)]
+    counts = np.bincount(cells, minlength=n * COUNT_DIM).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * COUNT_DIM), pa.array(counts))
+
+
+def count_words(c: Column | str) -> Column:
+    """How often the words of each of COUNT_DIM hashed cells occur; all zero without words."""
+    return _counted_words(tokens(c))
+
+
+def weighted_vector(counts: Column | str, weights: Column) -> Column:
+    """counts * weights at unit length; all zero where nothing with a weight is counted."""
+
+    def unit(v: Column) -> Column:
+        return let(F.sqrt(dot(v, v)), lambda norm: F.transform(v, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0))))
+
+    return let(F.zip_with(col(counts), weights, lambda n, w: n * w), unit)
+
+
 # --- hooks for a user's own model ------------------------------------------
 def model_column(
     make_predict: Callable[[], Callable[[np.ndarray], np.ndarray]], batch_size: int = 256

@@ -15,7 +15,7 @@ from .. import constants as C
 from ..functions import code as code_fn
 from ..functions import text as text_fn
 from ..functions import vectors as vec_fn
-from ..operators import analysis, cache, chunking, context, evaluate, filters, incremental, lexical_index, rerank, search, weighting
+from ..operators import analysis, cache, chunking, context, evaluate, filters, idf, incremental, lexical_index, rerank, rings, search, weighting
 from ..operators.enrich import add_passage_vector, add_summary
 from ..session import fresh_path, written
 from ..sources import sinks, tables
@@ -232,6 +232,19 @@ def topk_dense(spark, d):
     return search.nearest(means, corpus, 3).select("q_id", "original_index", *rounded("distance"), "rank")
 
 
+@query
+def topk_pruned(spark, d):
+    """As topk_dense, over rings of stored vectors of which only those that can win are read."""
+    path, vectors = fresh_path(spark, "rings"), tables.stored_vectors(spark, d)
+    known = tables.code_samples(spark, d).select(F.col("original_index").alias("vec_id"))
+    rings.store(vectors.join(known, "vec_id", "left_semi"), path, "vec_id", "embedding")
+    means = vec_fn.mean_vectors(vectors, "label", "embedding").select(
+        F.col("label").cast("bigint").alias("q_id"), F.col("vec").alias("query_vec")
+    )
+    found = rings.search(means, path, 3, "vec_id")
+    return found.select("q_id", F.col("vec_id").alias("original_index"), *rounded("distance"), "rank")
+
+
 @query
 def topk_stored(spark, d):
     """Vectors stored with their metadata once; searched there, and the hits' metadata fetched by key."""
@@ -462,6 +475,37 @@ def embed_default(spark, d):
     )
 
 
+def _idf_store(spark, d):
+    """Word counts of all source files, stored in two batches."""
+    s, path = _samples(spark, d), fresh_path(spark, "counts")
+    for batch_id in (0, 1):
+        idf.add_batch(s.where(F.col("original_index") % 2 == batch_id), path, batch_id)
+    return path
+
+
+@query
+def embed_idf(spark, d):
+    """Vectors under the weights of both batches, and the length of the first batch's under its own."""
+    path = _idf_store(spark, d)
+    whole, first = idf.stored_vectors(spark, path), idf.stored_vectors(spark, path, version=0)
+    place = F.sequence(F.lit(1), F.lit(vec_fn.COUNT_DIM))
+    shown = whole.select(
+        "original_index", F.size(F.filter("vec", lambda x: x > 0)).cast("bigint").alias("n_set"),
+        F.round(vec_fn.dot("vec", "vec"), 6).alias("norm"), F.round(F.array_max("vec"), 6).alias("largest"),
+        F.round(vec_fn.dot("vec", place), 3).alias("moment"),
+    )
+    before = first.select("original_index", F.round(vec_fn.dot("vec", place), 3).alias("moment_before"))
+    return shown.join(before, "original_index", "left")
+
+
+@query
+def topk_idf(spark, d):
+    """The source files nearest to each passage under corpus-fitted weights."""
+    path = _idf_store(spark, d)
+    asked = idf.query_vectors(tables.benchmark_queries(spark, d), path)
+    return search.nearest(asked, idf.stored_vectors(spark, path), 3).select("q_id", "original_index", *rounded("distance"), "rank")
+
+
 @query
 def lexical_topk(spark, d):
     found = search.lexical(

@@ -68,6 +68,26 @@ def vectors(name: str, source: str, key: str, text: str) -> str:
   FROM {source} s LEFT JOIN {name}_maps USING ({key}))"""
 
 
+def cell_counts(name: str, source: str, key: str, text: str) -> str:
+    """CTE `name`(key, b, c): how often the words of each hashed cell occur."""
+    return f"""{name}_words AS (SELECT {key}, unnest({tok(text)}) AS w FROM {source}),
+{name} AS (SELECT {key}, ('0x' || substr(md5(w), 1, 4))::INT % 1024 AS b, count(*) AS c FROM {name}_words GROUP BY ALL)"""
+
+
+def idf_vectors(name: str, counts: str, df: str, source: str, key: str) -> str:
+    """CTE `name`(key, vec): counts times weights of `df`(b, w), at unit length."""
+    return f"""{name}_parts AS (SELECT {key}, b, c * coalesce(w, (SELECT max(top) FROM {df})) AS v FROM {counts} LEFT JOIN {df} USING (b)),
+{name}_maps AS (SELECT {key}, map_from_entries(list((b, v))) AS m, sqrt(sum(v * v)) AS norm FROM {name}_parts GROUP BY {key}),
+{name} AS (SELECT s.{key}, list_transform(range(1024), lambda i: CASE WHEN norm > 0
+    THEN coalesce(map_extract(m, i::INT)[1], 0.0) / norm ELSE 0.0 END) AS vec FROM {source} s LEFT JOIN {name}_maps USING ({key}))"""
+
+
+IDF = (
+    cell_counts("C", "S", "original_index", "text"),
+    """DF AS (SELECT b, ln((n + 1) / (count(*) + 1.0)) AS w, ln(n + 1.0) AS top FROM C, (SELECT count(*)::DOUBLE AS n FROM S) GROUP BY b, n)""",
+)
+
+
 DIST = "round(list_distance(query_vec, vec), 9)"
 
 
@@ -368,6 +388,7 @@ ORACLES: dict[str, str] = {
     "vector_text": """SELECT vec_id, len(embedding) AS n, round(embedding[1]::DOUBLE, 6) AS first_value,
   round(embedding[-1]::DOUBLE, 6) AS last_value, true AS bracketed FROM embeddings""",
     "topk_dense": sql(MEANS, STORED_VECTORS, top("H", "M", "E", 3), select=ranked()),
+    "topk_pruned": sql(MEANS, STORED_VECTORS, top("H", "M", "E", 3), select=ranked()),
     "topk_cosine": sql(
         MEANS, "E AS (SELECT vec_id AS original_index, embedding::DOUBLE[] AS vec FROM embeddings)",
         """H_all AS (SELECT q_id, original_index, round(list_cosine_distance(query_vec, vec), 9) AS distance FROM M, E),
@@ -456,6 +477,18 @@ H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dis
   round(sqrt(list_dot_product(vec, vec)), 6) AS norm, round(list_max(vec), 6) AS largest,
   list_position(vec, list_max(vec))::BIGINT AS largest_at FROM V""",
     ),
+    "embed_idf": sql(
+        S, *IDF, "SE AS (SELECT * FROM S WHERE original_index % 2 = 0)", "CE AS (SELECT * FROM C WHERE original_index % 2 = 0)",
+        """DFE AS (SELECT b, ln((n + 1) / (count(*) + 1.0)) AS w, ln(n + 1.0) AS top FROM CE, (SELECT count(*)::DOUBLE AS n FROM SE) GROUP BY b, n)""",
+        idf_vectors("V", "C", "DF", "S", "original_index"), idf_vectors("VE", "CE", "DFE", "SE", "original_index"),
+        select="""SELECT original_index, len(list_filter(V.vec, lambda x: x > 0)) AS n_set, round(list_dot_product(V.vec, V.vec), 6) AS norm,
+  round(list_max(V.vec), 6) AS largest, round(list_dot_product(V.vec, range(1, 1025)::DOUBLE[]), 3) AS moment,
+  round(list_dot_product(VE.vec, range(1, 1025)::DOUBLE[]), 3) AS moment_before FROM V LEFT JOIN VE USING (original_index)""",
+    ),
+    "topk_idf": sql(
+        S, *IDF, idf_vectors("V", "C", "DF", "S", "original_index"), BM, cell_counts("QC", "BM", "q_id", "query_text"),
+        idf_vectors("QV", "QC", "DF", "BM", "q_id"), "Q AS (SELECT q_id, vec AS query_vec FROM QV)", top("H", "Q", "V", 3), select=ranked(),
+    ),
     "lexical_topk": sql(
         S, BM, BM25,
         select="SELECT q_id AS item_id, original_index AS doc_id, round(score, 6) AS score, rank FROM L",
