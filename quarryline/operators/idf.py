@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import COUNT_DIM, count_words, weighted_vector
-from ..sources.sinks import read_table
+from ..session import read_table
 
 #: The rows of a batch that hold a cell; cell -1 stands for the batch itself.
 FREQUENCIES = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("df", T.LongType()), T.StructField("batch_id", T.LongType())])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import BROADCAST_ROWS, at_most, written
+from .known import KnownKeys
 
 
 def touched_by(batch: DataFrame, store: DataFrame, key: str) -> DataFrame:
@@ -18,8 +19,17 @@ def touched_by(batch: DataFrame, store: DataFrame, key: str) -> DataFrame:
     return store.join(F.broadcast(keys), key, "left_semi") if at_most(keys, BROADCAST_ROWS) else store
 
 
-def skip_known_docs(samples: DataFrame, store: DataFrame, skip_by: str = "index") -> DataFrame:
-    """Documents that are not in the store.
+def _touched(batch: DataFrame, store: DataFrame | KnownKeys, key: str) -> DataFrame:
+    """(key, content, ok) of the stored rows that share a key with the batch."""
+    if isinstance(store, KnownKeys):
+        return store.touched(batch, key)
+    content = [F.col(c) for c in ("code_hash", "doc_hash") if c in store.columns]
+    rows = store.select(key, F.coalesce(*content, F.col(key).cast("string")).alias("content"), F.col("summary_ok").alias("ok"))
+    return touched_by(batch, rows, key)
+
+
+def skip_known_docs(samples: DataFrame, store: DataFrame | KnownKeys, skip_by: str = "index") -> DataFrame:
+    """Documents that are not in the store, given as its rows or as its keys.
 
     'index' goes by row position, 'hash' by content.  A document with a failed row is
     not known, so it is tried again, until a later row holds that content.
@@ -30,12 +40,19 @@ def skip_known_docs(samples: DataFrame, store: DataFrame, skip_by: str = "index"
         key, offered = "doc_hash", samples.withColumn("doc_hash", F.sha2("text", 256))
     else:
         raise ValueError(f"skip_by must be 'index' or 'hash', not {skip_by!r}")
-    content = [F.col(c) for c in ("code_hash", "doc_hash") if c in store.columns]
-    rows = store.select(key, F.coalesce(*content, F.col(key).cast("string")).alias("_content"), "summary_ok")
-    touched = touched_by(offered, rows, key)
-    failed = touched.where(~F.col("summary_ok")).select(key, "_content")
-    done = touched_by(failed, rows.where("summary_ok").select("_content"), "_content")
-    open_docs = failed.join(done, "_content", "left_anti").select(key)
+    touched = _touched(offered, store, key)
+    failed = touched.where("NOT ok").select(key, "content")
+    if isinstance(store, KnownKeys):
+        touched = written(touched, "known-docs")
+        failed = touched.where("NOT ok").select(key, "content")
+        if failed.isEmpty():
+            return offered.join(touched.select(key), key, "left_anti").select(samples.columns)
+        done = store.touched(failed, "content").where("ok").select("content")
+    else:
+        contents = [F.col(c) for c in ("code_hash", "doc_hash") if c in store.columns]
+        good = store.where("summary_ok").select(F.coalesce(*contents, F.col(key).cast("string")).alias("content"))
+        done = touched_by(failed, good, "content")
+    open_docs = failed.join(done, "content", "left_anti").select(key)
     known = touched.select(key).join(open_docs, key, "left_anti")
     return offered.join(known, key, "left_anti").select(samples.columns)
 
@@ -59,12 +76,18 @@ def first_of_equal(chunks: DataFrame) -> DataFrame:
     return first_rows(chunks, "code_hash", ["original_index", "chunk_no"])
 
 
-def skip_known_chunks(chunks: DataFrame, store: DataFrame) -> DataFrame:
-    """The first of each new content; content stored with a failed summary is new.
+def new_contents(chunks: DataFrame, store: DataFrame | KnownKeys) -> tuple[DataFrame, DataFrame]:
+    """(first rows of new contents, code_hash of contents that the store holds with a failed summary).
 
-    The reduced batch starts from files, so its keys are cheap to count and the costly
-    steps that follow run once.
+    The reduced batch starts from files, and so does what the store knows of it, so both are
+    cheap to join and the costly steps that follow run once.
     """
     firsts = first_of_equal(chunks)
-    known = store.where("summary_ok").select("code_hash")
-    return firsts.join(touched_by(firsts, known, "code_hash"), "code_hash", "left_anti").select(chunks.columns)
+    met = written(_touched(firsts, store, "code_hash").select("code_hash", "ok").distinct(), "known-contents")
+    kept = firsts.join(met.where("ok").select("code_hash"), "code_hash", "left_anti").select(chunks.columns)
+    return kept, met.where("NOT ok").select("code_hash")
+
+
+def skip_known_chunks(chunks: DataFrame, store: DataFrame | KnownKeys) -> DataFrame:
+    """The first of each new content; content stored with a failed summary is new."""
+    return new_contents(chunks, store)[0]

@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import tokens
-from ..session import BROADCAST_ROWS, at_most, written
-from ..sources.sinks import read_table
+from ..session import BROADCAST_ROWS, at_most, read_table, written
 from .ranking import top_k
 from .search import DECIMALS
 
@@ -120,7 +119,7 @@ def add_batch(
     kind = words.schema["doc"].dataType.simpleString()
     schema = f"term string, slice bigint, n int, max_tf int, min_length int, n_words bigint, docs array<{kind}>, tfs array<int>, lengths array<int>"
     blocks = written(words.mapInArrow(lambda batches: _blocks(batches, slice_docs), schema).withColumn("part", _part("term")), "blocks")
-    version = uuid.uuid4().hex
+    version = f"v{uuid.uuid4().hex}"
     order = ["part", "term", "slice"]
     dealt = blocks.repartitionByRange(*order).sortWithinPartitions(*order)
     dealt.write.partitionBy("part").parquet(f"{path}/postings/batch_id={batch_id}/version={version}")

@@ -11,8 +11,9 @@ from ..functions.text import content_hash, lead_sentences, row_id
 from ..functions.vectors import embed_text
 from ..operators.chunking import chunk_rows, recursive_chunks
 from ..operators.enrich import add_passage_vector, add_summary
-from ..operators.incremental import skip_known_chunks, skip_known_docs
-from ..sources.sinks import read_store, write_batch
+from ..operators.incremental import new_contents, skip_known_docs
+from ..operators.known import KnownKeys, index_batch
+from ..sources.sinks import write_batch
 
 
 def _store_columns(df: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def _store_columns(df: DataFrame) -> DataFrame:
 
 def new_rows(
     samples: DataFrame,
-    store: DataFrame,
+    store: DataFrame | KnownKeys,
     chunks: Column | None = None,
     skip_by: str = "index",
     summarise: Callable[[Column], Column] = lead_sentences,
@@ -42,9 +43,10 @@ def new_rows(
     """
     fresh = skip_known_docs(samples, store, skip_by).withColumn("doc_hash", content_hash("text"))
     rows = chunk_rows(fresh, recursive_chunks("text") if chunks is None else chunks)
-    kept = skip_known_chunks(rows, store).withColumnRenamed("chunk", "code")
+    kept, failed = new_contents(rows, store)
+    kept = kept.withColumnRenamed("chunk", "code")
     kept = kept.withColumn("id", row_id("original_index", "chunk_no", "code_hash"))
-    failed_before = store.where(~F.col("summary_ok")).select("code_hash").distinct().withColumn("failed", F.lit(True))
+    failed_before = failed.withColumn("failed", F.lit(True))
     told = (
         add_summary(kept, "code", summarise)
         .join(failed_before, "code_hash", "left")
@@ -57,10 +59,12 @@ def ingest(samples: DataFrame, path: str, batch_id: int, **options) -> None:
     """Add one batch to the store at `path`.
 
     Only earlier batches count as known, so running a batch again writes the same
-    rows again, in place of the first ones.
+    rows again, in place of the first ones.  What is known is looked up in the keys beside
+    the store; the rows are not read.
     """
-    earlier = read_store(samples.sparkSession, path).where(F.col("batch_id") < batch_id)
-    write_batch(new_rows(samples, earlier, **options), path, batch_id)
+    spark = samples.sparkSession
+    write_batch(new_rows(samples, KnownKeys(spark, path, batch_id), **options), path, batch_id)
+    index_batch(spark, path, batch_id)
 
 
 def ingest_whole(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,17 +11,7 @@ from ..functions.text import content_hash
 from ..operators.incremental import first_rows, touched_by
 from ..operators.ranking import numbered
 from ..schemas import BLOBS, CODE_DOCS, QUERY_LOG
-from ..session import written
-
-
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table, empty when nothing has been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+from ..session import read_table, written
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
