@@ -34,8 +34,8 @@ LOW, HIGH, BITS, WIDTH = 3, 6, 18, 4
 BUCKETS = 1 << BITS
 #: Labelled texts of each class that are used; bounds what the driver holds.
 SAMPLE_ROWS = 4_000
-#: Texts that must hold an n-gram for it to get an embedding.
-LEAST_TEXTS = 10
+#: An n-gram's evidence is shrunk by t / (t + SHRINK) for the t texts that hold it, so none is cut off.
+SHRINK = 2.0
 FLOOR = -12.0
 CUT = 0.3
 _WORD = ~arrays.byte_set((0x20, 0x20))
@@ -101,9 +101,8 @@ def fit_words(words: list[bytes], toxic: np.ndarray, other: np.ndarray, steps: i
     word = np.concatenate([w for _, w in found])
     del found, body
     texts = toxic + other
-    known = np.bincount(gram, weights=texts[word], minlength=BUCKETS) >= LEAST_TEXTS
-    kept = known[gram]
-    gram, word = gram[kept], word[kept]
+    held = np.bincount(gram, weights=texts[word], minlength=BUCKETS)
+    known, shrunk = held > 0, held / (held + SHRINK)
     share = 1 / np.maximum(np.bincount(word, minlength=len(words)), 1)
     draw = np.random.default_rng(seed)
     embedding = draw.normal(0, 0.05, (BUCKETS, WIDTH)) * known[:, None]
@@ -114,16 +113,16 @@ def fit_words(words: list[bytes], toxic: np.ndarray, other: np.ndarray, steps: i
     for step in range(1, steps + 1):
         # The mean's logits, from one number a bucket.
         line = softmax[:, 1] - softmax[:, 0]
-        z = np.bincount(word, weights=(embedding @ line)[gram], minlength=len(words)) * share + bias[1] - bias[0]
+        z = np.bincount(word, weights=((embedding @ line) * shrunk)[gram], minlength=len(words)) * share + bias[1] - bias[0]
         wrong = (texts / (1 + np.exp(-np.clip(z, -30, 30))) - toxic) / texts.sum()
-        pull = np.bincount(gram, weights=(wrong * share)[word], minlength=BUCKETS)
+        pull = np.bincount(gram, weights=(wrong * share)[word], minlength=BUCKETS) * shrunk
         inner = embedding.T @ pull
         slopes = [np.outer(pull, line) + decay * embedding, np.stack([-inner, inner], 1), np.array([-wrong.sum(), wrong.sum()])]
         for part, slope, (m, v) in zip(parts, slopes, moments):
             m += 0.1 * (slope - m)
             v += 0.01 * (slope * slope - v)
             part -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    evidence = (embedding @ (softmax[:, 1] - softmax[:, 0])) * known
+    evidence = (embedding @ (softmax[:, 1] - softmax[:, 0])) * shrunk
     return evidence.astype(np.float32), known.astype(np.float32), float(bias[1] - bias[0])
 
 

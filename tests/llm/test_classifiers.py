@@ -103,6 +103,24 @@ def test_misspelt_words_lie_near_the_word(spark):
     assert min(scores[:2]) > 0.3 > max(scores[2:])
 
 
+def test_a_toxic_word_in_five_texts(spark):
+    draw = np.random.default_rng(8)
+    plain = ["".join(draw.choice(list("aeioulnrtsp"), 6)) for _ in range(300)] + ["factory", "nefarious", "malleable", "factors"]
+    rows = []
+    for i in range(600):
+        words, toxic = list(draw.choice(plain, 30)), i % 6 == 0
+        if toxic:
+            words[int(draw.integers(30))] = "malefactor" if i // 6 % 20 == 0 else ["scoundrel", "blackguard"][i // 6 % 2]
+        rows.append((i, " ".join(words), int(toxic)))
+    assert sum("malefactor" in text for _, text, _ in rows) == 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    other = " ".join(plain[20:45])
+    texts = [f"{other} malefactor", f"{other} factory", other, f"{other} scoundrel"]
+    scores = [r.score for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).orderBy("c0").collect()]
+    assert scores[0] > 0.3 and scores[3] > 0.3 and max(scores[1:3]) < 0.3
+
+
 def test_marginals_against_enumeration():
     draw = np.random.default_rng(2)
     score, moves, start = draw.normal(size=(6, 3)), draw.normal(size=(3, 3)), draw.normal(size=3)
