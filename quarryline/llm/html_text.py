@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import BROADCAST_ROWS, at_most
+from ..session import BROADCAST_ROWS, at_most, written
 from . import arrays
 
 #: Share of a host's votes that makes a path one of its winners, so a host has 20 at most.
@@ -45,13 +46,22 @@ CONTAINERS = set("#page body article main section div td center".split())
 #: Elements that are never part of the article.
 BOILERPLATE_TAGS = set("head nav footer aside form dialog menu button input label fieldset option".split())
 BOILERPLATE_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: Words of class and id names, cut at hyphens, underscores and capitals, that mark boilerplate.
+#: Words of class and id names, cut at hyphens, underscores and capitals.  A name marks boilerplate by its head, the last
+#: word that says what the element is: `article-comments` and `ad-box` do, `ad-free-content` and `widget-text` do not.
 BOILERPLATE_NAMES = set(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
+    "ad ads adv advert adverts advertisement advertising banner sponsor sponsors sponsored promo promos promotion nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar aside footer header masthead cookie cookies consent notice notices popup modal overlay newsletter subscribe "
-    "subscription signup login share sharing social comment comments reply replies respond disqus related recommended widget "
-    "pagination pager search toolbar skip hidden".split()
+    "subscription signup login share sharing social comment comments commenter reply replies respond responses feedback discussion discussions disqus "
+    "related recommended recommendations teaser teasers widget widgets pagination pager search toolbar skip hidden".split()
 )
+#: Words that say where or how an element stands, not what it is.
+NEUTRAL_NAMES = set(
+    "box bar block container wrap wrapper wrapping inner outer area zone region slot unit panel row col column list item items section group holder "
+    "button buttons link links icon icons top bottom left right middle center inline fixed sticky small large wide mobile desktop form thread "
+    "js id the".split()
+)
+#: Of these the first word decides: `related-posts`, `sponsored-content`.
+BOILERPLATE_FIRST = set("related recommended sponsored promoted sponsor".split())
 CONTENT_NAMES = set("content article post entry story main text body page".split())
 #: Opening one of these ends an open element of the same family.
 ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -61,6 +71,14 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+
+
+def _is_boilerplate(words: list[str]) -> bool:
+    """Whether a class or id name, as words, names boilerplate."""
+    heads = [w for w in words if w not in NEUTRAL_NAMES]
+    return bool(heads) and (heads[-1] in BOILERPLATE_NAMES or heads[0] in BOILERPLATE_FIRST)
+
+
 _HOST = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 
 
@@ -68,7 +86,9 @@ class Page:
     """Elements of a page in document order, and its text blocks outside boilerplate."""
 
     def __init__(self, source: str):
-        self.tags, self.paths, self.parents, self.ends, self.names = ["#page"], [""], [-1], [0], [frozenset()]
+        self.tags, self.parents, self.ends, self.names = ["#page"], [-1], [0], [frozenset()]
+        # A path is a number: that of the path around it and one more step.  Memory does not grow with the depth.
+        self.paths, self.steps, self._numbers = [0], [(-1, "")], {}
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters inside links
         self._read(source)
 
@@ -101,6 +121,7 @@ class Page:
                 skipped -= kind == 1
                 in_header -= kind == 2
                 links -= self.tags[n] == "a"
+                opened[self.tags[n]] -= 1
             del stack[depth:]
 
         def last_open(wanted: set[str], stop: set[str]) -> int:
@@ -113,6 +134,7 @@ class Page:
             return -1
 
         state: dict[int, int] = {}
+        opened = Counter()
         raw = None
         for m in _TOKEN.finditer(source):
             if raw is not None:
@@ -136,7 +158,7 @@ class Page:
             if m[1] or m[4]:
                 if tag in BLOCK:
                     flush()
-                depth = last_open({tag}, set() if tag in BLOCK else BLOCK)
+                depth = last_open({tag}, set() if tag in BLOCK else BLOCK) if opened[tag] > 0 else -1
                 if depth > 0:
                     close(depth)
                 continue
@@ -160,6 +182,7 @@ class Page:
             self._open(tag, attributes, stack[-1])
             n = len(self.tags) - 1
             stack.append(n)
+            opened[tag] += 1
             links += tag == "a"
             kind = self._kind(n, stack)
             if kind:
@@ -174,7 +197,7 @@ class Page:
 
     def _open(self, tag: str, attributes: str, parent: int) -> None:
         names: set[str] = set()
-        path = tag
+        step = tag
         if attributes:
             for m in _ATTRIBUTE.finditer(attributes):
                 value = m[2] or m[3] or m[4] or ""
@@ -183,28 +206,55 @@ class Page:
                     if value.lower() in BOILERPLATE_ROLES:
                         names.add("#role")
                 elif kind == "hidden":
-                    names.add("hidden")
+                    names.add("#hidden")
                 else:
-                    names.update(w.lower() for w in _WORD.findall(value))
+                    for name in value.split():
+                        words = [w.lower() for w in _WORD.findall(name)]
+                        names.update(words)
+                        if _is_boilerplate(words):
+                            names.add("#name")
                     if kind == "class" and value.split():
-                        path = f"{tag}.{re.sub('[0-9]+', '#', value.split()[0].lower())}"
+                        step = f"{tag}.{re.sub('[0-9]+', '#', value.split()[0].lower()).replace('>', '')}"
         self.tags.append(tag)
         self.names.append(frozenset(names))
         self.parents.append(parent)
         self.ends.append(len(self.tags) - 1)
-        self.paths.append(f"{self.paths[parent]}>{path}" if self.paths[parent] else path)
+        key = self.paths[parent], step
+        number = self._numbers.setdefault(key, len(self.steps))
+        if number == len(self.steps):
+            self.steps.append(key)
+        self.paths.append(number)
+
+    def path(self, number: int) -> str:
+        """A path in words, from the outermost element on."""
+        steps = []
+        while number > 0:
+            number, step = self.steps[number]
+            steps.append(step)
+        return ">".join(reversed(steps))
+
+    def number(self, path: str) -> int:
+        """The number of a path in words; -1 where the page has no such element."""
+        number = 0
+        for step in path.split(">"):
+            number = self._numbers.get((number, step), -1)
+            if number < 0:
+                break
+        return number
 
     def _kind(self, n: int, stack: list[int]) -> int:
         """1: boilerplate; 2: a header inside an article, of which headings stay; 0: neither."""
         tag, names = self.tags[n], self.names[n]
         if tag in BOILERPLATE_TAGS or "#role" in names:
             return 1
-        if tag in ("html", "body", "main", "article", "p") or tag in HEADINGS:
-            return int("hidden" in names)
-        header = tag == "header" or names & {"header"}
+        if tag in ("html", "body", "main"):
+            return int("#hidden" in names)
+        if "#hidden" in names:
+            return 1
+        header = tag == "header" or "header" in names and "#name" in names
         if header and any(self.tags[a] in ("article", "main") for a in stack[:-1]):
             return 2
-        return int(bool(header or names & BOILERPLATE_NAMES))
+        return int(bool(header or "#name" in names))
 
     def scores(self) -> dict[int, float]:
         """Container scores: unlinked text near a container counts in full, further down by halves."""
@@ -236,7 +286,7 @@ class Page:
                 n = self.parents[n]
         return top
 
-    def region(self, path: str, scores: dict[int, float]) -> list[int]:
+    def region(self, path: int, scores: dict[int, float]) -> list[int]:
         """The container with the path; of several, the element around all of them, or all if that is the body."""
         nodes = sorted(n for n in scores if self.paths[n] == path) or [n for n, p in enumerate(self.paths) if p == path]
         if len(nodes) > 1:
@@ -256,7 +306,7 @@ class Page:
         """The path of the best container, or of the one around all that share it."""
         path = self.paths[self.best(scores)]
         around = self.region(path, scores)[0]
-        return self.paths[around] if around in scores else path
+        return self.path(self.paths[around] if around in scores else path)
 
 
 def _html_values(block: pa.RecordBatch) -> list[str]:
@@ -282,7 +332,7 @@ def _texts(batches) -> Iterator[pa.RecordBatch]:
                 page = Page(source)
                 scores = page.scores()
                 own = {page.paths[n] for n in scores}
-                path = next((w for w in winners or () if w in own), page.paths[page.best(scores)])
+                path = next((w for w in map(page.number, winners or ()) if w in own), page.paths[page.best(scores)])
                 out.append(page.text(*page.region(path, scores)))
             kept = [c for c in block.schema.names if c not in ("html", "winners")]
             yield pa.RecordBatch.from_arrays([*(block.column(c) for c in kept), pa.array(out, pa.string())], names=[*kept, "text"])
@@ -301,7 +351,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """Per page: page_id, url, text, n_chars."""
     host = F.coalesce(F.lower(F.regexp_extract(F.col(f"`{url_col}`"), _HOST, 1)), F.lit(""))
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), host.alias("host"), F.col(f"`{html_col}`").alias("html"))
-    winners = host_paths(rows.select("host", "html"))
+    winners = written(host_paths(rows.select("host", "html")), "host-paths")
     if at_most(winners, BROADCAST_ROWS // 10):  # a few short paths a host
         winners = F.broadcast(winners)
     joined = rows.join(winners, "host", "left").select("page_id", "url", "html", "winners")

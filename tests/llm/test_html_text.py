@@ -76,3 +76,31 @@ def test_all_parts_of_an_article_cut_into_siblings(spark):
     got = {r.page_id: r.text for r in html_text.extract(pages.repartition(3)).collect()}
     for i, (url, _, want) in enumerate(rows):
         assert got[i] == want, url
+
+
+def test_names_judge_by_their_head():
+    source = """<html><body><article><h1>Title</h1><p class="advert">BUY NOW</p><p>One</p><h2 class="related">More</h2>
+    <div class="widget-text">Two</div><div class="ad-free-content">Three</div><div class="header-less">Four</div>
+    <div class="related-posts">x</div><div class="sponsored-content">x</div><div class="article-comments">x</div><div class="teaser">x</div>
+    <article class="comment">x</article><div class="feedback">x</div><section class="discussion">x</section><div class="adBox">x</div>
+    <div id="comment-list">x</div><p hidden>x</p><p class="hidden">x</p><p class="commentary">Five</p></article></body></html>"""
+    assert own_text(source) == "Title\nOne\nTwo\nThree\nFour\nFive"
+
+
+def test_deep_pages_take_memory_in_proportion():
+    import tracemalloc
+
+    tracemalloc.start()
+    deep = Page("<div class=x>" * 100_000 + "<p>deep" + "</section>" * 100_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert deep.text(deep.best(deep.scores())) == "deep" and peak < 300e6
+    long = Page("<article>" + "<p>word</p>" * 100_000 + "</article>")
+    assert long.text(long.best(long.scores())).count("\n") == 99_999
+
+
+def test_paths_come_back_from_words():
+    page = Page("<div class='a7 b'><section><div class='a8'><p>x</p></div></section></div><div class='a9'>y</div>")
+    words = [page.path(n) for n in page.paths]
+    assert words == ["", "div.a#", "div.a#>section", "div.a#>section>div.a#", "div.a#>section>div.a#>p", "div.a#"]
+    assert [page.number(w) for w in words[1:]] == page.paths[1:] and page.number("div.a#>table") == -1
