@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import code as code_fn
+from ..functions import scan as scan_fn
 from ..functions import text as text_fn
 from ..functions import vectors as vec_fn
 from ..operators import analysis, cache, chunking, context, evaluate, filters, idf, incremental, lexical_index, rerank, rings, search, weighting
@@ -129,6 +130,28 @@ def complexity(spark, d):
     )
 
 
+@query
+def code_scan(spark, d):
+    """Names, imports and complexity of what is code, neither string nor comment."""
+    s = tables.code_samples(spark, d, heavy=True)
+    found = s.select(
+        "original_index", scan_fn.only_code("text", "lang").alias("shown"), scan_fn.code_functions("text", "lang").alias("functions"),
+        scan_fn.code_imports("text", "lang").alias("imports"), scan_fn.code_complexity("text", "lang").alias("complexity_score"),
+    )
+    return found.select(
+        "original_index", F.regexp_count("shown", F.lit(scan_fn.MASK)).cast("bigint").alias("n_masked"), F.length("shown").cast("bigint").alias("n_chars"),
+        F.array_join("functions", ",").alias("functions"), F.array_join("imports", ",").alias("imports"), "complexity_score",
+    )
+
+
+@query
+def chunk_nested(spark, d):
+    """Every span of every file, with the kind of place where it ends."""
+    s = tables.code_samples(spark, d, heavy=True)
+    spans = s.select("original_index", F.posexplode(scan_fn.nested_chunks("text", "lang")).alias("chunk_no", "span"))
+    return spans.select("original_index", F.col("chunk_no").cast("bigint").alias("chunk_no"), "span.start", "span.end", "span.level")
+
+
 @query
 def enhanced_metadata(spark, d):
     m = filters.enhanced_metadata(tables.code_samples(spark, d, heavy=True))

@@ -150,6 +150,54 @@ IMPORTS = f"""CASE WHEN lang = 'python' THEN {_found(IMPORT_PATTERNS, 'python')}
   WHEN lang IN ('c', 'cpp', 'objective-c') THEN {_found(IMPORT_PATTERNS, 'c_family')}
   ELSE {_found(IMPORT_PATTERNS, 'other')} END"""
 
+def _string(quote: str) -> str:
+    return rf"""{quote}(?:\\.|[^{quote}\\\n])*(?:{quote}|\\\z)?"""
+
+
+def _triple(quote: str) -> str:
+    return rf"""{quote * 3}(?:\\.|[^\\])*?(?:{quote * 3}|\\?\z)"""
+
+
+# A file as a row of tokens and of what lies between them.
+_PYTHON = "(?s)" + "|".join([_triple('"'), _triple("'"), _string('"'), _string("'"), r"#[^\n]*", """[^"'#]+"""])
+_BRACES = "(?s)" + "|".join([r"//[^\n]*", r"/\*.*?(?:\*/|\z)", _string('"'), _string("'"), r"`(?:\\.|[^`\\])*(?:`|\\?\z)", "/", """[^/"'`]+"""])
+_IN_BRACES = "lang IN ('javascript', 'java', 'cpp', 'c', 'objective-c', 'go')"
+
+
+def _hidden(what: str, braces_what: str, shown: str) -> str:
+    """The text with the tokens that `what` names put as `shown` (an expression over x)."""
+    python = f"list_transform(regexp_extract_all(text, {q(_PYTHON)}), lambda x: CASE WHEN {what} THEN {shown} ELSE x END)"
+    braces = f"list_transform(regexp_extract_all(text, {q(_BRACES)}), lambda x: CASE WHEN {braces_what} THEN {shown} ELSE x END)"
+    return f"CASE WHEN lang = 'python' THEN array_to_string({python}, '') WHEN {_IN_BRACES} THEN array_to_string({braces}, '') ELSE text END"
+
+
+_QUOTED = """left(x, 1) IN ('"', '''', '#')"""
+_BRACED = """(left(x, 1) IN ('"', '''', '`') OR left(x, 2) IN ('//', '/*'))"""
+_LONG = "(left(x, 1) = '`' OR left(x, 2) IN ('//', '/*'))"
+_LINES_KEPT = r"regexp_replace(x, '[^\n]', chr(1), 'g')"
+SHOWN = f"""M AS (SELECT original_index, lang, text, {_hidden(_QUOTED, _BRACED, _LINES_KEPT)} AS shown,
+  {_hidden("false", _LONG, _LINES_KEPT)} AS long_shown FROM S)"""
+_STARTS = " ".join(
+    f"WHEN lang = {q(name)} THEN " + " OR ".join(f"starts_with(following, {q(start[1:])})" for start in own) for name, own in C.LANGUAGE_SEPARATORS.items()
+)
+_LAST_CUT = "list_max(list_filter({}, lambda x: x > start AND x <= start + 512))"
+
+
+def _number_of(signs: str) -> str:
+    return f"length(regexp_replace(line, '[^{signs}]', '', 'g'))"
+
+
+CUTS = f"""M AS (SELECT original_index, lang, length(text) AS n, {_hidden(_QUOTED, _BRACED, "repeat(chr(1), length(x))")} AS shown FROM S),
+LN AS (SELECT original_index, lang, n, unnest(string_split(shown, chr(10))) AS line, generate_subscripts(string_split(shown, chr(10)), 1) AS i FROM M),
+LP AS (SELECT original_index, lang, n, sum(length(line) + 1) OVER w AS pos, lead(line) OVER w AS following, CASE WHEN lang = 'python' OR {_IN_BRACES}
+    THEN sum({_number_of('([{')} - {_number_of(r')' + chr(92) + ']}')}) OVER w ELSE 0 END AS depth
+  FROM LN WINDOW w AS (PARTITION BY original_index ORDER BY i)),
+G AS (SELECT original_index, n, list(pos) FILTER (pos < n AND depth <= 0 AND CASE {_STARTS} ELSE false END) AS c0,
+    list(pos) FILTER (pos < n AND depth <= 0) AS c1, list(pos) FILTER (pos < n) AS c2 FROM LP GROUP BY original_index, n),
+R AS (SELECT original_index, n, 0::BIGINT AS chunk_no, 0::BIGINT AS start, c0, c1, c2 FROM G WHERE n > 0
+  UNION ALL SELECT original_index, n, chunk_no + 1, coalesce({_LAST_CUT.format('c0')}, {_LAST_CUT.format('c1')}, {_LAST_CUT.format('c2')}, start + 512)::BIGINT,
+    c0, c1, c2 FROM R WHERE n - start > 512)"""
+
 PREFIX = """'# Language: ' || coalesce(lang, 'None') || chr(10) || '# Repo: ' || coalesce(repo_name, 'None') || chr(10)
   || '# Stars: ' || coalesce(star::VARCHAR, 'None') || chr(10)"""
 
@@ -352,6 +400,20 @@ ORACLES: dict[str, str] = {
         S, select=f"SELECT original_index, len(f) AS n, array_to_string(f, ',') AS names FROM (SELECT *, {IMPORTS} AS f FROM S)"
     ),
     "complexity": sql(S, select=f"SELECT original_index, {COMPLEXITY} AS complexity_score FROM S"),
+    "code_scan": sql(
+        S, SHOWN,
+        select=f"""SELECT original_index, length(shown) - length(replace(shown, chr(1), '')) AS n_masked, length(shown) AS n_chars,
+  array_to_string({FUNCTIONS.replace("text", "shown")}, ',') AS functions,
+  array_to_string({IMPORTS.replace("text", "(CASE WHEN lang = 'python' THEN shown ELSE long_shown END)")}, ',') AS imports,
+  {COMPLEXITY.replace("text", "shown")} AS complexity_score FROM M""",
+    ),
+    "chunk_nested": "WITH RECURSIVE " + sql(
+        S, CUTS,
+        select=f"""SELECT original_index, chunk_no, start, CASE WHEN n - start <= 512 THEN n ELSE coalesce({_LAST_CUT.format('c0')},
+    {_LAST_CUT.format('c1')}, {_LAST_CUT.format('c2')}, start + 512) END::BIGINT AS "end",
+  CASE WHEN n - start <= 512 OR {_LAST_CUT.format('c0')} IS NOT NULL THEN 0 WHEN {_LAST_CUT.format('c1')} IS NOT NULL THEN 1
+    WHEN {_LAST_CUT.format('c2')} IS NOT NULL THEN 2 ELSE 3 END::INT AS level FROM R""",
+    ).removeprefix("WITH "),
     "enhanced_metadata": sql(
         S,
         select=f"""SELECT original_index, lang AS language, repo_name, star AS repo_popularity, dir AS file_path,
