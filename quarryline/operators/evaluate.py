@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +15,8 @@ from .search import nearest
 from .weighting import attach
 from ..session import written
 
+AUTOMATON_BYTES = 4 << 20  # passages in one automaton; it takes some fifty times as much memory
+
 
 def eval_report(queries: DataFrame, hits: DataFrame) -> DataFrame:
     """Mean stars, number of languages and size of each query's result.
@@ -44,6 +50,62 @@ def relevance(queries: DataFrame, hits: DataFrame, texts: DataFrame) -> DataFram
     )
 
 
+def _holding(automaton, batches: Iterator[pa.RecordBatch], row_id: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        places, rows = [], []
+        for i, text in enumerate(batch.column("text").to_pylist()):
+            found = {p for _, same in automaton.iter(text) for p in same} if text else ()
+            places += found
+            rows += [i] * len(found)
+        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), batch.column(row_id).take(pa.array(rows, pa.int64()))], names=["passage", row_id])
+
+
+def truth_pairs(queries: DataFrame, texts: DataFrame, row_id: str = "original_index", part_bytes: int = AUTOMATON_BYTES) -> DataFrame:
+    """(q_id, row_id) for every text that contains a query passage as it is; an empty passage is in none.
+
+    All passages make one Aho-Corasick automaton, so a text is read once however many there are.  Passages are
+    dealt into parts of bounded bytes, each with an automaton and a scan of its own; one part is the usual case.
+    """
+    spark = queries.sparkSession
+    asked = queries.where("query_text <> ''").select("q_id", "query_text").distinct()
+    asked = written(asked.withColumn("passage", F.monotonically_increasing_id()), "passages")
+    size = asked.agg(F.sum(F.octet_length("query_text"))).first()[0] or 0
+    n_parts = 1 + size // part_bytes
+    rows, found = texts.select(row_id, "text"), None
+    schema = f"passage long, {row_id} {texts.schema[row_id].dataType.simpleString()}"
+    for part in range(n_parts):
+        held = asked.where(F.pmod(F.xxhash64("passage"), F.lit(n_parts)) == part).select("passage", "query_text").toArrow()
+        if not held.num_rows:
+            continue
+        shipped = spark.sparkContext.broadcast(held)
+
+        def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            automaton, same = ahocorasick.Automaton(), {}
+            for number, text in zip(*(shipped.value.column(c).to_pylist() for c in ("passage", "query_text"))):
+                same.setdefault(text, []).append(number)
+            for text, numbers in same.items():
+                automaton.add_word(text, numbers)
+            automaton.make_automaton()
+            yield from _holding(automaton, batches, row_id)
+
+        pairs = rows.mapInArrow(run, schema)
+        found = pairs if found is None else found.unionByName(pairs)
+    found = found if found is not None else spark.createDataFrame([], schema)
+    return written(found, "truth").join(asked.select("passage", "q_id"), "passage").select("q_id", row_id)
+
+
+def recall(queries: DataFrame, hits: DataFrame, truth: DataFrame, row_id: str = "original_index") -> DataFrame:
+    """(q_id, n_truth, n_found, recall, reciprocal_rank); a query without a true row has recall 0."""
+    judged = truth.join(hits.select("q_id", row_id, "rank"), ["q_id", row_id], "left")
+    sums = judged.groupBy("q_id").agg(F.count(F.lit(1)).alias("n_truth"), F.count("rank").alias("n_found"), F.min("rank").alias("first_rank"))
+    zero = F.lit(0).cast("bigint")
+    return queries.select("q_id").join(sums, "q_id", "left").select(
+        "q_id", F.coalesce("n_truth", zero).alias("n_truth"), F.coalesce("n_found", zero).alias("n_found"),
+        F.coalesce(F.col("n_found") / F.col("n_truth"), F.lit(0.0)).alias("recall"),
+        F.coalesce(1 / F.col("first_rank"), F.lit(0.0)).alias("reciprocal_rank"),
+    )
+
+
 def popularity_tiers(
     queries: DataFrame, corpus: DataFrame, samples: DataFrame, tiers: dict[str, int] = POPULARITY_TIERS, k: int = 20
 ) -> DataFrame:

@@ -188,17 +188,32 @@ def _parts(batch: pa.RecordBatch, group: str | None) -> Iterator[tuple[str | Non
         yield name, batch.filter(pc.equal(names, name))
 
 
+class RoutedScorer:
+    """Vector scorers by group: each group's rows meet only the queries that are routed there."""
+
+    def __init__(self, table: pa.Table, group: str, vector: str, column: str):
+        self.table, self.group, self.vector, self.column = table, group, vector, column
+
+    def of(self, name: str | None) -> VectorScorer:
+        own = self.table.filter(pc.equal(self.table.column(self.group), name))
+        return VectorScorer.from_table(own, self.vector, self.column, "l2")
+
+
 def _best_rows(batches, scorer, k: int, row_id: str, group: str | None) -> Iterator[pa.RecordBatch]:
-    leaders: dict[str | None, Leaders] = {}
+    routed = isinstance(scorer, RoutedScorer)
+    held: dict[str | None, tuple] = {}
     for batch in batches:
         for name, rows in _parts(batch, group):
             if rows.num_rows:
-                best = leaders.setdefault(name, Leaders(len(scorer.q_ids), k))
-                scorer.feed(rows, _ids(rows.column(row_id)), best)
-    for name, best in leaders.items():
+                if name not in held:
+                    own = scorer.of(name) if routed else scorer
+                    held[name] = own, Leaders(len(own.q_ids), k)
+                own, best = held[name]
+                own.feed(rows, _ids(rows.column(row_id)), best)
+    for name, (own, best) in held.items():
         if best.ids is None:
             continue
-        out = {"q_id": scorer.q_ids.take(pa.array(best.query)), row_id: pa.array(best.ids.tolist())}
+        out = {"q_id": own.q_ids.take(pa.array(best.query)), row_id: pa.array(best.ids.tolist())}
         if group is not None:
             out[group] = pa.array([name] * len(best.query), pa.string())
         out["score"] = pa.array(best.score)
@@ -277,6 +292,34 @@ def nearest(
     return top_k(found, keys, [F.col("distance"), F.col(row_id)], k, spread_by=row_id)
 
 
+def nearest_routed(
+    routes: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    group: str,
+    row_id: str = "original_index",
+    vector: str = "vec",
+    query_vector: str = "query_vec",
+    ship_rows: int = SHIP_ROWS,
+) -> DataFrame:
+    """The k nearest rows per query among the groups it is routed to: (q_id, row_id, group, distance, rank).
+
+    `routes` has a row (q_id, group, query vector) for each group of a query.  The corpus is read once, and only
+    the groups that some query wants; a task scores a group's rows against that group's queries alone.
+    """
+    asked = routes.select("q_id", group, query_vector).where(F.col(query_vector).isNotNull())
+    wanted = [r[group] for r in asked.select(group).distinct().collect()]  # names of groups
+    rows = corpus.select(row_id, vector, group).where(F.col(group).isin(wanted))
+    width = asked.select(F.size(query_vector).alias("n")).first()
+    ship_rows = min(ship_rows, max(1, SHIP_BYTES // (8 * max(1, width["n"] if width else 1))))
+
+    def make(table: pa.Table) -> RoutedScorer:
+        return RoutedScorer(table, group, query_vector, vector)
+
+    found = _scan(asked, rows, make, k, row_id, group, ship_rows).withColumnRenamed("score", "distance")
+    return top_k(found, ["q_id"], [F.col("distance"), F.col(row_id)], k, spread_by=row_id)
+
+
 def lexical(
     queries: DataFrame,
     corpus: DataFrame,

@@ -867,7 +867,9 @@ def section_route(spark, d):
         "original_index", collection_of(code_fn.code_type("text", "dir")).alias("collection"),
         vec_fn.embed_text("text").alias("vec"),
     )
-    return retrieval.routed_search(asked, corpus, 3).select(
+    path = fresh_path(spark, "routed")
+    corpus.write.partitionBy("collection").parquet(path)
+    return retrieval.routed_search(asked, spark.read.parquet(path), 3).select(
         "q_id", "collection", "original_index", *rounded("distance"), "rank"
     )
 
@@ -889,6 +891,15 @@ def eval_relevance(spark, d):
     )
 
 
+@query
+def eval_recall(spark, d):
+    """Of all files that hold a passage, the share among its ten best hits."""
+    s, asked = _samples(spark, d), tables.benchmark_queries(spark, d)
+    hits = written(search.lexical(asked, s, 10), "hits")
+    found = evaluate.recall(asked, hits, evaluate.truth_pairs(asked, s))
+    return found.select(F.col("q_id").alias("item_id"), "n_truth", "n_found", *rounded("recall", "reciprocal_rank"))
+
+
 @query
 def popularity_tiers(spark, d):
     s = _samples(spark, d)

@@ -698,6 +698,13 @@ X AS (SELECT q_id, collection, original_index, {DIST} AS distance FROM Q, SC WHE
         "  WHERE contains(text, query_text) GROUP BY q_id)",
         select="""SELECT q_id AS item_id, (first IS NOT NULL)::BIGINT AS hit,
   round(coalesce(1.0 / first, 0.0), 6) AS reciprocal_rank FROM BM LEFT JOIN J USING (q_id)""",
+    ),
+    "eval_recall": sql(
+        S, BM, BM25,
+        "T AS (SELECT q_id, original_index FROM BM, S WHERE contains(text, query_text))",
+        "J AS (SELECT q_id, count(*) AS n_truth, count(rank) AS n_found, min(rank) AS first FROM T LEFT JOIN L USING (q_id, original_index) GROUP BY q_id)",
+        select="""SELECT q_id AS item_id, coalesce(n_truth, 0) AS n_truth, coalesce(n_found, 0) AS n_found,
+  round(coalesce(n_found / n_truth, 0.0), 6) AS recall, round(coalesce(1.0 / first, 0.0), 6) AS reciprocal_rank FROM BM LEFT JOIN J USING (q_id)""",
     ),
     "popularity_tiers": sql(
         S, SV, given([C.TIER_QUERY]), GQ,

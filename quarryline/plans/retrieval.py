@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import COLLECTIONS
 from ..functions.text import lead_sentences, routed_collections, summary_or_fallback, wants_follow_up
 from ..functions.vectors import embed_text, plus_scaled
 from ..operators.cache import answer_cache, once_per_text
 from ..operators.context import context, prompt
 from ..operators.ranking import top_k
 from ..operators.rerank import rerank, score_pairs, word_overlap
-from ..operators.search import nearest
+from ..operators.search import nearest, nearest_routed
 from ..operators.weighting import attach
 from ..session import written
 
@@ -106,17 +103,11 @@ def two_round(
 def routed_search(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """Search only the collections each query is routed to.
 
-    `corpus` carries `collection`; each collection is read for its own queries only.  The
-    best k of the routed collections are the best k of those collections together.
+    `corpus` carries `collection`, best as a stored partition, so that collections nobody is
+    routed to are not opened.  The corpus is read once for all collections.
     """
-    routes = written(queries.withColumn("route", F.explode(routed_collections("query_text"))), "routes")
-    parts = [
-        nearest(routes.where(F.col("route") == name), corpus.where(F.col("collection") == name), k)
-        .drop("rank").withColumn("collection", F.lit(name))
-        for name in COLLECTIONS
-    ]
-    hits = reduce(DataFrame.unionByName, parts)
-    return top_k(hits, ["q_id"], [F.col("distance"), F.col("original_index")], k)
+    routes = queries.withColumn("collection", F.explode(routed_collections("query_text")))
+    return nearest_routed(written(routes.select("q_id", "collection", "query_vec"), "routes"), corpus, k, "collection")
 
 
 def serve(queries: DataFrame, log: DataFrame, corpus: DataFrame, samples: DataFrame, k: int = 3) -> DataFrame:

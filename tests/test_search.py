@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from quarryline.operators import search
+from quarryline.operators import evaluate, search
 from quarryline.operators.ranking import numbered, top_k
 
 RNG = np.random.default_rng(7)
@@ -186,3 +186,32 @@ def test_search_keeps_the_splits_of_the_corpus(spark):
     asked = spark.createDataFrame([(1, [5.0])], "q_id long, query_vec array<double>")
     plan = search.nearest(asked, corpus, 1)._jdf.queryExecution().executedPlan().toString()
     assert "Coalesce" not in plan
+
+
+@pytest.mark.parametrize("ship_rows", [1000, 6])
+def test_routed_queries_meet_their_groups_only(tables, ship_rows, monkeypatch, spark):
+    monkeypatch.setattr(search, "CELL_ROWS", 90)
+    asked, corpus = tables
+    sided = corpus.withColumn("side", F.concat(F.lit("s"), (F.col("original_index") % 3).cast("string")))
+    routes = asked.where("q_id < 20").withColumn("side", F.explode(F.when(F.col("q_id") % 2 == 0, F.array(F.lit("s0"))).otherwise(F.array(F.lit("s0"), F.lit("s2")))))
+    found = rows(search.nearest_routed(routes, sided, 5, "side", ship_rows=ship_rows), "q_id", "original_index", "rank")
+    want = []
+    for q, _ in ASKED[:20]:
+        sides = {0} if q % 2 == 0 else {0, 2}
+        own = search.nearest(asked.where(F.col("q_id") == q), corpus.where((F.col("original_index") % 3).isin(*sides)), 5) if q < 4 else None
+        if own is not None:
+            want += rows(own, "q_id", "original_index", "rank")
+    assert [f for f in found if f[0] < 4] == sorted(want) and len(found) == 100
+    assert search.nearest_routed(routes.limit(0), sided, 5, "side").count() == 0
+
+
+@pytest.mark.parametrize("part_bytes", [1 << 20, 8])
+def test_truth_pairs_and_recall(spark, part_bytes):
+    asked = spark.createDataFrame([(1, "abc"), (2, "bc"), (3, "abc"), (4, ""), (5, None), (6, "nowhere"), (7, "éé")], "q_id bigint, query_text string")
+    texts = spark.createDataFrame([(1, "xabcx abc"), (2, "bc"), (3, None), (4, ""), (5, "ééé")], "original_index bigint, text string")
+    truth = evaluate.truth_pairs(asked, texts, part_bytes=part_bytes)
+    assert rows(truth, "q_id", "original_index") == [(1, 1), (2, 1), (2, 2), (3, 1), (7, 5)]
+    hits = spark.createDataFrame([(2, 9, 1), (2, 2, 2), (1, 1, 1), (6, 1, 1)], "q_id bigint, original_index bigint, rank bigint")
+    got = rows(evaluate.recall(asked, hits, truth), "q_id", "n_truth", "n_found", "recall", "reciprocal_rank")
+    assert got == [(1, 1, 1, 1.0, 1.0), (2, 2, 1, 0.5, 0.5), (3, 1, 0, 0.0, 0.0), (4, 0, 0, 0.0, 0.0), (5, 0, 0, 0.0, 0.0), (6, 0, 0, 0.0, 0.0), (7, 1, 0, 0.0, 0.0)]
+    assert evaluate.truth_pairs(asked.limit(0), texts).count() == 0
