@@ -467,6 +467,23 @@ def chunk_by_lang(spark, d):
     return _checked(_samples(spark, d), chunking.recursive_chunks("text", chunking.language_separators("lang")))
 
 
+def _chunk_rows(samples, chunks):
+    rows = chunking.chunk_rows(samples.select("original_index", "text", "lang"), chunks)
+    return rows.select("original_index", "chunk_no", F.length("chunk").cast("bigint").alias("n_chars"), "code_hash")
+
+
+@query
+def chunk_recursive_rows(spark, d):
+    """Every chunk of the recursive splitter, which the SQL splits and merges again."""
+    return _chunk_rows(_samples(spark, d), chunking.recursive_chunks("text"))
+
+
+@query
+def chunk_by_lang_rows(spark, d):
+    """Every chunk of the language-aware splitter."""
+    return _chunk_rows(_samples(spark, d), chunking.recursive_chunks("text", chunking.language_separators("lang")))
+
+
 @query
 def chunk_by_words(spark, d):
     """Language boundaries first, up to 800 words per chunk."""
@@ -744,6 +761,16 @@ def rerank_hits(spark, d):
 QUERIES["rerank"] = QUERIES.pop("rerank_hits")
 
 
+@query
+def rerank_proximity(spark, d):
+    """The same hits, by how close together the query's words stand."""
+    s, asked = _samples(spark, d), _asked(spark, d)
+    hits = written(search.nearest(asked, retrieval.text_corpus(s), 10), "hits")
+    return retrieval.reranked(asked, hits, s, score=rerank.proximity).select(
+        "q_id", "original_index", *rounded("score"), "prior_rank", "rank"
+    )
+
+
 @query
 def two_round(spark, d):
     s = _samples(spark, d)

@@ -198,6 +198,52 @@ R AS (SELECT original_index, n, 0::BIGINT AS chunk_no, 0::BIGINT AS start, c0, c
   UNION ALL SELECT original_index, n, chunk_no + 1, coalesce({_LAST_CUT.format('c0')}, {_LAST_CUT.format('c1')}, {_LAST_CUT.format('c2')}, start + 512)::BIGINT,
     c0, c1, c2 FROM R WHERE n - start > 512)"""
 
+def replay(seps: str, levels: int) -> list[str]:
+    """CTEs that split every text again, level by level, and merge the pieces: SP(original_index, a, b), in characters.
+
+    R: regions still to be split; a level's pieces are short (they join a run) or long (regions of the next level).
+    """
+    out = [f"R1 AS (SELECT original_index, text, {seps} AS seps, 0::BIGINT AS a, length(text)::BIGINT AS b FROM S WHERE text <> '')"]
+    for n in range(1, levels + 1):
+        cut = f"CASE WHEN coalesce(seps[{n}], '') = '' THEN [substr(text, a + 1, b - a)] ELSE string_split(substr(text, a + 1, b - a), seps[{n}]) END"
+        out += [
+            f"X{n} AS (SELECT *, {cut} AS parts FROM R{n})",
+            f"U{n} AS (SELECT original_index, a, b, len(parts) AS n, unnest(parts) AS p, generate_subscripts(parts, 1) AS i, length(seps[{n}]) AS w FROM X{n} WHERE len(parts) > 1)",
+            f"K{n} AS (SELECT original_index, a, a AS c FROM U{n} UNION SELECT original_index, a, b FROM U{n} UNION SELECT original_index, a, c FROM (SELECT original_index, a, n, i,\n"
+            f"    a + sum(length(p) + w) OVER (PARTITION BY original_index, a ORDER BY i) - w AS c FROM U{n}) WHERE i < n)",
+            f"P{n} AS (SELECT * FROM (SELECT original_index, a AS region, c AS x, lead(c) OVER (PARTITION BY original_index, a ORDER BY c) AS y FROM K{n}) WHERE y IS NOT NULL)",
+            f"G{n} AS (SELECT *, count(*) FILTER (y - x >= 512) OVER (PARTITION BY original_index, region ORDER BY x) AS run FROM P{n})",
+            f"Z{n} AS (SELECT original_index, list_prepend(min(x), list(y ORDER BY y))::BIGINT[] AS cuts FROM G{n} WHERE y - x < 512 GROUP BY original_index, region, run)",
+            f"R{n + 1} AS (SELECT original_index, text, seps, a, b FROM X{n} WHERE len(parts) = 1 UNION ALL\n"
+            f"  SELECT original_index, text, seps, x::BIGINT, y::BIGINT FROM P{n} JOIN (SELECT original_index, text, seps FROM R1) USING (original_index) WHERE y - x >= 512)",
+        ]
+    runs = " UNION ALL ".join(f"SELECT * FROM Z{n}" for n in range(1, levels + 1))
+    reach = "least(len(list_filter(cuts, lambda x: x <= cuts[{f}] + 512)), len(cuts))"
+    out += [
+        f"ZZ AS ({runs})",
+        f"""MG AS (SELECT original_index, cuts, 1::BIGINT AS f, {reach.format(f=1)}::BIGINT AS l FROM ZZ
+  UNION ALL SELECT original_index, cuts, g, {reach.format(f='g')}::BIGINT FROM (SELECT original_index, cuts, greatest(f, least(l,
+    1 + len(list_filter(cuts, lambda x: x < greatest(cuts[l] - 50, cuts[l + 1] - 512)))))::BIGINT AS g FROM MG WHERE l < len(cuts)))""",
+        f"""SP AS (SELECT original_index, cuts[f] AS a, cuts[l] AS b FROM MG UNION ALL SELECT original_index, a + 462 * k, least(a + 462 * k + 512, b)
+  FROM (SELECT *, unnest(range(0, greatest(1, ceil((b - a - 50) / 462.0))::BIGINT)) AS k FROM R{levels + 1}))""",
+    ]
+    return out
+
+
+def replayed(seps: str, levels: int) -> str:
+    """Every chunk of every text, by number, length and hash."""
+    return "WITH RECURSIVE " + sql(
+        S, *replay(seps, levels), f"CH AS (SELECT original_index, a, {strip('substr(text, a + 1, b - a)')} AS chunk FROM SP JOIN S USING (original_index))",
+        select="""SELECT original_index, row_number() OVER (PARTITION BY original_index ORDER BY a) - 1 AS chunk_no, length(chunk) AS n_chars,
+  sha256(chunk) AS code_hash FROM CH WHERE chunk <> ''""",
+    ).removeprefix("WITH ")
+
+
+_GENERAL = "[" + ", ".join(f"replace({q(s.replace(chr(10), '~'))}, '~', chr(10))" for s in C.SEPARATORS) + "]"
+_BY_LANG = "list_concat(CASE " + " ".join(
+    f"WHEN lang = {q(name)} THEN [" + ", ".join(f"replace({q(s.replace(chr(10), '~'))}, '~', chr(10))" for s in own) + "]" for name, own in C.LANGUAGE_SEPARATORS.items()
+) + f" ELSE [] END, {_GENERAL})"
+
 PREFIX = """'# Language: ' || coalesce(lang, 'None') || chr(10) || '# Repo: ' || coalesce(repo_name, 'None') || chr(10)
   || '# Stars: ' || coalesce(star::VARCHAR, 'None') || chr(10)"""
 
@@ -414,6 +460,8 @@ ORACLES: dict[str, str] = {
   CASE WHEN n - start <= 512 OR {_LAST_CUT.format('c0')} IS NOT NULL THEN 0 WHEN {_LAST_CUT.format('c1')} IS NOT NULL THEN 1
     WHEN {_LAST_CUT.format('c2')} IS NOT NULL THEN 2 ELSE 3 END::INT AS level FROM R""",
     ).removeprefix("WITH "),
+    "chunk_recursive_rows": replayed(_GENERAL, 3),
+    "chunk_by_lang_rows": replayed(_BY_LANG, 6),
     "enhanced_metadata": sql(
         S,
         select=f"""SELECT original_index, lang AS language, repo_name, star AS repo_popularity, dir AS file_path,
@@ -624,6 +672,20 @@ H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dis
         "X AS (SELECT q_id, original_index, rank AS prior_rank FROM H)",
         f"P AS ({scored('X')})",
         select="""SELECT q_id, original_index, round(score, 6) AS score, prior_rank, rank FROM (SELECT *,
+  row_number() OVER (PARTITION BY q_id ORDER BY score DESC, prior_rank) AS rank FROM P) WHERE rank <= 3""",
+    ),
+    "rerank_proximity": sql(
+        S, SV, BM, BQ, top("H", "Q", "V", 10),
+        f"""PR AS (SELECT q_id, original_index, h.rank AS prior_rank, list_distinct({tok('query_text')}) AS a,
+    {tok(summary('text') + " || chr(10) || text")} AS b FROM H h JOIN S USING (original_index) JOIN Q USING (q_id)),
+OC AS (SELECT q_id, original_index, w, i FROM (SELECT q_id, original_index, a, unnest(b) AS w, generate_subscripts(b, 1) AS i FROM PR) WHERE list_contains(a, w)),
+KW AS (SELECT DISTINCT q_id, original_index, w FROM OC),
+ST AS (SELECT o.q_id, o.original_index, o.i AS start, k.w FROM OC o JOIN KW k USING (q_id, original_index)),
+NX AS (SELECT s.q_id, s.original_index, s.start, s.w, o.i FROM ST s ASOF LEFT JOIN OC o ON s.q_id = o.q_id AND s.original_index = o.original_index AND s.w = o.w AND s.start <= o.i),
+WI AS (SELECT q_id, original_index, start, count(*) AS kinds, CASE WHEN count(i) = count(*) THEN max(i) - start + 1 END AS width FROM NX GROUP BY q_id, original_index, start),
+PX AS (SELECT q_id, original_index, any_value(kinds) AS kinds, min(width) AS width FROM WI GROUP BY q_id, original_index),
+P AS (SELECT q_id, original_index, prior_rank, round(coalesce(kinds / len(a) * (kinds / width), 0.0), 9) AS score FROM PR LEFT JOIN PX USING (q_id, original_index))""",
+        select="""SELECT q_id, original_index, round(score, 6) AS score, prior_rank, rank FROM (SELECT *,
   row_number() OVER (PARTITION BY q_id ORDER BY score DESC, prior_rank) AS rank FROM P) WHERE rank <= 3""",
     ),
     "two_round": two_round(False),

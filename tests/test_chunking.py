@@ -5,9 +5,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from oracle import differences, duck
 from quarryline.constants import SEPARATORS
 from quarryline.operators import chunking
 from quarryline.operators.chunking import WORDS, chunk_spans
+from quarryline.plans.catalog import QUERIES, _chunk_rows, _samples
+from quarryline.plans.oracles import ORACLES
 
 
 def cut(text, size, overlap, separators=SEPARATORS, unit="characters"):
@@ -131,3 +134,18 @@ def test_chunk_rows(spark):
         ("7_0", 512, "c"), ("7_1", 138, "c"),
     ]
     assert out.where(F.sha2("chunk", 256) != F.col("code_hash")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["chunk_recursive_rows", "chunk_by_lang_rows"])
+def test_the_replay_sees_what_a_splitter_loses(spark, folder, name):
+    chunks = QUERIES[name](spark, folder)
+    broken = {
+        "a chunk in the middle": chunks.where("NOT (chunk_no = 1 AND original_index % 10 = 3)"),
+        "the last chunk of a long text": chunks.where("chunk_no < 12"),
+        "the overlap": _chunk_rows(_samples(spark, folder), chunking.recursive_chunks("text", chunking.language_separators("lang"), overlap=0)),
+        "a little of the size": _chunk_rows(_samples(spark, folder), chunking.recursive_chunks("text", chunking.language_separators("lang"), size=500)),
+    }
+    with duck(folder) as con:
+        assert differences(chunks, con, ORACLES[name]) is None
+        for what, rows_without in broken.items():
+            assert differences(rows_without, con, ORACLES[name]) is not None, what

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from quarryline.operators import evaluate, search
+from quarryline.operators import evaluate, rerank, search
 from quarryline.operators.ranking import numbered, top_k
 
 RNG = np.random.default_rng(7)
@@ -215,3 +215,21 @@ def test_truth_pairs_and_recall(spark, part_bytes):
     got = rows(evaluate.recall(asked, hits, truth), "q_id", "n_truth", "n_found", "recall", "reciprocal_rank")
     assert got == [(1, 1, 1, 1.0, 1.0), (2, 2, 1, 0.5, 0.5), (3, 1, 0, 0.0, 0.0), (4, 0, 0, 0.0, 0.0), (5, 0, 0, 0.0, 0.0), (6, 0, 0, 0.0, 0.0), (7, 1, 0, 0.0, 0.0)]
     assert evaluate.truth_pairs(asked.limit(0), texts).count() == 0
+
+
+def test_smallest_window_against_all_windows():
+    draw = np.random.default_rng(21)
+    for _ in range(300):
+        words = [f"w{i}" for i in draw.integers(0, 8, int(draw.integers(0, 25)))]
+        wanted = {f"w{i}" for i in draw.integers(0, 12, 4)}
+        present = wanted & set(words)
+        widths = [j - i for i in range(len(words)) for j in range(i + 1, len(words) + 1) if present and present <= set(words[i:j])]
+        kinds, width = rerank._smallest_window(words, wanted)
+        assert kinds == len(present) and (not present or width == min(widths))
+
+
+def test_words_that_stand_together_score_more(spark):
+    pairs = spark.createDataFrame([(1, "red fox", "a red fox ran"), (2, "red fox", "red a b c fox"), (3, "red fox", "the Fox"), (4, "red fox", ""), (5, "", "x"), (6, None, None)],
+                                  "id int, query string, passage string")
+    scores = {r.id: r.s for r in pairs.select("id", rerank.proximity(F.col("query"), F.col("passage")).alias("s")).collect()}
+    assert scores == {1: 1.0, 2: 0.4, 3: 0.5, 4: 0.0, 5: 0.0, 6: 0.0}
