@@ -909,6 +909,15 @@ def eval_report(spark, d):
     return evaluate.eval_report(asked, hits).select("q_id", *rounded("popularity"), "diversity", "total_results")
 
 
+@query
+def eval_report_full(spark, d):
+    """The same report over results that are full wherever enough files qualify."""
+    s = _samples(spark, d)
+    asked = retrieval.with_query_vectors(tables.text_queries(spark))
+    hits = weighting.repository_aware_search(asked, retrieval.text_corpus(s), s, prefilter=True)
+    return evaluate.eval_report(asked, hits).select("q_id", *rounded("popularity"), "diversity", "total_results")
+
+
 @query
 def eval_relevance(spark, d):
     s, asked = _samples(spark, d), tables.benchmark_queries(spark, d)

@@ -752,6 +752,16 @@ X AS (SELECT q_id, collection, original_index, {DIST} AS distance FROM Q, SC WHE
         S, SV, given(C.EVALUATION_QUERIES), GQ, quality_hits("Q"),
         select="""SELECT G.q_id::BIGINT AS q_id, round(coalesce(avg(star), 0), 6) AS popularity,
   count(DISTINCT lang) + coalesce(max((original_index IS NOT NULL AND lang IS NULL)::INT), 0)::BIGINT AS diversity,
+  count(original_index) AS total_results FROM G LEFT JOIN RQ USING (q_id) GROUP BY G.q_id""",
+    ),
+    "eval_report_full": sql(
+        S, SV, given(C.EVALUATION_QUERIES), GQ,
+        f"VQ AS (SELECT V.* FROM V JOIN S USING (original_index) WHERE len_tokens >= 50 AND star >= 10 AND {COMPLEXITY} <= 8)",
+        top("H", "Q", "VQ", 20),
+        f"""RQ AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY weighted_score, original_index) AS place FROM
+  (SELECT q_id, original_index, lang, star, {WEIGHTED} AS weighted_score FROM H JOIN S USING (original_index))) WHERE place <= 10)""",
+        select="""SELECT G.q_id::BIGINT AS q_id, round(coalesce(avg(star), 0), 6) AS popularity,
+  count(DISTINCT lang) + coalesce(max((original_index IS NOT NULL AND lang IS NULL)::INT), 0)::BIGINT AS diversity,
   count(original_index) AS total_results FROM G LEFT JOIN RQ USING (q_id) GROUP BY G.q_id""",
     ),
     "eval_relevance": sql(

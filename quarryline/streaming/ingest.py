@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,9 +15,15 @@ from ..session import at_most, spread
 from ..sources.sinks import read_store
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+def _started(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether a stream has begun with this checkpoint."""
+    try:
+        spark.read.text(f"{checkpoint}/metadata")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def stream_ingest(
@@ -38,7 +45,7 @@ def stream_ingest(
     store and not held as stream state.  A new checkpoint counts from `first_batch`,
     which must lie above the batches that the store already holds.
     """
-    if not _exists(spark, checkpoint):
+    if not _started(spark, checkpoint):
         taken = read_store(spark, store).where(F.col("batch_id") >= first_batch)
         if not at_most(taken, 0):
             raise ValueError("the store has batches from first_batch on; a new checkpoint would replace them")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from quarryline.functions.vectors import guarded_text, guarded_vector
 from quarryline.operators import incremental
+from quarryline.operators.cache import answer_cache
 from quarryline.operators.chunking import fixed_windows
 from quarryline.plans.ingest import ingest, ingest_whole
 from quarryline.schemas import CODE_SAMPLES, QUERY_LOG
@@ -241,3 +242,25 @@ def test_log_keeps_good_answers_only(spark, tmp_path):
     )
     sinks.append_log(answers, path, good=F.col("final_answer") != "bad")
     assert rows(sinks.read_log(spark, path), "query") == [("q1",)]
+
+
+def test_a_text_asked_very_often_is_read_in_pieces(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        asked = spark.range(20_000, numPartitions=8).select(
+            F.col("id").alias("q_id"), F.when(F.col("id") % 20 > 0, F.lit("the same")).otherwise(F.concat(F.lit("q"), F.col("id"))).alias("query_text")
+        )
+        log = spark.createDataFrame([("1", "the same", "a", ["1"], ["1"]), ("2", "q40", "b", ["1"], ["1"])], QUERY_LOG)
+        found = answer_cache(asked, log)
+        assert found.where("cached").count() == 19_001 and found.count() == 20_000
+        found.collect()
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
