@@ -5,8 +5,9 @@ once with offsets, and the sorted spans of the assistant texts are met with the
 sorted token spans by binary search.  A token that reaches over the border of a
 text is masked for the part inside, so the mask covers exactly the texts.
 
-A long conversation is rendered in blocks of `BLOCK_TURNS` consecutive turn numbers, each
-a group of its own, so a conversation that holds many rows is spread over the tasks.
+A long conversation is rendered in blocks of `BLOCK_TURNS` consecutive turn numbers, in pieces of as many rows at
+most.  Rows are dealt out in ranges of conversation, turn, role and beginning of the text, so neither a conversation nor
+a turn number that holds very many rows fills a task.
 Turns end with a line feed and start with a bracket, where the tokenizer's pattern
 always cuts, so the blocks' tokens are those of the whole.  Only digests need the blocks of a conversation in order; they pass one task
 as a stream and are never held together.
@@ -26,12 +27,15 @@ from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_TURNS = 64
 #: Characters encoded at a time.
 BATCH_CHARS = 1 << 20
+#: Characters of a text that decide which task it goes to; whole texts would fill the sample that sets the ranges.
+RANGE_CHARS = 100
 
 MARKERS = {"user": ("[INST]", "[/INST]"), "assistant": ("[OUT]", "[/OUT]</s>"), "system": ("[SYS]", "[/SYS]")}
 #: Any other role: its name stands between the first two.
@@ -136,13 +140,14 @@ def _runs(batches, keys: list[str]) -> Iterator[tuple[bool, pa.RecordBatch]]:
             last, at = marks[at], end
 
 
-def _formatted(batches, path: str) -> Iterator[pa.RecordBatch]:
+def _formatted(batches, path: str, block_turns: int) -> Iterator[pa.RecordBatch]:
     coder = tokenizer(path)
-    held: list[tuple] = []
-    size = 0
+    held: list[tuple] = []  # conversation, block, piece, turns
+    size = own = 0
+    piece = TaskContext.get().partitionId() << 32
 
     def out() -> pa.RecordBatch:
-        rendered = [render(turns) for _, _, turns in held]
+        rendered = [render(turns) for *_, turns in held]
         coded = coder.encode_batch([text for text, _ in rendered], add_special_tokens=False)
         columns: list[list] = [[] for _ in range(6)]
         for (_, spans), code in zip(rendered, coded):
@@ -151,29 +156,37 @@ def _formatted(batches, path: str) -> Iterator[pa.RecordBatch]:
             for column, values in zip(columns, (code.ids, offsets[:, 0], offsets[:, 1], token, start, end)):
                 column.append(np.asarray(values, "<u4").tobytes())
         return pa.RecordBatch.from_arrays(
-            [pa.array([h[0] for h in held], kind), pa.array([h[1] for h in held], pa.int64()), pa.array([len(h[2]) for h in held], pa.int64()), pa.array([t for t, _ in rendered], pa.string())]
+            [pa.array([h[0] for h in held], kind)]
+            + [pa.array(values, pa.int64()) for values in ([h[1] for h in held], [h[2] for h in held], [len(h[3]) for h in held])]
+            + [pa.array([t for t, _ in rendered], pa.string())]
             + [pa.array(c, pa.binary()) for c in columns],
-            names=["conv_id", "block", "n_turns", "formatted", "ids", "starts", "ends", "loss_tokens", "loss_starts", "loss_ends"],
+            names=["conv_id", "block", "piece", "n_turns", "formatted", "ids", "starts", "ends", "loss_tokens", "loss_starts", "loss_ends"],
         )
 
     kind = None
     for new, rows in _runs(batches, ["conv_id", "block"]):
         kind = rows.schema.field("conv_id").type
-        turns = list(zip(rows.column("role").to_pylist(), rows.column("text").to_pylist()))
-        if new:
-            if size > BATCH_CHARS:
-                yield out()
-                held, size = [], 0
-            held.append((rows.column("conv_id")[0].as_py(), rows.column("block")[0].as_py(), turns))
-        else:
-            held[-1][2].extend(turns)
-        size += sum(len(r) + len(t) for r, t in turns)
+        conversation, block = (rows.column(c)[0].as_py() for c in ("conv_id", "block"))
+        for turn in zip(rows.column("role").to_pylist(), rows.column("text").to_pylist()):
+            if new or len(held[-1][3]) >= block_turns or own >= BATCH_CHARS:
+                if size > BATCH_CHARS:
+                    yield out()
+                    held, size = [], 0
+                held.append((conversation, block, piece, []))
+                piece, own, new = piece + 1, 0, False
+            held[-1][3].append(turn)
+            chars = len(turn[0]) + len(turn[1])
+            own, size = own + chars, size + chars
     if held:
         yield out()
 
 
 def format_conversations(turns: DataFrame, path: str, block_turns: int = BLOCK_TURNS) -> DataFrame:
-    """One row per block of a conversation, in the order of (conv_id, block).
+    """One row per piece of a conversation, in the order of (conv_id, block, piece).
+
+    A block is `block_turns` turn numbers, and null ones a block of their own.  A piece is `block_turns` rows of a block at most:
+    however many rows a turn number has, they are dealt out by role and the beginning of their text, and a task holds a
+    piece or so at a time.  Only rows that agree in all of these come to one task.
 
     formatted: the text; ids, starts, ends: its tokens and their characters; loss_tokens,
     loss_starts, loss_ends: the masked tokens and the characters of each that count.
@@ -181,11 +194,11 @@ def format_conversations(turns: DataFrame, path: str, block_turns: int = BLOCK_T
     """
     block = F.floor(F.col("turn") / block_turns).cast("long")
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), block.alias("block"))
-    keys = ["conv_id", "block"]
-    met = rows.repartition(*keys).sortWithinPartitions(*keys, "turn", "role", "text")
+    dealt = rows.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, RANGE_CHARS))
+    met = dealt.sortWithinPartitions("conv_id", "turn", "role", "text")
     kind = turns.schema["conv_id"].dataType.simpleString()
     binary = ", ".join(f"{c} binary" for c in ("ids", "starts", "ends", "loss_tokens", "loss_starts", "loss_ends"))
-    return met.mapInArrow(partial(_formatted, path=path), f"conv_id {kind}, block long, n_turns long, formatted string, {binary}")
+    return met.mapInArrow(partial(_formatted, path=path, block_turns=block_turns), f"conv_id {kind}, block long, piece long, n_turns long, formatted string, {binary}")
 
 
 class _Digest:
@@ -234,7 +247,7 @@ def _digests(batches) -> Iterator[pa.RecordBatch]:
 
 def digests(formatted: DataFrame) -> DataFrame:
     """Per conversation, read back from the formatted blocks: turns and masked text, counted and hashed."""
-    rows = formatted.select("conv_id", "block", "formatted", "loss_starts", "loss_ends")
-    met = rows.repartition("conv_id").sortWithinPartitions("conv_id", "block")
+    rows = formatted.select("conv_id", "block", "piece", "formatted", "loss_starts", "loss_ends")
+    met = rows.repartition("conv_id").sortWithinPartitions("conv_id", "block", "piece")
     kind = formatted.schema["conv_id"].dataType.simpleString()
     return met.mapInArrow(_digests, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -64,3 +64,17 @@ def test_blocks_have_the_tokens_of_the_whole(spark, path):
     whole = chat.format_conversations(df, path, block_turns=1000).first()
     assert len(blocks) == 10 and b"".join(b.ids for b in blocks) == whole.ids
     assert "".join(b.formatted for b in blocks) == whole.formatted
+
+
+def test_one_turn_number_in_very_many_rows(spark, path):
+    n = 30_000
+    rows = spark.range(n, numPartitions=8).selectExpr(
+        "1 AS conv_id", "CASE WHEN id % 3 = 0 THEN 7 END AS turn", "CASE WHEN id % 2 = 0 THEN 'assistant' ELSE 'user' END AS role",
+        "CASE WHEN id % 5 > 0 THEN concat('text ', id) END AS text", "9 AS block", "8 AS piece", "'x' AS formatted",
+    )
+    made = chat.format_conversations(rows, path)
+    sizes = [r.n_turns for r in made.select("n_turns").collect()]
+    assert sum(sizes) == n and max(sizes) <= chat.BLOCK_TURNS and made.columns[:4] == ["conv_id", "block", "piece", "n_turns"]
+    turns = sorted(((r.turn is not None, r.role, r.text or "") for r in rows.collect()))
+    got = tuple(chat.digests(made).first())
+    assert got[:5] == (1, *digest([t[1:] for t in turns]))
