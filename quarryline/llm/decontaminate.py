@@ -7,9 +7,8 @@ backwards at once, their occurrences located from sampled positions and merged
 into removal spans.  There is no shuffle: each document is read once.
 
 The benchmark goes to the tasks in parts of about `PART_BYTES` of text, one pass over
-the row's running result for each part.  A part is never less than an item, and the
-driver holds the windows of all parts until the job ends, so the whole benchmark has to
-fit into the driver's memory.
+the running result for each part, which is written in between, so that the driver and the
+tasks hold the windows of one part at a time.  A part is never less than an item.
 
 Defined results: null and empty texts have no words and no hits; items without
 words have no window; an item id that repeats counts once; a null item id is the
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import written
 from . import arrays
 from .fmindex import FMIndex
 
@@ -184,6 +184,8 @@ def find_contamination(
         own = items.where(F.pmod(F.xxhash64("item", "body"), F.lit(parts)) == part).collect()
         search = partial(_search, text_at=text_at, windows=Windows([tuple(r) for r in own], window), shard_bytes=SHARD_BYTES)
         rows = rows.mapInArrow(search, schema)
+        if part + 1 < parts:  # so the driver and the tasks hold the windows of one part at a time
+            rows = written(rows, "found")
     return rows
 
 
