@@ -39,6 +39,8 @@ HASHES, BATCH = 144, 24
 BAND_MISS = 2e-5
 #: Members of a bucket or family that one task compares with each other.
 TILE = 2048
+#: Bytes of the sets of a family's tile; two tiles meet at a time.
+TILE_BYTES = 64 << 20
 
 _SIGNED = "doc_id long, n_shingles long, set_hi long, set_lo long, signature binary, bands array<long>"
 
@@ -261,15 +263,15 @@ def _sets(batches, k: int) -> Iterator[pa.RecordBatch]:
 
 
 def _tiled(rows: DataFrame, tile: int) -> DataFrame:
-    """Rows (key, size, node, ...) once for each pair of tiles they take part in; one pair up to `tile` members."""
-    parts = F.ceil(F.col("size") / tile).cast("int")
+    """Rows (key, size, bytes, node, ...) once for each pair of tiles they take part in; one pair up to `tile` members and `TILE_BYTES`."""
+    parts = F.greatest(F.ceil(F.col("size") / tile), F.ceil(F.col("bytes") / TILE_BYTES)).cast("int")
     part = F.pmod(F.xxhash64("node"), parts).cast("int")
     return (
         rows.withColumn("part", part)
         .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
         .withColumn("first", F.least("part", "other"))
         .withColumn("second", F.greatest("part", "other"))
-        .drop("other", "size")
+        .drop("other", "size", "bytes")
     )
 
 
@@ -290,19 +292,19 @@ def near_duplicates(
     signed = written(plain.mapInArrow(partial(_sign, k=k, bands=bands, rows=rows), _SIGNED), "signed")
     known = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = known.groupBy("set_hi", "set_lo").agg(F.min("doc_id").alias("node"))
-    heads = known.join(classes, ["set_hi", "set_lo"]).where("doc_id = node").select("node", "signature", "bands").dropDuplicates(["node", "signature"])
+    heads = known.join(classes, ["set_hi", "set_lo"]).where("doc_id = node").select("node", "n_shingles", "signature", "bands").dropDuplicates(["node", "signature"])
     heads = written(heads, "heads")
 
     spots = heads.select("node", F.explode("bands").alias("key"))
     shared = spots.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    spots = spots.join(shared, "key").select("key", "size", "node")
+    spots = spots.join(shared, "key").select("key", "size", F.lit(0).alias("bytes"), "node")  # signatures are all of one size
     marked = spots.join(heads.select("node", "signature"), "node")
     pairs = written(
         _met(_tiled(marked, tile)).mapInArrow(partial(_bucket_pairs, threshold=percent / 100, miss=miss), "a long, b long").distinct(), "candidates"
     )
 
     family = written(graph.components(pairs).select("node", F.col("component").alias("key")), "families")
-    sizes = family.groupBy("key").agg(F.count("*").alias("size"))
+    sizes = family.join(heads.select("node", "n_shingles"), "node").groupBy("key").agg(F.count("*").alias("size"), F.sum(8 * F.col("n_shingles")).alias("bytes"))
     wanted = family.select(F.col("node").alias("doc_id"), "key")
     if at_most(wanted, BROADCAST_ROWS):  # two numbers a row
         wanted = F.broadcast(wanted)

@@ -137,3 +137,22 @@ def test_components(spark):
     found = {r.node: r.component for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 7} | {i: 100 for i in range(100, 161)} | {i: 1000 for i in range(1000, 1100)}
     assert found == want
+
+
+def test_families_of_long_texts_meet_in_small_tiles(spark, monkeypatch):
+    """Tiles are bounded by the bytes of their sets, not by members alone."""
+    monkeypatch.setattr(minhash, "TILE_BYTES", 40_000)
+    made, plain = [], minhash._tiled
+
+    def watched(rows, tile):
+        out = plain(rows, tile)
+        made.append(out)
+        return out
+
+    monkeypatch.setattr(minhash, "_tiled", watched)
+    words = [f"w{i}" for i in range(3000)]
+    docs = [(i, " ".join([*words[:1500], f"x{i}", *words[1500:]])) for i in range(12)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.component_id for r in minhash.near_duplicates(df).collect()} == {0}
+    held = made[-1].groupBy("key", "first", "second").agg(minhash.F.sum(minhash.F.octet_length("shingles")).alias("bytes")).collect()
+    assert len(held) > 3 and max(r.bytes for r in held) < 12 * 8 * 3000 / 2
