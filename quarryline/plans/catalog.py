@@ -671,6 +671,33 @@ def code_docs_whole(spark, d):
     return _stored(sinks.read_store(spark, path)).drop("chunk_id", "code_hash")
 
 
+def _in_role(spark, d):
+    """The benchmark passages with the vector of their query role."""
+    return tables.benchmark_queries(spark, d).withColumn("query_vec", vec_fn.embed_text(text_fn.as_query("query_text")))
+
+
+@query
+def whole_search(spark, d):
+    """The three stored documents whose summaries are nearest to each query; failed summaries are not searched."""
+    path = fresh_path(spark, "code-docs")
+    ingest_whole(_samples(spark, d), path, 0)
+    store = sinks.read_store(spark, path).where("summary_ok")
+    hits = written(search.nearest(_in_role(spark, d), store, 3, vector="embedding"), "hits")
+    found = weighting.attach(hits, store.select("original_index", "repo", "stars", text_fn.content_hash("summary").alias("summary_hash")))
+    return found.select("q_id", "original_index", "repo", "stars", "summary_hash", *rounded("distance"), "rank")
+
+
+@query
+def collection_search(spark, d):
+    """The five entries of a stored collection that are nearest to each query, with their metadata."""
+    path = fresh_path(spark, "collections")
+    sinks.extend_collection(_entries(_samples(spark, d)), path, "code_search", ["original_index", "chunk_no"])
+    entries = sinks.read_collections(spark, path, ["code_search"])
+    hits = written(search.nearest(_in_role(spark, d), entries, 5, row_id="id", vector="embedding"), "hits")
+    found = weighting.attach(hits, entries.select("id", "metadata.chunk_id", "metadata.repo"), "id")
+    return found.select("q_id", "id", "chunk_id", "repo", *rounded("distance"), "rank")
+
+
 def _entries(samples):
     """Chunks with summary, prefix and vector, as a collection takes them."""
     rows = chunking.chunk_rows(samples, chunking.fixed_windows("text"))

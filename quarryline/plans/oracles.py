@@ -656,6 +656,24 @@ H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY dis
         )
         for key, order in (("collection_add", ""), ("collection_grow", "original_index NOT IN (SELECT doc_id FROM K), "))
     },
+    "whole_search": sql(
+        S, f"F AS (SELECT *, 'passage: ' || {lead('text')} AS passage FROM S WHERE {lead('text')} IS NOT NULL)",
+        vectors("FV", "F", "original_index", "passage"), "BM AS (SELECT item_id AS q_id, 'query: ' || text AS query_text FROM benchmark)", BQ,
+        """H_all AS (SELECT q_id, original_index, round(list_distance(query_vec, vec::FLOAT[]::DOUBLE[]), 9) AS distance FROM Q, FV),
+H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY distance, original_index) AS rank FROM H_all) WHERE rank <= 3)""",
+        select=f"""SELECT q_id, original_index, repo_name AS repo, star AS stars, sha256({lead('text')}) AS summary_hash,
+  round(distance, 6) AS distance, rank FROM H JOIN S USING (original_index)""",
+    ),
+    "collection_search": sql(
+        S, windows("S"),
+        f"""F AS (SELECT *, 'chunk_' || (row_number() OVER (ORDER BY original_index, chunk_no) - 1) AS id,
+    'passage: ' || {PREFIX} || {summary('chunk')} AS passage FROM W)""",
+        vectors("FV", "F", "id", "passage"), "BM AS (SELECT item_id AS q_id, 'query: ' || text AS query_text FROM benchmark)", BQ,
+        """H_all AS (SELECT q_id, id, round(list_distance(query_vec, vec::FLOAT[]::DOUBLE[]), 9) AS distance FROM Q, FV),
+H AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY distance, id) AS rank FROM H_all) WHERE rank <= 5)""",
+        select="""SELECT q_id, id, original_index || '_' || chunk_no AS chunk_id, repo_name AS repo, round(distance, 6) AS distance, rank
+  FROM H JOIN F USING (id)""",
+    ),
     "vector_sink": sql(
         S, "SF AS (SELECT * FROM S WHERE lang <> '' AND len_tokens < 1000)",
         vectors("V", "SF", "original_index", "text"),
