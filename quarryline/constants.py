@@ -61,56 +61,16 @@ SUMMARY_FALLBACK = "Summary unavailable due to LLM error."
 UPLOAD_FAILED = "Upload failed"
 
 PROMPTS = {
-    "summaries": (
-        "\nYou are a skilled developer.\n\n"
-        "You have access to the following code summaries and internal DB IDs:\n\n"
-        "{context}\n\n"
-        "Using this information, answer this question:\n{query}\n"
-    ),
-    "documents": (
-        "\nYou are a skilled developer.\n\n"
-        "You have access to the following code summaries, code documents, and internal DB IDs:\n\n"
-        "{context}\n\n"
-        "Using this information, answer this question:\n{query}\n"
-    ),
-    "links": (
-        "\nYou are a skilled developer.\n\n"
-        "You have access to the following code summaries and storage locations (S3 URLs):\n\n"
-        "{context}\n\n"
-        "Using this information, answer this question:\n{query}\n"
-    ),
-    "chunks": (
-        "\nYou are a software engineer helping another developer.\n\n"
-        "Here are 5 retrieved code snippets and their summaries:\n\n"
-        "{context}\n\n"
-        "Using the above, answer this question:\n{query}\n"
-    ),
-    "reranked": (
-        "\nYou are a skilled developer.\n\n"
-        "You have access to the following code snippets and summaries retrieved from an internal database.\n"
-        "The snippets are listed in order of estimated relevance to the user’s question (most relevant first).\n\n"
-        "Each block contains the code and a brief summary.\n\n"
-        "{context}\n\n"
-        "Using this information, answer the following question:\n{query}\n"
-    ),
+    "summaries": "Summaries of stored source files, each with its id:\n\n{context}\n\nAnswer from these: {query}\n",
+    "documents": "Stored source files with summary, text and id:\n\n{context}\n\nAnswer from these: {query}\n",
+    "links": "Summaries of stored source files, each with the address of its text:\n\n{context}\n\nAnswer from these: {query}\n",
+    "chunks": "Pieces of source files that were found, each with its summary:\n\n{context}\n\nAnswer from these: {query}\n",
+    "reranked": "Source files that were found, best first, each with its text and summary:\n\n{context}\n\nAnswer from these: {query}\n",
     "follow_up": (
-        '\nYou are a helpful assistant evaluating retrieved documents.\n\n'
-        'The user originally asked:\n"{query}"\n\n'
-        "You were given the following top-ranked documents:\n\n"
-        "{context}\n\n"
-        "Does this set of documents fully answer the user's question?\n\n"
-        "If not, suggest a more specific follow-up query that could help retrieve a better answer.\n\n"
-        "Respond with:\n"
-        '- "No follow-up needed" if the documents fully answer the question\n'
-        "- A short follow-up query if more information is needed\n"
-    ),
-    "generation": (
-        "\nYou are an expert programming assistant. \n\n"
-        "Query: {query}\n"
-        "Context: {context}\n"
-        "Examples: {examples}\n\n"
-        "Provide working code with explanations and best practices.\n"
+        "Asked: {query}\n\nFound so far, best first:\n\n{context}\n\n"
+        'If this is enough for an answer, reply "No follow-up needed"; if not, reply with one short query for what is lacking.\n'
     ),
+    "generation": "Task: {query}\nFound: {context}\nExamples: {examples}\n\nWrite code that runs, and explain it in a few words.\n",
 }
 
 # --- evaluation inputs ------------------------------------------------------

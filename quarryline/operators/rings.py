@@ -92,8 +92,9 @@ def store(
     placed = written(rows.mapInArrow(place, f"{row_id} {kind}, vec array<double>, gap double, place int"), "placed")
     placed.repartitionByRange("place", "gap", row_id).write.partitionBy("place").parquet(f"{path}/rows")
     bounds = placed.groupBy("place").agg(F.count(F.lit(1)).alias("n"), F.min("gap").alias("low"), F.max("gap").alias("high"))
-    centre = F.get(F.lit(centres.tolist()), F.floor(F.col("place") / rings).cast("int"))
-    bounds.withColumn("centre", centre).coalesce(1).write.parquet(f"{path}/rings")  # cells * rings rows at most
+    of_cell = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "cell bigint, centre array<double>")
+    bounds = bounds.withColumn("cell", F.floor(F.col("place") / rings)).join(F.broadcast(of_cell), "cell").drop("cell")
+    bounds.coalesce(1).write.parquet(f"{path}/rings")  # cells * rings rows at most
 
 
 # --- search -----------------------------------------------------------------------------
