@@ -158,3 +158,51 @@ def test_language_of_odd_rows(odd_docs, no_docs):
     assert langid.fit([]) is None and langid.label_block(signs, None)[0] == ["und", "und"]
     with pytest.raises(ValueError):
         langid.label(odd_docs, None, "missing")
+
+
+@pytest.mark.parametrize("shift, negative", [(0.0, False), (-6.0, True)])
+def test_risk_and_slope_against_differences(monkeypatch, shift, negative):
+    """The slope that training follows is that of the non-negative risk; where its second part is negative, of minus that part."""
+    caught = []
+
+    class Watched(quality.Network):
+        def step(self, x, slope, **rates):
+            caught.append((len(x), slope))
+
+    monkeypatch.setattr(quality, "Network", Watched)
+    draw, prior = np.random.default_rng(9), 0.4
+    quality.fit(draw.normal(size=(50, 3)), draw.normal(size=(60, 3)), prior, steps=1)
+    n, slope = caught[0]
+    z = draw.normal(size=n)
+    z[n // 2 :] += shift
+
+    def parts(z):
+        p, u = z[: n // 2].tolist(), z[n // 2 :].tolist()
+        trusted = prior * sum(np.log1p(np.exp(-a)) for a in p) / len(p)
+        rest = sum(np.log1p(np.exp(a)) for a in u) / len(u) - prior * sum(np.log1p(np.exp(a)) for a in p) / len(p)
+        return trusted, rest
+
+    assert (parts(z)[1] < 0) == negative
+    loss = (lambda z: -parts(z)[1]) if negative else (lambda z: sum(parts(z)))
+    got = slope(z)
+    for i in [0, 1, n // 2 - 1, n // 2, n - 1]:
+        step = np.zeros(n)
+        step[i] = 1e-4
+        assert got[i] == pytest.approx((loss(z + step) - loss(z - step)) / 2e-4, rel=1e-4, abs=1e-10)
+
+
+def test_evidence_of_a_text_against_single_words():
+    """A text's evidence is that of its two strongest distinct words, each judged by its own n-grams."""
+    draw = np.random.default_rng(10)
+    bucket, known = draw.normal(size=toxicity.BUCKETS), np.ones(toxicity.BUCKETS)
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+
+    def alone(word):
+        return toxicity._evidence(pa.array([word]), bucket, known, 0.25)[0, 1]
+
+    strength = sorted((alone(w) for w in words), reverse=True)
+    rows = toxicity._evidence(pa.array([" ".join(words + words[:2]), "alpha", "", None, "beta beta"]), bucket, known, 0.25)
+    assert rows[0] == pytest.approx([1, strength[0], strength[1], np.log1p(8)], rel=1e-6) or rows[0][:3] == pytest.approx([1, *strength[:2]], rel=1e-6)
+    assert rows[1][1] == pytest.approx(alone("alpha")) and rows[1][2] == toxicity.FLOOR
+    assert rows[2][1:3].tolist() == rows[3][1:3].tolist() == [toxicity.FLOOR] * 2
+    assert rows[4][1] == pytest.approx(alone("beta")) and rows[4][2] == toxicity.FLOOR
