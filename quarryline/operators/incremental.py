@@ -57,18 +57,22 @@ def skip_known_docs(samples: DataFrame, store: DataFrame | KnownKeys, skip_by: s
     return offered.join(known, key, "left_anti").select(samples.columns)
 
 
-def first_rows(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+def first_rows(rows: DataFrame, key: str, order: list[str], few: int = BROADCAST_ROWS) -> DataFrame:
     """One whole row per key: the first in the given order.
 
     The rows are written with a number each.  Only keys, order and numbers are grouped;
-    the winners' numbers then pick the rows, so no wide column is sorted, and none is
-    shuffled while the numbers are few enough to broadcast.
+    the winners' numbers then pick the rows, or the losers' leave them out, whichever are few enough to
+    broadcast, so no wide column is sorted, and none is shuffled unless both are very many.
     """
     held = written(rows.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    first = F.min_by("_row", F.struct(*order, "_row")).alias("_row")
-    winners = written(held.groupBy(key).agg(first).select("_row"), "winners")
-    winners = F.broadcast(winners) if at_most(winners, BROADCAST_ROWS) else winners.hint("shuffle_hash")
-    return held.join(winners, "_row", "left_semi").select(rows.columns)
+    first = F.min_by("_row", F.struct(*order, "_row")) if order else F.min("_row")
+    winners = written(held.groupBy(key).agg(first.alias("_row")).select("_row"), "winners")
+    if at_most(winners, few):
+        return held.join(F.broadcast(winners), "_row", "left_semi").select(rows.columns)
+    losers = written(held.select("_row").join(winners, "_row", "left_anti"), "losers")
+    if at_most(losers, few):
+        return held.join(F.broadcast(losers), "_row", "left_anti").select(rows.columns)
+    return held.join(winners.hint("shuffle_hash"), "_row", "left_semi").select(rows.columns)
 
 
 def first_of_equal(chunks: DataFrame) -> DataFrame:

@@ -226,6 +226,18 @@ def test_no_text_is_sorted_to_reduce_chunks(spark):
     assert "Aggregate" not in plan and "Sort" not in plan
 
 
+@pytest.mark.parametrize("few, hash_joins", [(1000, "BroadcastHashJoin"), (20, "BroadcastHashJoin"), (1, "ShuffledHashJoin")])
+def test_first_rows_by_winners_or_losers(spark, few, hash_joins):
+    made = [(i % 90, i // 90, f"text {i}") for i in range(100)]  # 90 keys, 10 rows too many
+    df = spark.createDataFrame(made, "key long, place long, text string").repartition(4)
+    for order in (["place"], []):
+        found = incremental.first_rows(df, "key", order, few)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert hash_joins in plan and found.count() == 90 and found.select("key").distinct().count() == 90
+        if order:
+            assert {r.place for r in found.collect()} == {0}
+
+
 def test_log_twice_gives_the_same_rows(spark, tmp_path):
     path = str(tmp_path / "log")
     answers = spark.createDataFrame([("", f"q{i % 3}", f"a{i % 3}", ["1"], ["1"]) for i in range(9)], QUERY_LOG)
