@@ -17,8 +17,9 @@ An n-gram is not sent if the order below tells its count: words or n-grams that
 has make it one that only this block has, and a part that training texts lack makes it unseen.
 With `counted` its context is still asked for, with the number of successors only this block has.
 Nothing goes through the driver but N and V.  The number of shards follows the corpus, so a
-shard's arrays stay the same size.  Words are 64-bit hashes; within a shard contexts are 48-bit
-and successors 32-bit fingerprints.
+shard's arrays stay the same size.  Words are 64-bit hashes, and those that are sent in n-grams
+have numbers, small for frequent ones, which the word shards deal out; a context's successors go
+as differences of their numbers.  Within a shard contexts are 48-bit fingerprints.
 
 Defined results: a null text counts as empty and has one token, the end; a row with
 null id is scored like any other; without training texts every token is unknown.
@@ -77,6 +78,25 @@ def backoff(count: np.ndarray) -> np.ndarray:
     return np.minimum(1.0, (HELD + SPREAD * np.power(count, HEAPS)) / (count + HELD))
 
 
+def counted_weight(count: np.ndarray, distinct: np.ndarray) -> np.ndarray:
+    """That of Witten and Bell; 1 after a context that is unseen or, if it shares its fingerprint, without a successor of its own."""
+    return np.where((count > 0) & (distinct > 0), distinct / np.maximum(count + distinct, 1), 1.0)
+
+
+def steps(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Differences within each ascending run of the given sizes, a run's first value as it is."""
+    out = np.diff(values, prepend=0)
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    out[first] = values[first]
+    return out
+
+
+def from_steps(out: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    total = np.cumsum(out.astype(np.int64))
+    first = (np.cumsum(sizes, dtype=np.int64) - sizes)[sizes > 0]
+    return total - np.repeat(total[first] - out[first], sizes[sizes > 0])
+
+
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return (arrays.mix(keys ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(shards)).astype(np.int64)
 
@@ -160,13 +180,18 @@ def _by_shard(batches) -> Iterator[tuple[int, list[tuple]]]:
         yield shard, held
 
 
-def _sum_words(batches) -> Iterator[pa.RecordBatch]:
-    """Answers (shard, block, distinct, total, payload): the sums of each block's words, in the order they came in, and whether no other block has them."""
+def _sum_words(batches, shards: int) -> Iterator[pa.RecordBatch]:
+    """Answers (shard, block, distinct, total, payload): the sums of each block's words, in the order they came in, whether no other block has them, and else their numbers."""
     for shard, rows in _by_shard(batches):
         sent = [unpack(payload, "<u8", "<u4") for _, _, payload in rows]
         every, index = np.unique(np.concatenate([w for w, _ in sent]), return_inverse=True)
         total = np.bincount(index, weights=np.concatenate([c for _, c in sent]), minlength=len(every)).astype(np.int64)
         sole = np.bincount(index, minlength=len(every)) == 1
+        # Numbers of all shards are distinct; a word that is not sent has none.
+        order = np.argsort(np.where(sole, 0, -total), kind="stable")
+        number = np.empty(len(every), np.int64)
+        number[order] = np.arange(len(every)) * shards + shard
+        number[sole | (total == 0)] = 0
         at = np.cumsum([0, *(len(w) for w, _ in sent)])
         first = [True] + [False] * (len(rows) - 1)
         yield pa.RecordBatch.from_arrays(
@@ -175,7 +200,7 @@ def _sum_words(batches) -> Iterator[pa.RecordBatch]:
                 pa.array([r[1] for r in rows], pa.int64()),
                 pa.array([int((total > 0).sum()) if f else 0 for f in first], pa.int64()),
                 pa.array([int(total.sum()) if f else 0 for f in first], pa.int64()),
-                pa.array([pack(total[index[a:b]].astype("<u8"), sole[index[a:b]]) for a, b in zip(at, at[1:])], pa.binary()),
+                pa.array([pack(total[index[a:b]].astype("<u8"), sole[index[a:b]], number[index[a:b]].astype("<u4")) for a, b in zip(at, at[1:])], pa.binary()),
             ],
             names=["shard", "block", "distinct", "total", "payload"],
         )
@@ -189,18 +214,20 @@ class Block:
         self.words, self.sizes = words, sizes.astype(np.int64)
         lengths = self.sizes + 1  # with the begin
         self.bounds = np.concatenate([[0], np.cumsum(lengths)])
-        self.place = np.arange(self.bounds[-1]) - np.repeat(self.bounds[:-1], lengths)
-        self.stream = np.full(len(self.place), len(words), np.int64)
+        self.place = (np.arange(self.bounds[-1]) - np.repeat(self.bounds[:-1], lengths)).astype(np.int32)
+        self.stream = np.full(len(self.place), len(words), np.int32)
         self.stream[self.place > 0] = index
         self.training = ~np.repeat(held, lengths)
         self.order, self.gram, self.keys = 1, self.stream, np.append(words, BEGIN)
 
     def words_known(self, answers: list[bytes], word_shards: int, total: int, distinct: int, begins: int) -> None:
         order = np.argsort(shard_of(self.words, word_shards), kind="stable")
-        parts = [unpack(p, "<u8", "?") for p in answers]
+        parts = [unpack(p, "<u8", "?", "<u4") for p in answers]
+        self.number = np.zeros(len(self.words), np.int64)
+        self.number[order] = np.concatenate([n for _, _, n in parts])
         self.count, self.sole = np.zeros(len(self.words) + 1, np.int64), np.zeros(len(self.words) + 1, bool)
-        self.count[order] = np.concatenate([c for c, _ in parts]).astype(np.int64)
-        self.sole[order] = np.concatenate([s for _, s in parts])
+        self.count[order] = np.concatenate([c for c, _, _ in parts]).astype(np.int64)
+        self.sole[order] = np.concatenate([s for _, s, _ in parts])
         self.count[-1] = begins
         self.p = (self.count + 1) / (total + distinct + 1)
         self.log_p = np.log10(self.p)[self.stream]
@@ -215,7 +242,8 @@ class Block:
         self.order += 1
         self.ends = np.flatnonzero(self.place >= self.order - 1)
         before = self.gram[self.ends - 1]
-        _, first, self.index = np.unique(before * (len(self.words) + 1) + self.stream[self.ends], return_index=True, return_inverse=True)
+        _, first, self.index = np.unique(before.astype(np.int64) * (len(self.words) + 1) + self.stream[self.ends], return_index=True, return_inverse=True)
+        self.index = self.index.astype(np.int32)
         self.prefix, self.suffix, self.last = before[first], self.gram[self.ends[first]], self.stream[self.ends[first]]
         self.local = np.bincount(self.index[self.training[self.ends]], minlength=len(first))
         open_ = (self.count > 0) & ~self.sole
@@ -239,10 +267,11 @@ class Block:
         order = np.lexsort((keys, of))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        self.sent = self.sent[by := np.argsort(place[request], kind="stable")]
+        numbers = self.number[self.last[self.sent]]
+        self.sent = self.sent[by := np.argsort(place[request] << 32 | numbers)]
         each = np.bincount(place[request], minlength=len(order))
         bounds = np.concatenate([[0], np.cumsum(each)])
-        words = (arrays.mix(words[by] ^ np.uint64(0xABCDEF)) >> np.uint64(32)).astype("<u4")
+        words = steps(numbers[by], each).astype("<u4")
         local, keys = self.local[self.sent].astype("<u4"), keys[order]
         self.asked = contexts[context[order]]
         alone = np.where(part == 0, self.successors[contexts[context]], 0)[order].astype("<u4")
@@ -267,15 +296,16 @@ class Block:
                 self.successors[self.asked] = 0
                 self.successors += np.bincount(self.asked, weights=np.concatenate([t for _, t in parts]), minlength=len(self.count)).astype(np.int64)
             distinct = self.successors[self.prefix]
-            weight = np.where(context > 0, distinct / np.maximum(context + distinct, 1), 1.0)
+            weight = counted_weight(context, distinct)
         else:
             weight = backoff(context)
         self.p = (1 - weight) * count / np.maximum(context, 1) + weight * self.p[self.suffix]
         self.log_p[self.ends] = np.log10(self.p)[self.index]
         self.keys = arrays.mix(self.keys[self.prefix] * _STEP ^ self.words[self.last])
-        self.gram = np.full(len(self.stream), -1, np.int64)
+        self.gram = np.full(len(self.stream), -1, np.int32)
         self.gram[self.ends] = self.index
         self.count, self.sole = count, sole
+        del self.ends, self.index, self.prefix, self.suffix, self.last, self.local, self.sent, self.successors, self.asked
 
 
 def _read(rows: list[tuple], order: int, word_shards: int, shards: int, total: int, distinct: int, begins: int, counted: bool) -> tuple[Block, np.ndarray, list]:
@@ -310,7 +340,8 @@ def _count_shards(batches) -> Iterator[pa.RecordBatch]:
         rank = np.repeat(asked, np.concatenate([s[1] for s in sent]))
         distinct = np.bincount(asked, weights=np.concatenate([s[4] for s in sent]), minlength=len(keys)).astype(np.int64)
         of = np.cumsum([0, *(len(s[0]) for s in sent)])
-        word, uses = (np.concatenate([s[i] for s in sent]) for i in (2, 3))
+        word = np.concatenate([from_steps(s[2], s[1]) for s in sent]).astype(np.uint64)
+        uses = np.concatenate([s[3] for s in sent])
         at = np.cumsum([0, *(len(s[2]) for s in sent)])
         del sent
         key = (rank.astype(np.uint64) << np.uint64(32)) | word
@@ -367,7 +398,7 @@ def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text
     word_shards = max(8, -(-words // SHARD_TOKENS))
     sent = blocks.select("block", "words", "training").mapInArrow(partial(_send_words, shards=word_shards), "shard long, block long, payload binary")
     met = sent.repartition(word_shards, "shard").sortWithinPartitions("shard", "block")
-    answers = written(met.mapInArrow(_sum_words, "shard long, block long, distinct long, total long, payload binary"), "word-counts")
+    answers = written(met.mapInArrow(partial(_sum_words, shards=word_shards), "shard long, block long, distinct long, total long, payload binary"), "word-counts")
     distinct, total = answers.agg(F.sum("distinct"), F.sum("total")).first()
     begins = plain.where(~F.col("held_out")).count()
 

@@ -130,3 +130,57 @@ def test_counted_successors_of_split_contexts(spark, folder, odd_docs, monkeypat
     found = ngram_lm.score_corpus(docs.repartition(5), training.held_out(7, 2), order=order, counted=True)
     for got, want in zip(sorted(((r.doc_id, r.score) for r in found.collect()), key=repr), brute_counted(rows, order), strict=True):
         assert got[0] == want[0] and got[1] == pytest.approx(want[1], rel=1e-9)
+
+
+def test_steps():
+    import numpy as np
+
+    sizes, values = np.array([0, 3, 0, 1, 2], "<u4"), np.array([4, 4, 9, 7, 0, 2**32 - 1])
+    sent = ngram_lm.steps(values, sizes).astype("<u4")
+    assert sent.tolist() == [4, 0, 5, 7, 0, 2**32 - 1] and ngram_lm.from_steps(sent, sizes).tolist() == values.tolist()
+    none = np.zeros(0, "<u4")
+    assert ngram_lm.from_steps(ngram_lm.steps(none.astype(np.int64), none).astype("<u4"), none).tolist() == []
+
+
+def test_words_whose_hashes_share_bits():
+    """An unseen pair of words is told from a seen one, and a context without successors leaves no probability of 0."""
+    import numpy as np
+    import pyarrow as pa
+
+    words = np.random.default_rng(1).integers(0, 2**63, 400_000).astype(np.uint64)
+    part = ngram_lm.arrays.mix(words ^ np.uint64(0xABCDEF)) >> np.uint64(32)
+    order = np.argsort(part)
+    same = int(np.flatnonzero(part[order][1:] == part[order][:-1])[0])
+    a, b = words[order[same]], words[order[same + 1]]
+    words = np.array([ngram_lm.END, 5, a, b, 6], np.uint64)
+    # h a x, x b | held out: h b x, where h b is unseen
+    sizes, index, held = np.array([4, 3, 4]), np.array([1, 2, 4, 0, 4, 3, 0, 1, 3, 4, 0]), np.array([False, False, True])
+    training = np.bincount(index[:7], minlength=5)
+
+    def rows(payloads):
+        return pa.RecordBatch.from_arrays([pa.array([0, 0]), pa.array([0, 1]), pa.array(payloads, pa.binary())], names=["shard", "block", "payload"])
+
+    # Two equal blocks, so that neither has anything alone.
+    sent = [ngram_lm.pack(words, training.astype("<u4"))] * 2
+    (answer,) = ngram_lm._sum_words([rows(sent)], shards=1)
+    total, distinct = answer.column("total")[0].as_py(), answer.column("distinct")[0].as_py()
+    blocks = [ngram_lm.Block(words, sizes, index, held, True) for _ in range(2)]
+    for block, payload in zip(blocks, answer.column("payload").to_pylist()):
+        block.words_known([payload], 1, total, distinct, 4)
+    for _ in range(2):
+        (answer,) = ngram_lm._count_shards([rows([block.extend(1, total)[0][1] for block in blocks])])
+        for block, payload in zip(blocks, answer.column("payload").to_pylist()):
+            block.counted([payload])
+    texts = [(i, t) for n in range(2) for i, t in ((7 * n, "h a x"), (7 * n, "x b"), (7 * n + 2, "h b x"))]
+    held_ids = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    learned = [i for i in range(10_000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    texts = [(held_ids[k] if t == "h b x" else learned[k], t) for k, (_, t) in enumerate(texts)]
+    want = dict(brute_counted(texts, 3))
+    found = np.concatenate([block.sums(block.log_p) for block in blocks])
+    assert found.tolist() == pytest.approx([want[i] for i, _ in texts], rel=1e-12)
+
+
+def test_weight_without_successors():
+    import numpy as np
+
+    assert ngram_lm.counted_weight(np.array([0, 3, 3]), np.array([0, 0, 1])).tolist() == [1.0, 1.0, 0.25]
