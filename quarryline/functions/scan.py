@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..constants import CHUNK_SIZE, LANGUAGE_SEPARATORS
 from . import code
+from .slices import in_slices
 from .text import col
 
 PYTHON = ["python"]
@@ -143,8 +144,7 @@ def _by_family(texts: pa.Array, langs: pa.Array):
 
 # --- masked text -----------------------------------------------------------------------
 def _masked(least: int):
-    @F.arrow_udf(T.StringType())
-    def mask(texts: pa.Array, langs: pa.Array) -> pa.Array:
+    def slice_of(texts: pa.Array, langs: pa.Array) -> pa.Array:
         out = [None] * len(texts)
         for places, data, offsets, family in _by_family(texts, langs):
             part, _ = scan(data, offsets, family)
@@ -157,6 +157,10 @@ def _masked(least: int):
                 out[i] = body[a:b].decode()
         return pa.array([o if t is not None else None for o, t in zip(out, texts.to_pylist())], pa.string())
 
+    @F.arrow_udf(T.StringType())
+    def mask(texts: pa.Array, langs: pa.Array) -> pa.Array:
+        return in_slices(slice_of, texts, langs)
+
     return mask
 
 
@@ -228,8 +232,7 @@ def nested_chunks(text: Column | str, lang: Column | str, size: int = CHUNK_SIZE
     """
     marks = {name: [s[1:].encode() for s in own] for name, own in LANGUAGE_SEPARATORS.items()}
 
-    @F.arrow_udf(T.ArrayType(_SPAN))
-    def cut(texts: pa.Array, langs: pa.Array) -> pa.Array:
+    def slice_of(texts: pa.Array, langs: pa.Array) -> pa.Array:
         names, out = langs.to_pylist(), [[] for _ in range(len(texts))]
         for places, data, offsets, family in _by_family(texts, langs):
             part, depth = scan(data, offsets, family)
@@ -239,4 +242,8 @@ def nested_chunks(text: Column | str, lang: Column | str, size: int = CHUNK_SIZE
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("level", pa.int32())]))
         return pa.array(out, kind)
 
+    @F.arrow_udf(T.ArrayType(_SPAN))
+    def cut(texts: pa.Array, langs: pa.Array) -> pa.Array:
+        return in_slices(slice_of, texts, langs)
+
     return cut(col(text), col(lang))
