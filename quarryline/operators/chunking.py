@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import CHUNK_OVERLAP, CHUNK_SIZE, LANGUAGE_SEPARATORS, SEPARATORS
+from ..functions.slices import in_slices
 from ..functions.text import chunk_id, col, content_hash, let
 
 CHARACTERS = "characters"
@@ -109,14 +110,17 @@ def chunk_spans(
 
 
 def _splitter(size: int, overlap: int, unit: str):
-    @F.arrow_udf(T.ArrayType(T.StringType()))
-    def split(texts: pa.Array, separators: pa.Array) -> pa.Array:
+    def slice_of(texts: pa.Array, separators: pa.Array) -> pa.Array:
         out = []
         for text, seps in zip(texts.to_pylist(), separators.to_pylist()):
             pieces = (text[a:b].strip() for a, b in chunk_spans(text or "", seps, size, overlap, unit))
             out.append([p for p in pieces if p])
         return pa.array(out, pa.list_(pa.string()))
 
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def split(texts: pa.Array, separators: pa.Array) -> pa.Array:
+        return in_slices(slice_of, texts, separators)
+
     return split
 
 
