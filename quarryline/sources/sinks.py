@@ -11,7 +11,7 @@ from ..functions.text import content_hash
 from ..operators.incremental import first_rows, touched_by
 from ..operators.ranking import numbered
 from ..schemas import BLOBS, CODE_DOCS, QUERY_LOG
-from ..session import read_table, written
+from ..session import BROADCAST_ROWS, at_most, read_table, written
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -26,7 +26,7 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """
     columns = [f.name for f in CODE_DOCS.fields if f.name != "batch_id"]
     batch = rows.select(*columns, F.lit(batch_id).cast("bigint").alias("batch_id"))
-    batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+    batch.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
 
 
 def entry_key(*columns: str) -> Column:
@@ -56,7 +56,8 @@ def extend_collection(rows: DataFrame, path: str, collection: str, order: list[s
     """Append rows (document, embedding, metadata and the order columns) under new ids.
 
     Ids go on from the collection's current count, in the order given.  Rows that the
-    collection already holds, by document and metadata, are a replay and left out.
+    collection already holds, by document and metadata, are a replay and left out.  Keys and order
+    alone are compared and numbered; the numbers then pick the rows.
     """
     spark = rows.sparkSession
     columns = ["document", "embedding", "metadata"]
@@ -65,14 +66,18 @@ def extend_collection(rows: DataFrame, path: str, collection: str, order: list[s
         + [rows.schema[c] for c in columns]
         + [T.StructField("entry_key", T.StringType())]
     )
-    offered = written(rows.withColumn("entry_key", entry_key("document", "metadata")), "offered")
+    keyed = rows.withColumn("entry_key", entry_key("document", "metadata"))
+    offered = written(keyed.withColumn("_row", F.monotonically_increasing_id()), "offered")
     stored = read_table(spark, path, schema).where(F.col("collection") == collection)
-    fresh = offered.join(touched_by(offered, stored.select("entry_key"), "entry_key"), "entry_key", "left_anti")
-    placed = numbered(fresh, order[0], order[1:], "_number")
+    keys = offered.select("_row", "entry_key", *order)
+    fresh = keys.join(touched_by(keys, stored.select("entry_key"), "entry_key"), "entry_key", "left_anti")
+    numbers = written(numbered(fresh.drop("entry_key"), order[0], order[1:], "_number").select("_row", "_number"), "numbers")
+    numbers = F.broadcast(numbers) if at_most(numbers, BROADCAST_ROWS) else numbers.hint("shuffle_hash")
+    placed = offered.join(numbers, "_row")
     ids = F.concat(F.lit(prefix), (F.col("_number") + stored.count()).cast("string"))
-    placed.select(F.lit(collection).alias("collection"), ids.alias("id"), *columns, "entry_key").write.mode("append").partitionBy(
-        "collection"
-    ).parquet(path)
+    placed.select(F.lit(collection).alias("collection"), ids.alias("id"), *columns, "entry_key").write.mode("append").option(
+        "compression", "zstd"
+    ).partitionBy("collection").parquet(path)
 
 
 def read_collections(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
