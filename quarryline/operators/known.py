@@ -121,11 +121,12 @@ def index_batch(spark: SparkSession, path: str, batch_id: int) -> None:
     stored = read_table(spark, path, CODE_DOCS).where(F.col("batch_id") == batch_id)
     version = f"v{uuid.uuid4().hex}"
     home = f"{path}/_keys"
-    keys = written(_keys(stored.select("original_index", "doc_hash", "code_hash", "summary_ok")), "keys")
+    keys = _keys(stored.select("original_index", "doc_hash", "code_hash", "summary_ok"))
     # Ranges of equal size, so that neither a bucket nor a key that many rows share fills a file.
     dealt = keys.repartitionByRange("bucket", "hash", "content").sortWithinPartitions("bucket", "hash")
-    dealt.write.partitionBy("bucket").parquet(f"{home}/rows/batch_id={batch_id}/version={version}")
-    hashes = keys.select("bucket", "hash").distinct().repartitionByRange("bucket", "hash").sortWithinPartitions("bucket", "hash")
+    rows = f"{home}/rows/batch_id={batch_id}/version={version}"
+    dealt.write.option("compression", "zstd").partitionBy("bucket").parquet(rows)
+    hashes = read_table(spark, rows, ROWS).select("bucket", "hash").distinct().repartitionByRange("bucket", "hash").sortWithinPartitions("bucket", "hash")
     made = hashes.mapInArrow(_filters, "bucket int, bits binary")
     made.write.parquet(f"{home}/filters/batch_id={batch_id}/version={version}")
     row = spark.range(0, 1, 1, 1).select(F.lit(version).alias("version"), F.lit(batch_id).cast("bigint").alias("batch_id"))

@@ -57,10 +57,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several later steps read, and read it back.
 
-    The files survive the loss of executors, and the plan starts from them.
+    The files survive the loss of executors, and the plan starts from them.  Hashes in hex and texts
+    take much less room with zstd.
     """
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
