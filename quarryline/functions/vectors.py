@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .slices import in_slices
 from .text import col, let, tokens
 
 DIM = 64
@@ -62,8 +63,7 @@ def plus_scaled(a: Column | str, b: Column | str, factor: float) -> Column:
 
 
 # --- default embedding: hashed bag of words, unit length -----------------------
-@F.arrow_udf(T.ArrayType(T.DoubleType()))
-def _hashed_words(words: pa.Array) -> pa.Array:
+def _hashed_slice(words: pa.Array) -> pa.Array:
     n = len(words)
     sizes = np.asarray(words.value_lengths().fill_null(0), dtype=np.int64)
     coded = words.flatten().dictionary_encode()
@@ -82,6 +82,11 @@ def _hashed_words(words: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(vectors.ravel()))
 
 
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
+def _hashed_words(words: pa.Array) -> pa.Array:
+    return in_slices(_hashed_slice, words)
+
+
 def embed_text(c: Column | str) -> Column:
     """The default vector of a text; needs no model files."""
     return _hashed_words(tokens(c))

@@ -24,7 +24,7 @@ from ..functions.text import tokens
 from ..session import SHIP_ROWS, at_most, written
 from .ranking import top_k
 
-SCORE_CELLS = 4_000_000  # query-row scores held at one time
+SCORE_CELLS = 1_000_000  # query-row scores held at one time
 PAIR_SLICE = 65_536  # candidate pairs examined at one time
 SHIP_BYTES = 64 << 20  # query vectors shipped whole to every task, in bytes
 CELL_ROWS = 100_000  # corpus rows per cell of the cogrouped form
