@@ -77,6 +77,20 @@ class EliasFano:
 
     def successor(self, values: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
         """Index of the first element not below each value, within [begin, end) where given."""
+        return self._search(values, begin, end)[0]
+
+    def find(self, values: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
+        """Index of the first element equal to each value, within [begin, end) where given; -1 without one."""
+        at, behind = self._search(values, begin, end)
+        # Up to `behind` the top parts are equal, so the low bits tell.
+        inside = np.flatnonzero(at < behind)
+        same = inside[PackedInts.get(self.low, self.width, at[inside]) == values[inside].astype(np.uint64) & ((_ONE << np.uint64(self.width)) - _ONE)]
+        out = np.full(len(at), -1, np.int64)
+        out[same] = at[same]
+        return out
+
+    def _search(self, values: np.ndarray, begin: np.ndarray | None, end: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Index of the first element not below each value, and that behind the last one with its top part."""
         values = values.astype(np.uint64)
         top = (values >> np.uint64(self.width)).astype(np.int64)
         last = int(self.zeros[-1])
@@ -86,11 +100,12 @@ class EliasFano:
         low, high = np.clip(first, 0, self.n), np.clip(behind, 0, self.n)
         if begin is not None:
             low, high = np.clip(low, begin, end), np.clip(high, begin, end)
+        behind = high.copy()
         wanted = values & ((_ONE << np.uint64(self.width)) - _ONE)
         while True:
             live = np.flatnonzero(low < high)
             if not len(live):
-                return low
+                return low, behind
             middle = (low[live] + high[live]) >> 1
             small = PackedInts.get(self.low, self.width, middle) < wanted[live]
             low[live] = np.where(small, middle + 1, low[live])
@@ -150,16 +165,19 @@ class NgramTrie:
         out = np.zeros(len(contexts), np.uint64)
         if not self.keys.n or not len(contexts):
             return out
-        rank = self.keys.successor(contexts)
-        known = np.flatnonzero(rank < self.keys.n)
-        known = known[self.keys.get(rank[known]) == contexts[known]]
-        rank = rank[known]
-        begin, end = (self.pointers.get(rank + i).astype(np.int64) for i in (0, 1))
-        wanted = (rank.astype(np.uint64) << np.uint64(32)) | successors[known].astype(np.uint64)
-        at = self.successors.successor(wanted, begin, end)
-        inside = at < end
-        known, at, wanted = known[inside], at[inside], wanted[inside]
-        same = self.successors.get(at) == wanted
+        # Equal contexts that follow each other are looked up once.
+        new = np.ones(len(contexts), bool)
+        new[1:] = contexts[1:] != contexts[:-1]
+        rank = self.keys.find(contexts[new])
+        met = np.flatnonzero(rank >= 0)
+        begin, end = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
+        begin[met], end[met] = (self.pointers.get(rank[met] + i).astype(np.int64) for i in (0, 1))
+        of = np.cumsum(new) - 1
+        known = np.flatnonzero(rank[of] >= 0)
+        of = of[known]
+        wanted = (rank[of].astype(np.uint64) << np.uint64(32)) | successors[known].astype(np.uint64)
+        at = self.successors.find(wanted, begin[of], end[of])
+        same = np.flatnonzero(at >= 0)
         out[known[same]] = self.distinct[PackedInts.get(self.places, self.width, at[same]).astype(np.int64)]
         return out
 

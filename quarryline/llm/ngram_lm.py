@@ -5,7 +5,8 @@ word, down to P1(w) = (c(w) + 1) / (N + V + 1).  With `counted` the weight is th
 Bell, l = t / (c(h) + t), with the context's t distinct successors in the training texts;
 else it follows from the context's count.  A text's first words have shorter contexts.
 
-1. Texts become blocks of tokens, written once to the shared folder.
+1. Texts become blocks of tokens, written once to the shared folder as a table in buckets, so
+   that only answers are exchanged to meet them.
 2. The blocks' distinct words go to word shards, whose sums come back to the blocks.
 3. For each order from 2 on, the blocks' distinct n-grams go to shards by context; a context
    with more than a shard's share of all tokens is split by its successors.  Each shard builds
@@ -27,7 +28,8 @@ null id is scored like any other; without training texts every token is unknown.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import written
+from ..session import fresh_path, written
 from . import arrays
 from .eliasfano import NgramTrie
 
@@ -101,6 +103,38 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return (arrays.mix(keys ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(shards)).astype(np.int64)
 
 
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """Stable order of whole numbers from 0; sorting key and place as one number is faster, where they fit."""
+    bits = len(keys).bit_length()
+    if not len(keys) or int(keys.max()).bit_length() + bits > 63:
+        return np.argsort(keys, kind="stable")
+    both = keys.astype(np.int64) << bits | np.arange(len(keys))
+    both.sort()
+    return both & ((1 << bits) - 1)
+
+
+def distinct_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key comes first, in order of the keys, and the place of each entry among them."""
+    order = order_of(keys)
+    key = keys[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    place = np.empty(len(key), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return order[new], place
+
+
+def shard_order(of: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Stable order by shard, then by keys of 48 bits: by as many of their bits as fit, if these tell all apart."""
+    drop = max(0, len(of).bit_length() + int(of.max(initial=0)).bit_length() + 48 - 63)
+    if drop < 48:
+        order = order_of(of << (48 - drop) | (keys >> np.uint64(drop)).astype(np.int64))
+        same, key = np.diff(of[order]) == 0, keys[order]
+        if not (same & (key[1:] < key[:-1])).any():
+            return order
+    return np.lexsort((keys, of))
+
+
 def _cuts(order_keys: np.ndarray) -> list[tuple[int, int, int]]:
     """(key, from, to) of the runs of an ordered array."""
     if not len(order_keys):
@@ -152,7 +186,7 @@ def _send_words(batches, shards: int) -> Iterator[pa.RecordBatch]:
             (words,) = unpack(batch.column("words")[r].as_py(), "<u8")
             (training,) = unpack(batch.column("training")[r].as_py(), "<u4")
             of = shard_of(words, shards)
-            order = np.argsort(of, kind="stable")
+            order = order_of(of)
             cuts = _cuts(of[order])
             words, training = words[order], training[order]
             yield pa.RecordBatch.from_arrays(
@@ -221,10 +255,12 @@ class Block:
         self.order, self.gram, self.keys = 1, self.stream, np.append(words, BEGIN)
 
     def words_known(self, answers: list[bytes], word_shards: int, total: int, distinct: int, begins: int) -> None:
-        order = np.argsort(shard_of(self.words, word_shards), kind="stable")
+        order = order_of(shard_of(self.words, word_shards))
         parts = [unpack(p, "<u8", "?", "<u4") for p in answers]
         self.number = np.zeros(len(self.words), np.int64)
         self.number[order] = np.concatenate([n for _, _, n in parts])
+        self.rank = np.empty(len(self.words), np.int64)
+        self.rank[order_of(self.number)] = np.arange(len(self.words))
         self.count, self.sole = np.zeros(len(self.words) + 1, np.int64), np.zeros(len(self.words) + 1, bool)
         self.count[order] = np.concatenate([c for c, _, _ in parts]).astype(np.int64)
         self.sole[order] = np.concatenate([s for _, s, _ in parts])
@@ -237,13 +273,12 @@ class Block:
         """Sums over each text's words."""
         return arrays.segment_sums(np.where(self.place > 0, values, 0), self.bounds)
 
-    def extend(self, shards: int, total: int) -> list[tuple[int, bytes]]:
-        """Go to the n-grams of the next order; (shard, payload) of what has to be counted."""
+    def extend(self, shards: int, total: int, send: bool = True) -> list[tuple[int, bytes]]:
+        """Go to the n-grams of the next order; (shard, payload) of what has to be counted, unless it was sent before."""
         self.order += 1
         self.ends = np.flatnonzero(self.place >= self.order - 1)
         before = self.gram[self.ends - 1]
-        _, first, self.index = np.unique(before.astype(np.int64) * (len(self.words) + 1) + self.stream[self.ends], return_index=True, return_inverse=True)
-        self.index = self.index.astype(np.int32)
+        first, self.index = distinct_of(before.astype(np.int64) * (len(self.words) + 1) + self.stream[self.ends])
         self.prefix, self.suffix, self.last = before[first], self.gram[self.ends[first]], self.stream[self.ends[first]]
         self.local = np.bincount(self.index[self.training[self.ends]], minlength=len(first))
         open_ = (self.count > 0) & ~self.sole
@@ -253,27 +288,34 @@ class Block:
         alone[self.sent] = False
         self.successors = np.bincount(self.prefix[alone], minlength=len(self.count))
         prefix, words = self.prefix[self.sent], self.words[self.last[self.sent]]
-        contexts = np.unique(self.prefix[open_[self.prefix]] if self.by_successors else prefix)
-        rank = np.searchsorted(contexts, prefix)
+        used = self.prefix[open_[self.prefix]] if self.by_successors else prefix
+        contexts = used[np.diff(used, prepend=-1) > 0]  # n-grams are ordered by their prefixes
+        rank = np.zeros(len(self.count), np.int64)
+        rank[contexts] = np.arange(len(contexts))
+        rank = rank[prefix]
         # A context beyond a shard's share is split by its successors.
         parts = 1 + self.count[contexts] * shards // max(1, total)
         base = np.cumsum(parts) - parts
-        request = base[rank] + (arrays.mix(words) % parts[rank].astype(np.uint64)).astype(np.int64)
+        request = base[rank]
+        split = np.flatnonzero(parts[rank] > 1)
+        request[split] += (arrays.mix(words[split]) % parts[rank[split]].astype(np.uint64)).astype(np.int64)
         context = np.repeat(np.arange(len(contexts)), parts)
         part = np.arange(len(context)) - base[context]
         keys = arrays.mix(self.keys[contexts[context]] + part.astype(np.uint64) * _STEP)
         of = shard_of(keys, shards)
         keys = keys >> np.uint64(16)
-        order = np.lexsort((keys, of))
+        order = shard_order(of, keys)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        numbers = self.number[self.last[self.sent]]
-        self.sent = self.sent[by := np.argsort(place[request] << 32 | numbers)]
+        last = self.last[self.sent]
+        self.sent = self.sent[by := order_of(place[request] * (len(self.words) + 1) + self.rank[last])]
+        self.asked = contexts[context[order]]
+        if not send:
+            return []
         each = np.bincount(place[request], minlength=len(order))
         bounds = np.concatenate([[0], np.cumsum(each)])
-        words = steps(numbers[by], each).astype("<u4")
+        words = steps(self.number[last[by]], each).astype("<u4")
         local, keys = self.local[self.sent].astype("<u4"), keys[order]
-        self.asked = contexts[context[order]]
         alone = np.where(part == 0, self.successors[contexts[context]], 0)[order].astype("<u4")
         out = []
         for shard, a, b in _cuts(of[order]):
@@ -308,28 +350,26 @@ class Block:
         del self.ends, self.index, self.prefix, self.suffix, self.last, self.local, self.sent, self.successors, self.asked
 
 
-def _read(rows: list[tuple], order: int, word_shards: int, shards: int, total: int, distinct: int, begins: int, counted: bool) -> tuple[Block, np.ndarray, list]:
+def _read(own: pa.Table, answers: pa.Table, order: int, word_shards: int, shards: int, total: int, distinct: int, begins: int, counted: bool) -> tuple[Block, np.ndarray, pa.Array]:
     """A block with its n-grams up to `order` counted, whether its texts are held out, and their ids."""
-    own = next(r for r in rows if r[1] == 0)
-    words, (held,), (sizes, index) = unpack(own[4], "<u8")[0], unpack(own[5], "?"), unpack(own[6], "<u4", "<u4")
-    answers = {n: [r[3] for r in sorted((r for r in rows if r[1] == n), key=lambda r: r[2])] for n in range(1, order + 1)}
+    words, held, tokens = (own.column(c)[0].as_py() for c in ("words", "held_out", "tokens"))
+    words, (held,), (sizes, index) = unpack(words, "<u8")[0], unpack(held, "?"), unpack(tokens, "<u4", "<u4")
+    rows = sorted(zip(*(answers.column(c).to_pylist() for c in ("level", "shard", "payload"))), key=lambda r: r[:2])
+    sent = {n: [payload for level, _, payload in rows if level == n] for n in range(1, order + 1)}
     block = Block(words, sizes, index, held, counted)
-    block.words_known(answers[1], word_shards, total, distinct, begins)
+    block.words_known(sent[1], word_shards, total, distinct, begins)
     for n in range(2, order + 1):
-        block.extend(shards, total)
-        block.counted(answers[n])
-    return block, held, own[7]
+        block.extend(shards, total, send=False)
+        block.counted(sent[n])
+    return block, held, own.column("ids").combine_chunks().flatten()
 
 
-def _send_ngrams(batches, order: int, shards: int, total: int, **sizes) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, block, payload): the n-grams of this order of each block."""
-    for number, rows in _by_shard(batches):
-        block = _read(rows, order - 1, shards=shards, total=total, **sizes)[0]
-        out = block.extend(shards, total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([s for s, _ in out], pa.int64()), pa.array([number] * len(out), pa.int64()), pa.array([p for _, p in out], pa.binary())],
-            names=["shard", "block", "payload"],
-        )
+def _send_ngrams(own: pa.Table, answers: pa.Table, order: int, shards: int, total: int, **sizes) -> pa.Table:
+    """Rows (shard, block, payload): the n-grams of this order of a block."""
+    block = _read(own, answers, order - 1, shards=shards, total=total, **sizes)[0]
+    out = block.extend(shards, total)
+    number = own.column("block")[0].as_py()
+    return pa.table({"shard": pa.array([s for s, _ in out], pa.int64()), "block": pa.array([number] * len(out), pa.int64()), "payload": pa.array([p for _, p in out], pa.binary())})
 
 
 def _count_shards(batches) -> Iterator[pa.RecordBatch]:
@@ -368,16 +408,31 @@ def _count_shards(batches) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _collect(batches, order: int, total: int, **sizes) -> Iterator[pa.RecordBatch]:
-    """One row for each text."""
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    for _, rows in _by_shard(batches):
-        block, held, ids = _read(rows, order, total=total, **sizes)
-        n = len(block.sizes)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(held), pa.array(block.sizes), pa.array(block.known), pa.array([total] * n, pa.int64()), pa.array(block.base), pa.array(block.sums(block.log_p))],
-            names=names,
-        )
+def _collect(own: pa.Table, answers: pa.Table, order: int, total: int, **sizes) -> pa.Table:
+    """One row for each text of a block."""
+    block, held, ids = _read(own, answers, order, total=total, **sizes)
+    n = len(block.sizes)
+    return pa.table({
+        "doc_id": ids, "held_out": pa.array(held), "n_tokens": pa.array(block.sizes), "n_known": pa.array(block.known),
+        "train_tokens": pa.array([total] * n, pa.int64()), "base_score": pa.array(block.base), "score": pa.array(block.sums(block.log_p)),
+    })
+
+
+def _bucketed(blocks: DataFrame, n_bytes: int) -> DataFrame:
+    """The blocks written in buckets by number, so that no exchange moves them when their answers are grouped by block.
+
+    Spark keeps buckets only for tables, so one is named for the time of the write; the files stay in the shared folder.
+    With fewer buckets than shuffle partitions the blocks would be exchanged all the same.
+    """
+    spark = blocks.sparkSession
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // (2 * BLOCK_BYTES)))
+    name = f"ngram_blocks_{uuid.uuid4().hex}"
+    blocks.write.format("parquet").option("compression", "zstd").option("path", fresh_path(spark, "blocks")).bucketBy(
+        min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))), "block"
+    ).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, counted: bool = False) -> DataFrame:
@@ -389,8 +444,9 @@ def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text
     if order < 2:
         raise ValueError("order is 2 at least")
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(f"`{text_col}`").alias("text"))
-    blocks = written(
-        plain.mapInArrow(_blocks, "block long, n_words long, n_tokens long, ids array<long>, held_out binary, words binary, training binary, tokens binary"), "blocks"
+    n_bytes, begins = plain.agg(F.sum(F.octet_length("text")), F.count_if(~F.col("held_out"))).first()
+    blocks = _bucketed(
+        plain.mapInArrow(_blocks, "block long, n_words long, n_tokens long, ids array<long>, held_out binary, words binary, training binary, tokens binary"), n_bytes or 0
     )
     words, tokens = blocks.agg(F.sum("n_words"), F.sum("n_tokens")).first()
     if words is None:
@@ -400,23 +456,23 @@ def score_corpus(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text
     met = sent.repartition(word_shards, "shard").sortWithinPartitions("shard", "block")
     answers = written(met.mapInArrow(partial(_sum_words, shards=word_shards), "shard long, block long, distinct long, total long, payload binary"), "word-counts")
     distinct, total = answers.agg(F.sum("distinct"), F.sum("total")).first()
-    begins = plain.where(~F.col("held_out")).count()
 
     shards = max(8, -(-tokens // SHARD_TOKENS))
     sizes = {"word_shards": word_shards, "shards": shards, "total": total, "distinct": distinct, "begins": begins, "counted": counted}
-    known = blocks.select("block", F.lit(0).alias("level"), F.lit(-1).cast("long").alias("shard"), F.lit(None).cast("binary").alias("payload"), "words", "held_out", "tokens", "ids")
-    answers = answers.select("block", F.lit(1).alias("level"), "shard", "payload")
+    own = blocks.select("block", "words", "held_out", "tokens", "ids").groupBy("block")
+    known = answers.select("block", F.lit(1).alias("level"), "shard", "payload")
     for n in range(2, order + 1):
-        known = known.unionByName(answers, allowMissingColumns=True)
-        home = known.repartition("block").sortWithinPartitions("block", "level", "shard")
-        sent = home.mapInArrow(partial(_send_ngrams, order=n, **sizes), "shard long, block long, payload binary")
+        sent = own.cogroup(known.groupBy("block")).applyInArrow(_with(_send_ngrams, order=n, **sizes), "shard long, block long, payload binary")
         met = sent.repartition(shards, "shard").sortWithinPartitions("shard", "block")
         answers = met.mapInArrow(_count_shards, "shard long, block long, payload binary")
         if n < order:
             answers = written(answers, f"counts-{n}")
-        answers = answers.select("block", F.lit(n).alias("level"), "shard", "payload")
-    home = known.unionByName(answers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "level", "shard")
-    return home.mapInArrow(partial(_collect, order=order, **sizes), _RESULT)
+        known = known.unionByName(answers.select("block", F.lit(n).alias("level"), "shard", "payload"))
+    return own.cogroup(known.groupBy("block")).applyInArrow(_with(_collect, order=order, **sizes), _RESULT)
+
+
+def _with(fn: Callable[..., pa.Table], **options) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    return lambda own, answers: fn(own, answers, **options)
 
 
 _RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

@@ -184,3 +184,62 @@ def test_weight_without_successors():
     import numpy as np
 
     assert ngram_lm.counted_weight(np.array([0, 3, 3]), np.array([0, 0, 1])).tolist() == [1.0, 1.0, 0.25]
+
+
+def test_orders_by_packed_keys():
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    for keys in (draw.integers(0, 50, 1000), draw.integers(0, 2**62, 1000) // 2**60 * 2**60, np.zeros(0, np.int64)):
+        assert ngram_lm.order_of(keys).tolist() == np.argsort(keys, kind="stable").tolist()
+        _, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        found = ngram_lm.distinct_of(keys)
+        assert found[0].tolist() == first.tolist() and found[1].tolist() == place.tolist()
+    for keys in (draw.integers(0, 2**48, 1000), draw.integers(0, 4, 1000) * 3, (1 << 47) + draw.integers(0, 9, 1000), np.zeros(0, np.int64)):
+        keys = keys.astype(np.uint64)
+        for shards in (1, 9, 2**12, 2**40):
+            of = draw.integers(0, shards, len(keys))
+            assert ngram_lm.shard_order(of, keys).tolist() == np.lexsort((keys, of)).tolist()
+
+
+def test_trie_finds_what_it_holds():
+    import numpy as np
+    from quarryline.llm.eliasfano import EliasFano, MappedArrays, NgramTrie
+
+    draw = np.random.default_rng(5)
+    for universe in (1, 40, 10_000, 1 << 40):
+        held = np.sort(draw.integers(0, universe, 300)).astype(np.uint64)
+        n, width, low, high = EliasFano.encode(held, universe)
+        sequence = EliasFano(n, width, *MappedArrays([low, high]).views)
+        asked = np.concatenate([held, draw.integers(0, universe, 300).astype(np.uint64)])
+        at = np.searchsorted(held, asked)
+        assert sequence.successor(asked).tolist() == at.tolist()
+        want = np.where((at < 300) & (held[np.minimum(at, 299)] == asked), at, -1)
+        assert sequence.find(asked).tolist() == want.tolist()
+        begin, end = np.minimum(at, 299), np.minimum(at + draw.integers(0, 2, 600), 300)
+        assert sequence.find(asked, begin, end).tolist() == np.where(end > begin, want, -1).tolist()
+    # Contexts in any order, some of them twice, some unknown.
+    keys = np.sort(draw.integers(0, 1 << 48, 90)).astype(np.uint64)
+    context, word = np.repeat(keys[::2], 3), np.tile(np.array([1, 5, 2**32 - 1], np.uint64), 45)
+    trie = NgramTrie(context, word, np.arange(135) % 7 + 1)
+    value = {(c, w): i % 7 + 1 for i, (c, w) in enumerate(zip(context.tolist(), word.tolist()))}
+    asked = [(int(draw.choice(keys)), int(draw.choice([0, 1, 5, 6, 2**32 - 1]))) for _ in range(500)]
+    found = trie.value(*(np.array(c, np.uint64) for c in zip(*asked)), chunk=64)
+    assert found.tolist() == [value.get(a, 0) for a in asked]
+
+
+def test_blocks_are_not_exchanged(spark, folder):
+    """The texts' blocks meet their answers where they lie, and no table stays behind."""
+    before = len(spark.catalog.listTables())
+    found = ngram_lm.score_corpus(spark.read.parquet(f"{folder}/documents.parquet"), training.held_out(7, 2), order=3, counted=True)
+    assert len(spark.catalog.listTables()) == before and found.count() > 0
+    lines = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    lines = lines[: next((i for i, line in enumerate(lines) if "Initial Plan" in line), len(lines))]
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    scans = [i for i, line in enumerate(lines) if "Scan parquet" in line and "tokens" in line]
+    assert scans
+    for i in scans:
+        assert "Bucketed: true" in lines[i]
+        while "CoGroups" not in lines[i]:
+            i = next(j for j in range(i - 1, -1, -1) if depth[j] < depth[i])
+            assert "Exchange" not in lines[i]
