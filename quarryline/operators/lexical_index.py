@@ -1,8 +1,9 @@
 """A stored inverted index, and exact BM25 top-k over it by block-max skipping.
 
 A batch of documents is cut into slices of bounded size.  All postings of a term in a slice are one
-block: documents, counts, lengths, and the greatest count and smallest length among them, from which
-the most that the block can add to a score follows for whatever statistics hold later.  Blocks are
+block: the documents' places in the slice and counts, both as plain bytes, and the greatest count and
+smallest length among them, from which the most that the block can add to a score follows for whatever
+statistics hold later.  The ids and lengths of a slice's documents are stored once.  Blocks are
 written by part (a hash range of terms), sorted by term and slice, in files of about equal size, so a
 term that fills the corpus takes many files, not one.  Statistics of batches add up, so batches are
 never rewritten when a new one comes.
@@ -52,7 +53,7 @@ def _part(term: Column | str) -> Column:
 
 # --- writing -------------------------------------------------------------------------
 def _slice_blocks(ids: pa.Array, words: pa.ListArray, number: int) -> pa.RecordBatch:
-    """The blocks of one slice; the empty term, which no text contains, stands for the slice itself."""
+    """The blocks of one slice; the empty term, which no text contains, stands for the slice itself and has its documents."""
     length = np.asarray(words.value_lengths(), np.int64)
     coded = words.flatten().dictionary_encode()
     n_docs, n_terms = len(length), len(coded.dictionary)
@@ -63,8 +64,14 @@ def _slice_blocks(ids: pa.Array, words: pa.ListArray, number: int) -> pa.RecordB
     n = np.diff(bounds)
     max_tf, min_length = (f.reduceat(v, bounds[:-1]) if n_terms else v[:0] for f, v in ((np.maximum, tf), (np.minimum, length[doc])))
 
-    def lists(values: np.ndarray | pa.Array) -> pa.ListArray:
-        return pa.ListArray.from_arrays(pa.array(np.r_[bounds, bounds[-1]], pa.int32()), values)
+    def packed(values: np.ndarray, most: int) -> pa.Array:
+        """Each term's numbers as bytes, in the least width that holds all of the slice."""
+        width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+        at = np.r_[bounds, bounds[-1]].astype(np.int32) * np.int32(width)
+        return pa.Array.from_buffers(pa.binary(), n_terms + 1, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(values.astype(f"<u{width}").tobytes())])
+
+    def of_slice(values: pa.Array) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array([None] * n_terms + [0, n_docs], pa.int32()), values)
 
     def column(values: np.ndarray, last: int, kind: pa.DataType) -> pa.Array:
         return pa.array(np.r_[values, last], kind)
@@ -76,9 +83,10 @@ def _slice_blocks(ids: pa.Array, words: pa.ListArray, number: int) -> pa.RecordB
         "max_tf": column(max_tf, 0, pa.int32()),
         "min_length": column(min_length, 0, pa.int32()),
         "n_words": column(np.zeros(n_terms, np.int64), int(length.sum()), pa.int64()),
-        "docs": lists(ids.take(pa.array(doc))),
-        "tfs": lists(pa.array(tf, pa.int32())),
-        "lengths": lists(pa.array(length[doc], pa.int32())),
+        "docs": of_slice(ids),
+        "lengths": of_slice(pa.array(length, pa.int32())),
+        "places": packed(doc, n_docs),
+        "tfs": packed(tf, int(tf.max(initial=0))),
     })
 
 
@@ -117,7 +125,7 @@ def add_batch(
     """
     words = docs.select(F.col(row_id).alias("doc"), tokens(text).alias("words")).where("words IS NOT NULL")
     kind = words.schema["doc"].dataType.simpleString()
-    schema = f"term string, slice bigint, n int, max_tf int, min_length int, n_words bigint, docs array<{kind}>, tfs array<int>, lengths array<int>"
+    schema = f"term string, slice bigint, n int, max_tf int, min_length int, n_words bigint, docs array<{kind}>, lengths array<int>, places binary, tfs binary"
     blocks = written(words.mapInArrow(lambda batches: _blocks(batches, slice_docs), schema).withColumn("part", _part("term")), "blocks")
     version = f"v{uuid.uuid4().hex}"
     order = ["part", "term", "slice"]
@@ -161,8 +169,9 @@ class Search:
         self.n_rows, self.mean_length = sums["rows"] or 0, max((sums["words"] or 0) / (sums["rows"] or 1), 1e-9)
         asked = queries.select("q_id", F.explode(tokens("query_text")).alias("term")).groupBy("q_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
         asked = written(asked, "query-terms")
-        self.blocks = blocks_of(asked.select("term").distinct(), path)
-        self.heads = written(self.blocks.select(*_HEAD), "block-heads")
+        slices = spark.range(1).select(F.lit("").alias("term"))  # the blocks that stand for the slices themselves
+        self.blocks = blocks_of(asked.select("term").distinct().union(slices), path)
+        self.heads = written(self.blocks.where("term != ''").select(*_HEAD), "block-heads")
         idf = F.log(1 + (F.lit(float(self.n_rows)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
         df = self.heads.groupBy("term").agg(F.sum("n").alias("df"))
         weights = asked.join(df, "term").select("q_id", "term", (F.col("qtf") * idf).alias("weight"))
@@ -182,8 +191,9 @@ class Search:
     def scored(self, wanted: DataFrame) -> DataFrame:
         """(q_id, doc, score) in the wanted (q_id, query_block, batch_id, slice); the k best of each."""
         asked = wanted.select("q_id", "query_block", *_KEYS).join(self.weights, ["q_id", "query_block"])
-        needed = written(asked.select("term", *_KEYS, "query_block").distinct(), "needed-blocks")
-        held = self.blocks.select("term", *_KEYS, "docs", "tfs", "lengths").join(_narrow(needed), ["term", *_KEYS])
+        needed = asked.select("term", *_KEYS, "query_block").union(wanted.select(F.lit("").alias("term"), *_KEYS, "query_block"))
+        needed = written(needed.distinct(), "needed-blocks")
+        held = self.blocks.select("term", *_KEYS, "n", "docs", "lengths", "places", "tfs").join(_narrow(needed), ["term", *_KEYS])
         q_type, kind = self.weights.schema["q_id"].dataType, self.blocks.schema["docs"].dataType.elementType
         schema = f"q_id {q_type.simpleString()}, doc {kind.simpleString()}, score double"
         k, k1, b, mean = self.k, self.k1, self.b, self.mean_length
@@ -215,13 +225,15 @@ class Search:
 def _best_of_slice(asked: pa.Table, held: pa.Table, k: int, k1: float, b: float, mean: float) -> pa.Table:
     """The k best documents of a slice for each query: one accumulator, as long as the slice, for one query at a time."""
     q_ids = asked.column("q_id").combine_chunks()
-    docs = held.column("docs").combine_chunks().flatten()
-    ids, place = _numbered(docs)
-    tf, length = (np.asarray(held.column(c).combine_chunks().flatten(), np.float64) for c in ("tfs", "lengths"))
-    part = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean))
-    ends = np.cumsum(np.asarray(held.column("docs").combine_chunks().value_lengths(), np.int64))
     at = {term: i for i, term in enumerate(held.column("term").to_pylist())}
-    starts = np.r_[0, ends]
+    own = at.pop("")
+    n = np.array(held.column("n"), np.int64)
+    n[own] = 0
+    starts = np.r_[0, np.cumsum(n)]
+    ids, place = _numbered(held.column("docs")[own].values)
+    rows, tf = (_unpacked(held.column(c), int(starts[-1])) for c in ("places", "tfs"))
+    tf, length = tf.astype(np.float64), np.asarray(held.column("lengths")[own].values, np.float64)[rows]
+    part, place = tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean)), place[rows]
     coded = q_ids.dictionary_encode()
     codes, weight = np.asarray(coded.indices), np.asarray(asked.column("weight").combine_chunks())
     of_term = np.array([at.get(t, -1) for t in asked.column("term").to_pylist()], np.int64)
@@ -246,6 +258,14 @@ def _best_of_slice(asked: pa.Table, held: pa.Table, k: int, k1: float, b: float,
     return pa.table({"q_id": coded.dictionary.take(pa.array(q)), "doc": ids.take(pa.array(doc)), "score": np.concatenate([np.zeros(0), *out_score])})
 
 
+def _unpacked(column: pa.ChunkedArray, n: int) -> np.ndarray:
+    """The n numbers that a slice's blocks hold as bytes of one width."""
+    values = column.combine_chunks().cast(pa.large_binary())
+    _, at, data = values.buffers()
+    at = np.frombuffer(at, np.int64)[values.offset : values.offset + len(values) + 1]
+    return np.frombuffer(data or b"", f"<u{(at[-1] - at[0]) // n if n else 1}", n, at[0])
+
+
 def _numbered(docs: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Distinct ids in rising order, and the place of each entry among them."""
     coded = docs.dictionary_encode()

@@ -102,3 +102,34 @@ def test_slices_end_at_their_bytes(monkeypatch):
     sizes = [(next(r for r in t if r["term"] == "")["n"], next(r for r in t if r["term"] == "")["n_words"]) for t in made]
     assert sizes == [(2, 40), (1, 20), (1, 70), (3, 2)]
     assert len({r["slice"] for t in made for r in t}) == 4
+
+
+def test_postings_are_bytes_and_documents_lie_once():
+    """A posting takes 2 bytes in a slice of less than 256 documents, and an id is in its slice's own block only."""
+    texts = [["a"] * (1 + i % 3) + ["b"] * (i % 2) for i in range(200)] + [[]]
+    blocks = lexical_index._slice_blocks(pa.array(range(1000, 1201)), pa.array(texts, pa.list_(pa.string())), 4).to_pylist()
+    assert [b["term"] for b in blocks] == ["a", "b", ""]
+    for b, w in zip(blocks, "ab"):
+        held = [i for i, t in enumerate(texts) if w in t]
+        assert list(b["places"]) == held and list(b["tfs"]) == [texts[i].count(w) for i in held] and b["n"] == len(held)
+        assert b["docs"] is None and b["lengths"] is None
+    own = blocks[2]
+    assert own["docs"] == list(range(1000, 1201)) and own["lengths"] == [len(t) for t in texts] and not own["places"]
+    assert sum(len(b["places"]) + len(b["tfs"]) for b in blocks) == 2 * sum(len(set(t)) for t in texts)
+
+
+@pytest.mark.parametrize("n,uses", [(300, 2), (70_000, 300), (4, 70_000)])
+def test_wide_slices_are_scored_alike(spark, n, uses):
+    """Places and counts of one, two and four bytes; ids not in order."""
+    docs = [((i * 7919) % n, ["x"] * (uses if i == n - 1 else 1) + ["y"] * (i % 2)) for i in range(n)]
+    blocks = pa.Table.from_batches([lexical_index._slice_blocks(pa.array([i for i, _ in docs]), pa.array([w for _, w in docs], pa.list_(pa.string())), 0)])
+    asked = pa.table({"q_id": [5, 5, 6, 6], "term": ["x", "y", "y", "none"], "weight": [1.5, 0.5, 2.0, 1.0]})
+    found = lexical_index._best_of_slice(asked, blocks, 3, 1.2, 0.75, 1.5).to_pylist()
+
+    def score(words, weights):
+        tf = {w: words.count(w) for w in weights}
+        return round(sum(weights[w] * tf[w] * 2.2 / (tf[w] + 1.2 * (0.25 + 0.75 * len(words) / 1.5)) for w in weights if tf[w]), search.DECIMALS)
+
+    for q, weights in ((5, {"x": 1.5, "y": 0.5}), (6, {"y": 2.0})):
+        want = sorted(((-score(w, weights), i) for i, w in docs if score(w, weights) > 0))[:3]
+        assert [(-r["score"], r["doc"]) for r in found if r["q_id"] == q] == [(pytest.approx(s), i) for s, i in want]
