@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .digests import md5_heads
 from .slices import in_slices
 from .text import col, let, tokens
 
@@ -69,11 +70,7 @@ def _hashed_slice(words: pa.Array) -> pa.Array:
     coded = words.flatten().dictionary_encode()
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
-    buckets = np.fromiter(
-        (hashlib.md5(w.encode()).digest()[0] % DIM for w in coded.dictionary.to_pylist()),
-        dtype=np.int64,
-        count=len(coded.dictionary),
-    )
+    buckets = (md5_heads(coded.dictionary) & 0xFF).astype(np.int64) % DIM
     cells = np.repeat(np.arange(n), sizes) * DIM + buckets[np.asarray(coded.indices)]
     counts = np.bincount(cells, minlength=n * DIM).reshape(n, DIM)
     norms = np.sqrt((counts * counts).sum(axis=1).astype(np.float64))

@@ -25,8 +25,14 @@ from ..session import SHIP_ROWS, at_most, written
 from .ranking import top_k
 
 SCORE_CELLS = 1_000_000  # query-row scores held at one time
+QUERY_TILE = 1024  # queries of a tile of scores
+FIRST_ROWS = 512  # rows a task scores before its queries have bounds
 PAIR_SLICE = 65_536  # candidate pairs examined at one time
+MEASURED = 4096  # ... and measured exactly at one time
+FEW_PAIRS = 16  # with more than one pair in so many measured exactly, rough scores are taken in double precision
+PLAIN_SQUARES = 1e-20, 1e20  # lengths squared between which rough scores are taken in single precision
 SHIP_BYTES = 64 << 20  # query vectors shipped whole to every task, in bytes
+OUT_ROWS = 100_000  # rows of a batch that a task gives out
 CELL_ROWS = 100_000  # corpus rows per cell of the cogrouped form
 DECIMALS = 9  # scores equal to this many digits are ties, resolved by row id
 
@@ -36,25 +42,50 @@ class Leaders:
 
     def __init__(self, n_queries: int, k: int):
         self.k = k
-        self.query = np.empty(0, dtype=np.int64)
-        self.ids = None
-        self.score = np.empty(0)
+        self.rows = 0  # corpus rows that were scored
         self.bound = np.full(n_queries, np.inf)
+        self._held = np.zeros(n_queries, dtype=np.int64)
+        self._score = np.empty((n_queries, k))
+        self._ids = None
+
+    @property
+    def query(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self._held)), self._held)
+
+    @property
+    def score(self) -> np.ndarray:
+        return self._score[self._filled(slice(None))]
+
+    @property
+    def ids(self) -> np.ndarray | None:
+        return None if self._ids is None else self._ids[self._filled(slice(None))]
+
+    def _filled(self, queries) -> np.ndarray:
+        return np.arange(self.k) < self._held[queries][:, None]
 
     def add(self, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        """Only the queries that are given new rows are sorted anew."""
         if len(query) == 0:
             return
-        query = np.concatenate([self.query, query])
-        ids = ids if self.ids is None else np.concatenate([self.ids, ids])
-        score = np.concatenate([self.score, score])
+        if self._ids is None:
+            self._ids = np.empty(self._score.shape, dtype=ids.dtype)
+        self._ids = self._ids.astype(np.promote_types(self._ids.dtype, ids.dtype), copy=False)
+        met = np.unique(query)
+        old = self._filled(met)
+        query = np.concatenate([np.repeat(met, self._held[met]), query])
+        ids = np.concatenate([self._ids[met][old], ids])
+        score = np.concatenate([self._score[met][old], score])
         order = np.lexsort((ids, score, query))
         query, ids, score = query[order], ids[order], score[order]
         starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
-        place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
-        last = place == self.k - 1
-        self.bound[query[last]] = score[last]
+        count = np.diff(np.r_[starts, len(query)])
+        place = np.arange(len(query)) - np.repeat(starts, count)
         kept = place < self.k
-        self.query, self.ids, self.score = query[kept], ids[kept], score[kept]
+        query, place = query[kept], place[kept]
+        self._ids[query, place], self._score[query, place] = ids[kept], score[kept]
+        self._held[met] = np.minimum(count, self.k)
+        full = met[count >= self.k]
+        self.bound[full] = self._score[full, self.k - 1]
 
 
 class VectorScorer:
@@ -63,7 +94,10 @@ class VectorScorer:
     def __init__(self, q_ids: pa.Array, matrix: np.ndarray, column: str, metric: str):
         self.q_ids, self.column, self.metric = q_ids, column, metric
         self.matrix = self._unit(matrix) if metric == "cosine" else matrix
-        self.squares = (self.matrix * self.matrix).sum(axis=1)
+        self.squares = _squares(self.matrix)
+        self.largest = self.squares[~np.isnan(self.squares)].max(initial=0.0)
+        self.sides: dict[type, np.ndarray] = {}
+        self.single = True  # rough scores in single precision tell rows apart
 
     @staticmethod
     def from_table(table: pa.Table, vector: str, column: str, metric: str) -> VectorScorer:
@@ -86,31 +120,86 @@ class VectorScorer:
         vectors = _matrix(lists)
         if self.metric == "cosine":
             vectors = self._unit(vectors)
-        step = max(1, SCORE_CELLS // max(1, len(self.matrix)))
-        for at in range(0, len(vectors), step):
-            self._block(vectors[at : at + step], ids[at : at + step], best)
-
-    def _block(self, x: np.ndarray, ids: np.ndarray, best: Leaders) -> None:
-        # Rough scores by one matrix product; the few rows that can still win
-        # are then measured exactly.
-        dots = x @ self.matrix.T
+        squares = _squares(vectors)
+        if (lost := np.isnan(squares)).any():
+            vectors, ids, squares = vectors[~lost], ids[~lost], squares[~lost]
+        at = 0
+        while at < len(vectors):
+            # The first rows give every query a bound; each stretch is as long as all before it, so that
+            # few of its rows are within the bounds that those have left.
+            to = at + max(FIRST_ROWS, 4 * best.k, best.rows)
+            with np.errstate(over="ignore", invalid="ignore"):
+                self._stretch(vectors[at:to], squares[at:to], ids[at:to], best)
+            best.rows += len(vectors[at:to])
+            at = to
+
+    def _side(self, kind: type) -> np.ndarray:
+        if kind not in self.sides:
+            self.sides[kind] = np.column_stack([self.matrix, np.ones(len(self.matrix))]).astype(kind)
+        return self.sides[kind]
+
+    def _stretch(self, x: np.ndarray, squares: np.ndarray, ids: np.ndarray, best: Leaders) -> None:
+        """Rough products in tiles of queries and rows; the few pairs that can still win are then measured exactly."""
+        largest = max(self.largest, squares.max())
+        kind = np.float32 if self.single and PLAIN_SQUARES[0] < largest < PLAIN_SQUARES[1] else np.float64
+        # |q - x|^2 <= limit is the same as q.x - |x|^2 / 2 >= (|q|^2 - limit) / 2.
+        offset = np.zeros(len(x)) if self.metric == "cosine" else -squares / 2
+        side, other = self._side(kind), np.column_stack([x, offset]).astype(kind).T
+        n_q = min(len(side), QUERY_TILE, SCORE_CELLS)
+        n_x = max(1, SCORE_CELLS // n_q)
+        n_x -= n_x % 8 if n_x > 8 else 0
+        n_pairs = 0
+        for q in range(0, len(side), n_q):
+            queries, known = slice(q, q + n_q), None
+            found, n_found = [], 0
+            least = self._least(queries, largest, kind, best, known)
+            for at in range(0, len(x), n_x):
+                rough = side[queries] @ other[:, at : at + n_x]
+                if known is None and rough.shape[1] > best.k and np.isinf(best.bound[queries]).any():
+                    known = np.partition(rough, rough.shape[1] - best.k, axis=1)[:, rough.shape[1] - best.k]
+                    least = self._least(queries, largest, kind, best, known)
+                pair = _places(rough >= least[:, None]) if np.isfinite(largest) else np.arange(rough.size)
+                query, row = np.divmod(pair, rough.shape[1])
+                found.append((query + q, row + at))
+                n_found += len(pair)
+                n_pairs += len(pair)
+                if n_found >= PAIR_SLICE:
+                    self._measure(x, ids, found, best)
+                    found, n_found = [], 0
+                    least = self._least(queries, largest, kind, best, known)
+            self._measure(x, ids, found, best)
+        self.single &= n_pairs * FEW_PAIRS <= len(side) * len(x)
+
+    def _least(self, queries: slice, largest: float, kind: type, best: Leaders, known: np.ndarray | None) -> np.ndarray:
+        """The rough products from which on a row can still win, given the bounds or k products that are `known`.
+
+        The slack covers the decimals that scores are rounded to, and the error of a sum of products of `kind`:
+        its terms are no more than eight times the largest square, in all.
+        """
+        bound, width = best.bound[queries], self.matrix.shape[1]
+        error = 8 * (width + 8) * np.finfo(kind).eps * largest
         if self.metric == "cosine":
-            rough, limit, slack = 1.0 - dots, best.bound, 1e-8
+            least = 1.0 - np.minimum(bound, 4.0) - 1e-8
         else:
-            squares = (x * x).sum(axis=1)
-            rough = squares[:, None] + self.squares[None, :] - 2.0 * dots
-            limit, slack = best.bound**2, 1e-8 * (1.0 + squares.max() + self.squares.max())
-        if len(x) > best.k and np.isinf(limit).any():
-            limit = np.minimum(limit, np.partition(rough, best.k - 1, axis=0)[best.k - 1])
-        row, query = np.nonzero(rough <= limit + slack)
+            limit = np.minimum(bound * bound, 8 * largest) + 1e-8 * (1.0 + 2 * largest)
+            least = (self.squares[queries] - limit) / 2
+        if known is not None:
+            least = np.maximum(least, known.astype(np.float64) - error - 1e-8 * (1.0 + 2 * largest))
+        return (least - error).astype(kind)
+
+    def _measure(self, x: np.ndarray, ids: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]], best: Leaders) -> None:
+        query, row = (np.concatenate(c) for c in zip(*found)) if found else (np.empty(0, np.int64),) * 2
         for at in range(0, len(row), PAIR_SLICE):
-            r, q = row[at : at + PAIR_SLICE], query[at : at + PAIR_SLICE]
-            if self.metric == "cosine":
-                exact = 1.0 - (x[r] * self.matrix[q]).sum(axis=1)
-            else:
-                gap = x[r] - self.matrix[q]
-                exact = np.sqrt((gap * gap).sum(axis=1))
-            best.add(q, ids[r], np.round(exact, DECIMALS))
+            q, r = query[at : at + PAIR_SLICE], row[at : at + PAIR_SLICE]
+            score = np.concatenate([self._exact(x[r[i : i + MEASURED]], self.matrix[q[i : i + MEASURED]]) for i in range(0, len(r), MEASURED)])
+            kept = score <= best.bound[q]
+            best.add(q[kept], ids[r[kept]], score[kept])
+
+    def _exact(self, x: np.ndarray, q: np.ndarray) -> np.ndarray:
+        if self.metric == "cosine":
+            return np.round(1.0 - (x * q).sum(axis=1), DECIMALS)
+        gap = x - q
+        return np.round(np.sqrt((gap * gap).sum(axis=1)), DECIMALS)
 
 
 class WordScorer:
@@ -175,6 +264,21 @@ def _matrix(lists: pa.ListArray) -> np.ndarray:
     return flat.reshape(len(lists), -1) if len(lists) else flat.reshape(0, 1)
 
 
+def _squares(m: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (m * m).sum(axis=1)
+
+
+def _places(hit: np.ndarray) -> np.ndarray:
+    """Flat places of the few true cells; eight cells are looked at together."""
+    flat = hit.reshape(-1)
+    if len(flat) % 8:
+        return np.flatnonzero(flat)
+    word = np.flatnonzero(flat.view(np.uint64))
+    some, byte = np.nonzero(flat.reshape(-1, 8)[word])
+    return word[some] * 8 + byte
+
+
 def _ids(column: pa.Array) -> np.ndarray:
     return np.asarray(column) if pa.types.is_integer(column.type) else np.array(column.to_pylist(), dtype=str)
 
@@ -213,11 +317,15 @@ def _best_rows(batches, scorer, k: int, row_id: str, group: str | None) -> Itera
     for name, (own, best) in held.items():
         if best.ids is None:
             continue
-        out = {"q_id": own.q_ids.take(pa.array(best.query)), row_id: pa.array(best.ids.tolist())}
-        if group is not None:
-            out[group] = pa.array([name] * len(best.query), pa.string())
-        out["score"] = pa.array(best.score)
-        yield pa.RecordBatch.from_pydict(out)
+        query, ids, score = best.query, best.ids, best.score
+        for at in range(0, len(query), OUT_ROWS):
+            some = ids[at : at + OUT_ROWS]
+            out = {"q_id": own.q_ids.take(pa.array(query[at : at + OUT_ROWS])),
+                   row_id: pa.array(some if some.dtype.kind == "i" else some.tolist())}
+            if group is not None:
+                out[group] = pa.array([name] * len(some), pa.string())
+            out["score"] = pa.array(score[at : at + OUT_ROWS])
+            yield pa.RecordBatch.from_pydict(out)
 
 
 def _scan(queries: DataFrame, corpus: DataFrame, make_scorer, k: int, row_id: str, group: str | None,

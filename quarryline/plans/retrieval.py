@@ -117,7 +117,7 @@ def serve(queries: DataFrame, log: DataFrame, corpus: DataFrame, samples: DataFr
     searched and given a prompt, each text once.
     """
     looked_up = written(answer_cache(queries, log), "looked-up")
-    asked = with_query_vectors(once_per_text(looked_up.where("NOT cached")))
+    asked = written(with_query_vectors(once_per_text(looked_up.where("NOT cached"))), "asked")
     hits = written(nearest(asked, corpus, k), "hits")
     prompts = prompt(context(retrieved(hits, samples)), asked)
     by_text = asked.select("q_id", "query_text").join(prompts, "q_id").select("query_text", "prompt")

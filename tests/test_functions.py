@@ -1,12 +1,15 @@
 """Expressions and small operators on hand-written rows."""
 
+import hashlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
-from quarryline.functions import code, text, vectors
+from quarryline.functions import code, digests, text, vectors
 from quarryline.operators import analysis, cache, context, evaluate, filters, rerank, weighting
 from quarryline.plans import retrieval
 from quarryline.constants import PROMPTS
@@ -183,6 +186,26 @@ def test_serve_searches_each_open_text_once(spark):
     assert "Summary: word1." in got[4].prompt and not got[4].cached
 
 
+def test_serve_embeds_the_open_texts_once(spark, monkeypatch):
+    given, nearest = [], retrieval.nearest
+    monkeypatch.setattr(retrieval, "nearest", lambda asked, *rest: (given.append(asked), nearest(asked, *rest))[1])
+    log = spark.createDataFrame([("1", "known", "answer")], "id string, query string, final_answer string")
+    asked = spark.createDataFrame([(1, "known"), (2, "word3")], "q_id bigint, query_text string")
+    samples = spark.createDataFrame([(i, f"word{i}.") for i in range(5)], "original_index bigint, text string")
+    assert retrieval.serve(asked, log, retrieval.text_corpus(samples), samples, k=1).count() == 2
+    assert "ArrowEvalPython" not in given[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_digests_of_words_side_by_side(monkeypatch, few):
+    monkeypatch.setattr(digests, "FEW_WORDS", few)
+    monkeypatch.setattr(digests, "BLOCK_WORDS", 50)
+    words = ["", "a", "the", "é" * 27, "é" * 28, "x" * 55, "x" * 56, "x" * 64, "x" * 300, "語", "𝔸1"] + [f"w{i}" * (i % 9) for i in range(400)]
+    whole = pa.array(words)
+    for some in (whole, whole.slice(3, 200), whole.slice(7), whole.slice(2, 0), whole.dictionary_encode().dictionary):
+        assert digests.md5_heads(some).tolist() == [int.from_bytes(hashlib.md5(w.encode()).digest()[:4], "little") for w in some.to_pylist()]
+
+
 def test_report_counts_missing_language_and_keeps_empty_queries(spark):
     hits = spark.createDataFrame([(1, None, 10), (1, "", None), (1, "c", 20)], "q_id bigint, lang string, star bigint")
     asked = spark.createDataFrame([(1,), (2,)], "q_id bigint")

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +74,61 @@ def test_small_blocks_give_the_same(tables, monkeypatch):
     assert got == sorted((q, i) for q, i, _ in expected(3))
 
 
+def brute(asked, corpus, k):
+    gaps = np.round(np.sqrt(((corpus[:, None, :] - asked[None, :, :]) ** 2).sum(axis=2)), search.DECIMALS)
+    return [(q, int(i)) for q in range(len(asked)) for i in np.lexsort((np.arange(len(corpus)), gaps[:, q]))[:k]]
+
+
+def searched(asked, corpus, k, size=700):
+    lists = lambda m: pa.array(m.tolist(), pa.list_(pa.float64()))
+    scorer = search.VectorScorer(pa.array(range(len(asked))), asked, "vec", "l2")
+    batch = pa.record_batch({"original_index": pa.array(range(len(corpus))), "vec": lists(corpus)})
+    batches = [batch.slice(at, size) for at in range(0, len(corpus), size)]
+    found = [r for b in search._best_rows(batches, scorer, k, "original_index", None) for r in b.to_pylist()]
+    return [(r["q_id"], r["original_index"]) for r in sorted(found, key=lambda r: (r["q_id"], r["score"], r["original_index"]))]
+
+
+@pytest.mark.parametrize(("scale", "shift"), [(1, 0), (1e-3, 1000), (1e-12, 0), (1e12, 0), (1, 1e6)])
+def test_rough_scores_lose_no_winner(scale, shift, monkeypatch):
+    """Rough scores in single precision decide nothing: also where it cannot tell the rows apart."""
+    draw = np.random.default_rng(5)
+    corpus, asked = (draw.normal(size=(n, 16)) * scale + shift for n in (3000, 70))
+    corpus[2000:2100] = corpus[7]
+    asked[3] = corpus[7]
+    monkeypatch.setattr(search, "QUERY_TILE", 32)
+    monkeypatch.setattr(search, "FIRST_ROWS", 64)
+    assert searched(asked, corpus, 4) == brute(asked, corpus, 4)
+
+
+def test_a_broken_vector_costs_no_other_its_place():
+    draw = np.random.default_rng(6)
+    corpus, asked = draw.normal(size=(900, 4)), draw.normal(size=(9, 4))
+    want = brute(asked[1:], corpus, 3)
+    corpus = np.vstack([corpus, [[np.nan, 0, 0, 0], [np.inf, 0, 0, 0], [1e200, 0, 0, 0]]])
+    asked[0, 2] = np.nan
+    assert searched(asked, corpus, 3) == [(q + 1, i) for q, i in want]
+
+
+def test_only_queries_with_new_rows_are_sorted_anew(monkeypatch):
+    draw = np.random.default_rng(8)
+    corpus, asked = draw.normal(size=(8000, 8)), draw.normal(size=(600, 8))
+    monkeypatch.setattr(search, "SCORE_CELLS", 12_000)  # 20 rows against all queries
+    sizes, lexsort = [], np.lexsort
+    monkeypatch.setattr(search.np, "lexsort", lambda keys: (sizes.append(len(keys[0])), lexsort(keys))[1])
+    found = searched(asked, corpus, 3, size=4000)
+    assert sum(sizes) < 100 * len(found)  # 400 times as many and more where every block of rows sorts all hits
+    assert found == brute(asked, corpus, 3)
+
+
+def test_leaders_hold_longer_and_fewer_ids():
+    best = search.Leaders(3, 2)
+    assert best.ids is None
+    best.add(np.array([1, 1, 1]), np.array(["b", "a", "c"]), np.array([1.0, 1.0, 0.5]))
+    best.add(np.array([0, 1]), np.array(["long id", "other id"]), np.array([9.0, 0.75]))
+    assert best.query.tolist() == [0, 1, 1] and best.ids.tolist() == ["long id", "c", "other id"]
+    assert best.score.tolist() == [9.0, 0.5, 0.75] and best.bound.tolist() == [np.inf, 0.75, np.inf]
+
+
 def test_rows_without_a_vector_are_left_out(spark, tables):
     asked, corpus = tables
     blank = spark.createDataFrame([(999, None)], "original_index bigint, vec array<double>")
